@@ -130,13 +130,25 @@ class Dims:
     rainfall_backfill: list[tuple[str, str]] = field(default_factory=list)
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small constant table as a local relation (no Python-side RDD, so no
+    Python worker is started to scan it and the optimizer sees its size)."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def surveillance_dims(spark: SparkSession) -> Dims:
     """The fixed surveillance dimensions as DataFrames."""
-    districts = spark.createDataFrame(
-        [(k, i, d) for k, (i, d) in DISTRICTS.items()], DISTRICT_SCHEMA
+    districts = literal_table(
+        spark, [(k, i, d) for k, (i, d) in DISTRICTS.items()], DISTRICT_SCHEMA
     )
-    diseases = spark.createDataFrame(
-        [(k, i, d) for k, (i, d) in DISEASES.items()], DISEASE_SCHEMA
+    diseases = literal_table(
+        spark, [(k, i, d) for k, (i, d) in DISEASES.items()], DISEASE_SCHEMA
     )
     return Dims(
         districts=districts,
@@ -156,17 +168,23 @@ def province_frame(spark: SparkSession, provinces: dict[str, list[str]]) -> Data
         for name in names:
             order += 1
             rows.append((name, code, order))
-    return spark.createDataFrame(
-        rows, "district string, province string, sort_order int"
-    )
+    schema = T.StructType([
+        T.StructField("district", T.StringType()),
+        T.StructField("province", T.StringType()),
+        T.StructField("sort_order", T.IntegerType()),
+    ])
+    return literal_table(spark, rows, schema)
 
 
 def month_frame(spark: SparkSession) -> DataFrame:
     """Month number / short name / long name."""
-    return spark.createDataFrame(
-        [(i + 1, s, l) for i, (s, l) in enumerate(zip(MONTH_ORDER, MONTH_LONG_NAMES))],
-        "month int, month_name string, month_long string",
-    )
+    schema = T.StructType([
+        T.StructField("month", T.IntegerType()),
+        T.StructField("month_name", T.StringType()),
+        T.StructField("month_long", T.StringType()),
+    ])
+    rows = [(i + 1, s, l) for i, (s, l) in enumerate(zip(MONTH_ORDER, MONTH_LONG_NAMES))]
+    return literal_table(spark, rows, schema)
 
 
 def literal_map(mapping: dict) -> F.Column:

@@ -131,12 +131,11 @@ def clean_population(
     order is used). The dedup is a grouped ``min_by`` so a duplicated district
     is collapsed map-side.
     """
-    df = raw.select(
-        F.col("Region").alias("__region"),
-        parse_thousands("Population").alias("population"),
-        (F.col(seq_col) if seq_col else F.monotonically_increasing_id()).alias("__seq"),
-    )
-    df = lookup_district(df, "__region", dims, display="district")
+    cols = [F.col("Region").alias("__region"), parse_thousands("Population").alias("population")]
+    if dedup:
+        # scan order: only meaningful directly on a file scan, as here
+        cols.append((F.col(seq_col) if seq_col else F.monotonically_increasing_id()).alias("__seq"))
+    df = lookup_district(raw.select(*cols), "__region", dims, display="district")
     if not keep_invalid:
         df = df.na.drop(subset=["population"])
     if dedup:

@@ -97,8 +97,15 @@ def district_thresholds(base: DataFrame, group: Sequence[str] = GROUP) -> DataFr
 
 def weekly_risk(base: DataFrame, thresholds: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """Attach thresholds to every weekly row and band it (J7 + P16)."""
-    thr = thresholds.select(*group, "lower_threshold", "upper_threshold", "outbreak_threshold")
-    out = base.join(thr, list(group), "left")
+    thr = thresholds.select(
+        *[F.col(g).alias(f"__t_{g}") for g in group],
+        "lower_threshold", "upper_threshold", "outbreak_threshold",
+    )
+    # Null-safe keys: pandas merges NaN keys with NaN keys, and a plain equi-join
+    # would make Catalyst infer IS NOT NULL filters on the baseline side only,
+    # which stops the two uses of ``base`` from sharing one shuffle (exchange reuse).
+    cond = [F.col(g).eqNullSafe(F.col(f"__t_{g}")) for g in group]
+    out = base.join(thr, cond, "left").drop(*[f"__t_{g}" for g in group])
     return out.withColumn(
         "risk_level",
         classify_risk("incidence_per_100k", "lower_threshold", "upper_threshold", "outbreak_threshold"),

@@ -24,6 +24,10 @@ def r6(expr: str) -> str:
     return f"(round_even(({expr}) * 1000000.0, 0) / 1000000.0)"
 
 
+def r9(expr: str) -> str:
+    return f"(round_even(({expr}) * 1000000000.0, 0) / 1000000000.0)"
+
+
 def week_to_month(expr: str) -> str:
     wk = f"least(greatest({expr}, 1), 53)"
     return f"(CAST(trunc((CAST({wk} - 1 AS DOUBLE) / 53.0) * 12.0) AS INTEGER) + 1)"
@@ -211,3 +215,265 @@ risk_ranked AS (
 )
 """,
 )
+
+
+# ---------------------------------------------------------------- analytics
+
+_MONTH_COLS = ", ".join(
+    f'CAST(max(CASE WHEN month = {i + 1} THEN mm END) AS VARCHAR) AS "{m}"'
+    for i, m in enumerate(MONTH_ORDER)
+)
+_MONTH_LIST = "[" + ", ".join(f"'{m}'" for m in MONTH_ORDER) + "]"
+_UNPIVOT_IN = ", ".join(f'"{m}"' for m in MONTH_ORDER)
+
+ANALYTICS = f"""
+rain_cells AS (
+  SELECT n.n_name AS area, n.n_nationkey AS nationkey, p.month, SUM(p.cnt) AS mm
+  FROM (SELECT l_suppkey, CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS cnt
+        FROM lineitem GROUP BY 1, 2) p
+  JOIN supplier s ON p.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  GROUP BY 1, 2, 3
+),
+rain_wide AS (
+  SELECT CASE WHEN nationkey = {td.MISSPELT_RAINFALL_NATION} THEN replace(area, '_', '-') ELSE area END AS District,
+         {_MONTH_COLS},
+         format('{{:,}}', sum(mm)) AS Annual
+  FROM rain_cells WHERE nationkey <> {td.REMAPPED_NATION}
+  GROUP BY 1
+),
+rain_melt AS (
+  SELECT District, month_name, v FROM rain_wide
+  UNPIVOT INCLUDE NULLS (v FOR month_name IN ({_UNPIVOT_IN}))
+),
+rain_long AS (
+  SELECT regexp_replace(District, '^\\s+|\\s+$', '', 'g') AS rainfall_area,
+         CAST(list_position({_MONTH_LIST}, month_name) AS INTEGER) AS month,
+         TRY_CAST(trim(replace(v, ',', '')) AS DOUBLE) AS avg_rainfall_mm
+  FROM rain_melt
+  WHERE District IS NOT NULL AND TRY_CAST(trim(replace(v, ',', '')) AS DOUBLE) IS NOT NULL
+),
+pop_dedup AS (
+  SELECT district, min(population) AS population FROM population
+  WHERE population IS NOT NULL GROUP BY district
+),
+frame_pre AS (
+  SELECT c.year, c.disease, c.district, c.week_number, c.month, c.cases_reported, p.population,
+         CASE WHEN {canon('c.district')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+              ELSE coalesce(d.district_display, c.district) END AS rainfall_area
+  FROM clean_drop c
+  LEFT JOIN pop_dedup p ON c.district = p.district
+  LEFT JOIN districts d ON {canon('c.district')} = d.district_key
+),
+frame AS (
+  SELECT a.year, a.disease, a.district, a.week_number, a.month, a.cases_reported, a.population,
+         a.rainfall_area,
+         r0.avg_rainfall_mm AS rainfall_mm,
+         r1.avg_rainfall_mm AS rainfall_lag1_mm,
+         r2.avg_rainfall_mm AS rainfall_lag2_mm,
+         a.cases_reported / nullif(a.population, 0) * 100000.0 AS incidence_per_100k
+  FROM frame_pre a
+  LEFT JOIN rain_long r0 ON a.rainfall_area = r0.rainfall_area AND a.month = r0.month
+  LEFT JOIN rain_long r1 ON a.rainfall_area = r1.rainfall_area AND a.month = (r1.month % 12) + 1
+  LEFT JOIN rain_long r2 ON a.rainfall_area = r2.rainfall_area AND a.month = ((r2.month + 1) % 12) + 1
+),
+hot AS (
+  SELECT disease, year, district, sum(cases_reported) AS total_cases, max(population) AS population,
+         round_even(sum(cases_reported) / nullif(max(population), 0) * 100000.0 * 100.0, 0) / 100.0
+           AS incidence_per_100k
+  FROM frame GROUP BY 1, 2, 3
+),
+annual AS (
+  SELECT disease, year, sum(cases_reported) AS total_cases FROM frame GROUP BY 1, 2
+),
+rain_monthly AS (
+  SELECT rainfall_area AS district, month, {_MONTH_LIST}[month] AS month_name, avg_rainfall_mm
+  FROM rain_long
+),
+rain_totals AS (
+  SELECT district, sum(avg_rainfall_mm) AS annual_rainfall_mm FROM rain_monthly GROUP BY 1
+),
+rain_ranked AS (
+  SELECT district, annual_rainfall_mm,
+         row_number() OVER (ORDER BY annual_rainfall_mm DESC, district ASC) AS rank,
+         row_number() OVER (ORDER BY annual_rainfall_mm ASC, district DESC) AS dry_rank
+  FROM rain_totals
+),
+corr_pairs AS (
+  SELECT disease, district, 0 AS lag_months, cases_reported AS x, rainfall_mm AS y FROM frame
+  UNION ALL
+  SELECT disease, district, 1, cases_reported, rainfall_lag1_mm FROM frame
+  UNION ALL
+  SELECT disease, district, 2, cases_reported, rainfall_lag2_mm FROM frame
+),
+corr_agg AS (
+  SELECT disease, district, lag_months, count(*) AS n,
+         min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax,
+         covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) AS r
+  FROM corr_pairs WHERE x IS NOT NULL AND y IS NOT NULL
+  GROUP BY 1, 2, 3
+),
+corr_lagged AS (
+  SELECT disease, district, lag_months,
+         round_even(r * 10000.0, 0) / 10000.0 AS correlation, CAST(n AS INTEGER) AS n_weeks
+  FROM corr_agg
+  WHERE n >= 10 AND xmin < xmax AND ymin < ymax AND r IS NOT NULL
+),
+corr_pd AS (
+  SELECT disease, district, correlation, n_weeks FROM corr_lagged WHERE lag_months = 0
+)
+"""
+
+
+def with_analytics(body: str, extra: str = "") -> str:
+    more = ANALYTICS.strip() + ((",\n" + extra.strip()) if extra else "")
+    return with_base(body, more)
+
+
+SQL["clean_cases"] = with_base("SELECT * FROM clean_drop")
+
+SQL["risk_zero_fill"] = with_base("""
+SELECT z.year, z.disease, CAST(z.rows AS BIGINT) AS rows, CAST(coalesce(b.blank_rows, 0) AS BIGINT) AS blank_rows,
+       z.total_cases
+FROM (SELECT year, disease, count(*) AS rows, sum(cases_reported) AS total_cases FROM clean_zero GROUP BY 1, 2) z
+LEFT JOIN (SELECT year, disease, count(*) AS blank_rows FROM parsed_cases WHERE cases_raw IS NULL GROUP BY 1, 2) b
+  ON z.year = b.year AND z.disease = b.disease
+""")
+
+SQL["surveillance_frame"] = with_analytics(f"""
+SELECT year, disease, district, week_number, month, cases_reported, population, rainfall_area,
+       rainfall_mm, rainfall_lag1_mm, rainfall_lag2_mm, {r6('incidence_per_100k')} AS incidence_per_100k
+FROM frame
+""")
+
+SQL["hotspots"] = with_analytics("SELECT * FROM hot")
+
+SQL["seasonality"] = with_analytics(f"""
+SELECT disease, year, week_number, sum(cases_reported) AS total_cases,
+       {r6('avg(cases_reported)')} AS mean_cases_per_district
+FROM frame GROUP BY 1, 2, 3
+""")
+
+SQL["monthly_profile"] = with_analytics(f"""
+SELECT disease, month, sum(cases_reported) AS total_cases, {r6('avg(cases_reported)')} AS mean_cases
+FROM frame GROUP BY 1, 2
+""")
+
+SQL["yoy_change"] = with_analytics(f"""
+SELECT disease, year, total_cases,
+       {r6('(total_cases / nullif(lag(total_cases) OVER (PARTITION BY disease ORDER BY year), 0) - 1.0) * 100.0')}
+         AS yoy_pct_change
+FROM annual
+""")
+
+SQL["top_hotspots"] = with_analytics("""
+SELECT * FROM (
+  SELECT disease, district, total_cases,
+         CAST(row_number() OVER (PARTITION BY disease ORDER BY total_cases DESC, district ASC) AS INTEGER) AS rank
+  FROM (SELECT disease, district, sum(total_cases) AS total_cases FROM hot GROUP BY 1, 2)
+) WHERE rank <= 5
+""")
+
+_YEARS = range(1995, 2002)
+SQL["annual_pivot"] = with_analytics(
+    "SELECT disease, "
+    + ", ".join(
+        f'CAST(coalesce(sum(CASE WHEN year = {y} THEN total_cases END), 0) AS BIGINT) AS "{y}"' for y in _YEARS
+    )
+    + " FROM annual GROUP BY disease"
+)
+
+SQL["rain_unpivot"] = with_analytics("SELECT * FROM rain_long")
+SQL["rain_monthly"] = with_analytics("SELECT * FROM rain_monthly")
+SQL["rain_totals_ranked"] = with_analytics(
+    "SELECT district, annual_rainfall_mm, CAST(rank AS INTEGER) AS rank FROM rain_ranked"
+)
+SQL["rain_extremes"] = with_analytics("""
+SELECT 'wettest' AS label, district, annual_rainfall_mm, CAST(rank AS INTEGER) AS rank FROM rain_ranked WHERE rank <= 5
+UNION ALL
+SELECT 'driest', district, annual_rainfall_mm, CAST(rank AS INTEGER) FROM rain_ranked WHERE dry_rank <= 5
+""")
+SQL["rain_peak_month"] = with_analytics("""
+SELECT district, month_name AS peak_month, peak_rainfall_mm FROM (
+  SELECT district, month_name, max(avg_rainfall_mm) OVER (PARTITION BY district) AS peak_rainfall_mm,
+         row_number() OVER (PARTITION BY district ORDER BY avg_rainfall_mm DESC, month ASC) AS rn
+  FROM rain_monthly
+) WHERE rn = 1
+""")
+SQL["rain_heatmap"] = with_analytics(
+    "SELECT district, "
+    + ", ".join(f"max(CASE WHEN month_name = '{m}' THEN avg_rainfall_mm END) AS \"{m}\"" for m in MONTH_ORDER)
+    + " FROM rain_monthly GROUP BY district"
+)
+
+_AREA_KEY = (
+    f"CASE WHEN {canon('w.District')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}' "
+    f"ELSE coalesce(d.district_display, w.District) END"
+)
+SQL["rain_features_annual"] = with_analytics(f"""
+SELECT area_key, min(annual) AS avg_annual_rainfall_mm FROM (
+  SELECT {_AREA_KEY} AS area_key, TRY_CAST(trim(replace(w.Annual, ',', '')) AS DOUBLE) AS annual
+  FROM rain_wide w LEFT JOIN districts d ON {canon('w.District')} = d.district_key
+) WHERE annual IS NOT NULL GROUP BY area_key
+""")
+SQL["rain_features_national"] = with_analytics(f"""
+SELECT CAST(list_position({_MONTH_LIST}, month_name) AS INTEGER) AS month,
+       {r6("avg(TRY_CAST(trim(replace(v, ',', '')) AS DOUBLE))")} AS national_avg_rainfall_mm
+FROM rain_melt GROUP BY 1
+""")
+
+_STRICT = "CAST(round_even(CAST(trim(replace({c}, ',', '')) AS DOUBLE), 0) AS INTEGER)"
+_LONG = ["january", "february", "march", "april", "may", "june", "july", "august",
+         "september", "october", "november", "december"]
+_RAIN_ROWS = f"""
+rain_store AS (
+  SELECT d.district_id,
+         {", ".join(_STRICT.format(c=f'w."{m}"') + f" AS {lname}" for m, lname in zip(MONTH_ORDER, _LONG))},
+         {_STRICT.format(c='w.Annual')} AS annual_rainfall
+  FROM rain_wide w JOIN districts d ON {canon('w.District')} = d.district_key
+),
+rain_store_full AS (
+  SELECT * FROM rain_store
+  UNION ALL
+  SELECT {td.REMAPPED_NATION + 1} AS district_id, {", ".join(_LONG)}, annual_rainfall
+  FROM rain_store
+  WHERE district_id = {td.REMAP_TEMPLATE_NATION + 1}
+    AND NOT EXISTS (SELECT 1 FROM rain_store WHERE district_id = {td.REMAPPED_NATION + 1})
+)
+"""
+SQL["rain_backfill"] = with_analytics("SELECT * FROM rain_store_full", _RAIN_ROWS)
+SQL["rain_missing_areas"] = with_analytics(
+    "SELECT district_id, district_display AS district FROM districts "
+    "WHERE district_id NOT IN (SELECT district_id FROM rain_store_full)",
+    _RAIN_ROWS,
+)
+
+SQL["rain_case_corr"] = with_analytics("SELECT * FROM corr_pd")
+SQL["rain_case_corr_lagged"] = with_analytics("SELECT * FROM corr_lagged")
+SQL["corr_summary"] = with_analytics(f"""
+SELECT disease, {r9('avg(correlation)')} AS mean_r, {r9('median(correlation)')} AS median_r,
+       count(*) AS n_districts
+FROM corr_pd GROUP BY disease
+""")
+SQL["lag_summary"] = with_analytics(f"""
+SELECT disease, lag_months, {r9('avg(correlation)')} AS mean_corr, {r9('stddev_samp(correlation)')} AS std_corr,
+       round_even(avg(correlation) * 1000.0, 0) / 1000.0 AS mean_corr_3dp
+FROM corr_lagged GROUP BY 1, 2
+""")
+SQL["lag_pivot"] = with_analytics(
+    "SELECT disease, "
+    + ", ".join(
+        f"round_even(avg(CASE WHEN lag_months = {k} THEN correlation END) * 1000.0, 0) / 1000.0 AS lag_{k}mo"
+        for k in (0, 1, 2)
+    )
+    + " FROM corr_lagged GROUP BY disease"
+)
+SQL["corr_distribution"] = with_analytics(f"""
+SELECT disease, {r9('avg(correlation)')} AS mean_r,
+       {r9('quantile_cont(correlation, 0.0)')} AS min_r,
+       {r9('quantile_cont(correlation, 0.25)')} AS q1_r,
+       {r9('quantile_cont(correlation, 0.5)')} AS median_r,
+       {r9('quantile_cont(correlation, 0.75)')} AS q3_r,
+       {r9('quantile_cont(correlation, 1.0)')} AS max_r
+FROM corr_pd GROUP BY disease
+""")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.functions.numbers import round_half_even
-from casegrid.operators import cleaning, risk
+from casegrid.operators import cleaning, correlation, frame, patterns, rainfall, risk
 from casegrid.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def r6(c: str | Column) -> Column:
     return round_half_even(c, 6)
 
 
+def r9(c: str | Column) -> Column:
+    """For means / quantiles of 4-dp correlations, whose exact values have up
+    to 8 decimals and would sit on 1e-6 rounding ties."""
+    return round_half_even(c, 9)
+
+
 # ---------------------------------------------------------------- shared inputs
 
 
@@ -93,3 +99,179 @@ def risk_storage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, weekly = risk_frames(spark, sf_dir)
     rows = risk.risk_storage_rows(weekly, td.dims(spark, sf_dir))
     return rows.withColumn("risk_score", r6("risk_score"))
+
+
+# ---------------------------------------------------------------- analytics frame
+
+
+def analytics_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_population(
+        td.raw_population(spark, sf_dir), td.dims(spark, sf_dir), dedup=True
+    )
+
+
+def rain_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame.rainfall_long_raw(td.raw_rainfall_wide(spark, sf_dir))
+
+
+def analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame.analytics_frame(
+        clean_cases(spark, sf_dir, "drop"),
+        analytics_population(spark, sf_dir),
+        rain_long(spark, sf_dir),
+        td.dims(spark, sf_dir),
+    )
+
+
+@register("clean_cases")
+def clean_cases_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_cases(spark, sf_dir, "drop")
+
+
+@register("risk_zero_fill")
+def risk_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank counts as 0 (risk path): per (year, disease) rows, zero-filled rows, total."""
+    zero = clean_cases(spark, sf_dir, "zero")
+    raw = td.raw_cases(spark, sf_dir)
+    blanks = raw.filter(F.col("cases_reported").try_cast("double").isNull())
+    out = zero.groupBy("year", "disease").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("cases_reported").alias("total_cases")
+    )
+    return out.join(
+        cleaning.lookup_disease(blanks, "disease", td.dims(spark, sf_dir), display="d")
+        .groupBy("year", F.col("d").alias("disease")).agg(F.count(F.lit(1)).alias("blank_rows")),
+        ["year", "disease"],
+        "left",
+    ).select("year", "disease", "rows", F.coalesce("blank_rows", F.lit(0)).alias("blank_rows"), "total_cases")
+
+
+@register("surveillance_frame")
+def surveillance_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics(spark, sf_dir).withColumn("incidence_per_100k", r6("incidence_per_100k"))
+
+
+@register("hotspots")
+def hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patterns.hotspots(analytics(spark, sf_dir))
+
+
+@register("seasonality")
+def seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = patterns.seasonality(analytics(spark, sf_dir))
+    return out.withColumn("mean_cases_per_district", r6("mean_cases_per_district"))
+
+
+@register("monthly_profile")
+def monthly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patterns.monthly_profile(analytics(spark, sf_dir)).withColumn("mean_cases", r6("mean_cases"))
+
+
+@register("yoy_change")
+def yoy_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patterns.yoy_change(analytics(spark, sf_dir)).withColumn("yoy_pct_change", r6("yoy_pct_change"))
+
+
+@register("top_hotspots")
+def top_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patterns.top_hotspots(patterns.hotspots(analytics(spark, sf_dir)), n=5)
+
+
+@register("annual_pivot")
+def annual_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patterns.annual_pivot(patterns.yoy_change(analytics(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- rainfall
+
+
+@register("rain_unpivot")
+def rain_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rain_long(spark, sf_dir)
+
+
+@register("rain_monthly")
+def rain_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rainfall.monthly_by_district(rain_long(spark, sf_dir))
+
+
+@register("rain_totals_ranked")
+def rain_totals_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rainfall.district_totals_ranked(rainfall.monthly_by_district(rain_long(spark, sf_dir)))
+
+
+@register("rain_extremes")
+def rain_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    monthly = rainfall.monthly_by_district(rain_long(spark, sf_dir))
+    return rainfall.extremes(rainfall.district_totals_ranked(monthly), n=5)
+
+
+@register("rain_peak_month")
+def rain_peak_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rainfall.peak_months(rainfall.monthly_by_district(rain_long(spark, sf_dir)))
+
+
+@register("rain_heatmap")
+def rain_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rainfall.heatmap(rainfall.monthly_by_district(rain_long(spark, sf_dir)))
+
+
+@register("rain_features_annual")
+def rain_features_annual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    annual, _ = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), td.dims(spark, sf_dir))
+    return annual
+
+
+@register("rain_features_national")
+def rain_features_national(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), td.dims(spark, sf_dir))
+    return national.withColumn("national_avg_rainfall_mm", r6("national_avg_rainfall_mm"))
+
+
+@register("rain_backfill")
+def rain_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rainfall.storage_rows(td.raw_rainfall_wide(spark, sf_dir), td.dims(spark, sf_dir))
+
+
+@register("rain_missing_areas")
+def rain_missing_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = td.dims(spark, sf_dir)
+    return rainfall.missing_districts(rainfall.storage_rows(td.raw_rainfall_wide(spark, sf_dir), dims), dims)
+
+
+# ---------------------------------------------------------------- correlation
+
+
+@register("rain_case_corr")
+def rain_case_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return correlation.per_district(analytics(spark, sf_dir))
+
+
+@register("rain_case_corr_lagged")
+def rain_case_corr_lagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return correlation.lagged(analytics(spark, sf_dir))
+
+
+@register("corr_summary")
+def corr_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = correlation.summary(correlation.per_district(analytics(spark, sf_dir)))
+    return out.select("disease", r9("mean_r").alias("mean_r"), r9("median_r").alias("median_r"), "n_districts")
+
+
+@register("lag_summary")
+def lag_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = correlation.lag_summary(correlation.lagged(analytics(spark, sf_dir)))
+    return out.select(
+        "disease", "lag_months", r9("mean_corr").alias("mean_corr"),
+        r9("std_corr").alias("std_corr"), "mean_corr_3dp",
+    )
+
+
+@register("lag_pivot")
+def lag_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return correlation.lag_pivot(correlation.lagged(analytics(spark, sf_dir)))
+
+
+@register("corr_distribution")
+def corr_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = correlation.distribution(correlation.per_district(analytics(spark, sf_dir)))
+    return out.select("disease", *[r9(c).alias(c) for c in out.columns if c != "disease"])

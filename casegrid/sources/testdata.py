@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.dims import MONTH_ORDER, Dims
+from casegrid.dims import DISEASE_SCHEMA, MONTH_ORDER, Dims, literal_table
 from casegrid.functions.names import canonical_key
 
 # Fixed values of the projection (the oracle SQL uses the same ones).
@@ -147,9 +147,8 @@ def dims(spark: SparkSession, sf_dir: str) -> Dims:
         (F.col("n_nationkey") + 1).cast("int").alias("district_id"),
         F.col("n_name").alias("district_display"),
     )
-    diseases = spark.createDataFrame(
-        [(k.lower(), v, k) for k, v in DISEASE_IDS.items()],
-        "disease_key string, disease_id int, disease_display string",
+    diseases = literal_table(
+        spark, [(k.lower(), v, k) for k, v in DISEASE_IDS.items()], DISEASE_SCHEMA
     )
     remapped = f"nation{REMAPPED_NATION}"
     template = f"NATION_{REMAP_TEMPLATE_NATION}"
