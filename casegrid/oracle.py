@@ -185,16 +185,7 @@ SELECT DISTINCT c.district FROM clean_zero c
 WHERE c.district NOT IN (SELECT district FROM population WHERE population IS NOT NULL)
 """)
 
-SQL["risk_storage_rows"] = with_base(
-    body=f"""
-SELECT district_id, week_number, year, disease_id, risk_level,
-       CAST(round_even(lower_threshold, 0) AS INTEGER) AS lower_threshold,
-       CAST(round_even(upper_threshold, 0) AS INTEGER) AS upper_threshold,
-       CAST(round_even(outbreak_threshold, 0) AS INTEGER) AS outbreak_threshold,
-       {r6('risk_score')} AS risk_score
-FROM risk_ranked WHERE rn = 1
-""",
-    extra=f"""
+_RISK_ROWS = f"""
 risk_ided AS (
   SELECT d.district_id, w.week_number, w.year, s.disease_id, w.risk_level,
          w.lower_threshold, w.upper_threshold, w.outbreak_threshold,
@@ -212,8 +203,24 @@ risk_ranked AS (
   SELECT *, row_number() OVER (PARTITION BY district_id, week_number, year, disease_id
                                ORDER BY risk_priority DESC, risk_score DESC) AS rn
   FROM risk_ided
+),
+risk_rows AS (
+  SELECT district_id, week_number, year, disease_id, risk_level,
+         CAST(round_even(lower_threshold, 0) AS INTEGER) AS lower_threshold,
+         CAST(round_even(upper_threshold, 0) AS INTEGER) AS upper_threshold,
+         CAST(round_even(outbreak_threshold, 0) AS INTEGER) AS outbreak_threshold,
+         risk_score
+  FROM risk_ranked WHERE rn = 1
 )
+"""
+
+SQL["risk_storage_rows"] = with_base(
+    f"""
+SELECT district_id, week_number, year, disease_id, risk_level, lower_threshold, upper_threshold,
+       outbreak_threshold, {r6('risk_score')} AS risk_score
+FROM risk_rows
 """,
+    _RISK_ROWS,
 )
 
 
@@ -477,3 +484,143 @@ SELECT disease, {r9('avg(correlation)')} AS mean_r,
        {r9('quantile_cont(correlation, 1.0)')} AS max_r
 FROM corr_pd GROUP BY disease
 """)
+
+
+# ---------------------------------------------------------------- names, numbers, calendar
+
+SQL["canonical_names"] = with_base(f"""
+SELECT r.area_reported, k.district_key, d.district_id,
+       coalesce(d.district_display, r.area_reported) AS display_name,
+       CASE WHEN k.district_key = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+            ELSE coalesce(d.district_display, r.area_reported) END AS rainfall_area
+FROM (SELECT DISTINCT area_reported FROM raw_cases) r
+CROSS JOIN LATERAL (SELECT {canon('r.area_reported')} AS district_key) k
+LEFT JOIN districts d ON k.district_key = d.district_key
+""")
+
+SQL["disease_names"] = with_base("""
+SELECT r.disease, lower(trim(r.disease)) AS disease_key, s.disease_id,
+       coalesce(s.disease_display, r.disease) AS display_name
+FROM (SELECT DISTINCT disease FROM raw_cases) r
+LEFT JOIN diseases s ON lower(trim(r.disease)) = s.disease_key
+""")
+
+SQL["parse_numbers"] = with_base("""
+SELECT Region, Population,
+       TRY_CAST(trim(replace(Population, ',', '')) AS DOUBLE) AS population,
+       CAST(round_even(CAST(trim(replace(Population, ',', '')) AS DOUBLE), 0) AS INTEGER) AS population_int,
+       TRY_CAST(Region AS DOUBLE) AS region_as_number
+FROM raw_population
+""")
+
+_M = week_to_month("week_number")
+SQL["week_month_buckets"] = with_base(f"""
+SELECT week_number, {_M} AS month, {_MONTH_LIST}[{_M}] AS month_name,
+       ({_M} % 12) + 1 AS month_lag1, (({_M} + 1) % 12) + 1 AS month_lag2
+FROM (SELECT DISTINCT week_number FROM clean_drop)
+""")
+
+SQL["province_lookup"] = with_analytics("""
+SELECT t.disease, p.province, sum(t.total_cases) AS total_cases, count(*) AS districts,
+       min(p.sort_order) AS first_sort_order
+FROM (SELECT disease, district, sum(total_cases) AS total_cases FROM hot GROUP BY 1, 2) t
+LEFT JOIN (SELECT n.n_name AS district, r.r_name AS province,
+                  CAST(r.r_regionkey * 100 + n.n_nationkey AS INTEGER) AS sort_order
+           FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) p
+  ON t.district = p.district
+GROUP BY 1, 2
+""")
+
+# ---------------------------------------------------------------- keyed tables
+
+_KEYED = """
+keyed AS (
+  SELECT week_number, year, district_id, disease_id, disease,
+         CAST(round_even(cases_raw, 0) AS INTEGER) AS case_count
+  FROM parsed_cases
+  WHERE year IS NOT NULL AND week_number IS NOT NULL AND cases_raw IS NOT NULL
+),
+hist AS (
+  SELECT * FROM keyed WHERE district_id IS NOT NULL AND disease_id IS NOT NULL
+)
+"""
+
+SQL["historical_rows"] = with_base("SELECT * FROM hist", _KEYED)
+
+SQL["load_report"] = with_base("""
+SELECT disease, count(*) AS rows,
+       count(*) FILTER (WHERE district_id IS NOT NULL AND disease_id IS NOT NULL) AS accepted,
+       count(*) FILTER (WHERE district_id IS NULL) AS skipped_unknown_district,
+       count(*) FILTER (WHERE disease_id IS NULL) AS skipped_unknown_disease
+FROM keyed GROUP BY disease
+""", _KEYED)
+
+SQL["duplicate_keys"] = with_base("""
+SELECT week_number, year, district_id, count(*) AS n FROM hist GROUP BY 1, 2, 3 HAVING count(*) > 1
+""", _KEYED)
+
+SQL["upsert_cases"] = with_base("""
+SELECT coalesce(t.week_number, b.week_number) AS week_number, coalesce(t.year, b.year) AS year,
+       coalesce(t.district_id, b.district_id) AS district_id, coalesce(t.disease_id, b.disease_id) AS disease_id,
+       CASE WHEN b.year IS NOT NULL THEN b.case_count ELSE t.case_count END AS case_count,
+       true AS has_id,
+       CASE WHEN b.year IS NOT NULL AND t.year IS NOT NULL THEN 'update'
+            WHEN b.year IS NOT NULL THEN 'insert' ELSE 'keep' END AS _merge_action
+FROM (SELECT * FROM hist WHERE year <= 1998) t
+FULL OUTER JOIN (
+  SELECT week_number, year, district_id, disease_id, arg_max(case_count, seq) AS case_count
+  FROM (SELECT week_number, year, district_id, disease_id, case_count + 1 AS case_count, 1 AS seq
+        FROM hist WHERE year >= 1998
+        UNION ALL
+        SELECT week_number, year, district_id, disease_id, case_count, 0 AS seq FROM hist WHERE year = 1999)
+  GROUP BY 1, 2, 3, 4
+) b ON t.week_number = b.week_number AND t.year = b.year AND t.district_id = b.district_id
+   AND t.disease_id = b.disease_id
+""", _KEYED)
+
+_OLDER_POP = f"""
+older_raw AS (
+  SELECT lower(n.n_name) AS Region, format('{{:,}}', c.cnt * {td.POPULATION_PER_CUSTOMER}) AS Population
+  FROM (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE c_acctbal > 0 GROUP BY 1) c
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+)
+"""
+
+SQL["upsert_population"] = with_base(
+    f"""
+SELECT coalesce(t.district_id, b.district_id) AS district_id,
+       CASE WHEN b.district_id IS NOT NULL THEN b.population ELSE t.population END AS population,
+       true AS has_id,
+       CASE WHEN b.district_id IS NOT NULL AND t.district_id IS NOT NULL THEN 'update'
+            WHEN b.district_id IS NOT NULL THEN 'insert' ELSE 'keep' END AS _merge_action
+FROM (SELECT d.district_id,
+             CAST(round_even(TRY_CAST(trim(replace(o.Population, ',', '')) AS DOUBLE), 0) AS INTEGER) AS population
+      FROM older_raw o JOIN districts d ON {canon('o.Region')} = d.district_key
+      WHERE TRY_CAST(trim(replace(o.Population, ',', '')) AS DOUBLE) IS NOT NULL) t
+FULL OUTER JOIN (
+      SELECT district_id, CAST(round_even(population, 0) AS INTEGER) AS population
+      FROM population WHERE district_id IS NOT NULL AND population IS NOT NULL) b
+  ON t.district_id = b.district_id
+""",
+    _OLDER_POP,
+)
+
+SQL["upsert_risk"] = with_base(
+    body=f"""
+SELECT coalesce(t.district_id, b.district_id) AS district_id, coalesce(t.week_number, b.week_number) AS week_number,
+       coalesce(t.year, b.year) AS year, coalesce(t.disease_id, b.disease_id) AS disease_id,
+       CASE WHEN b.year IS NOT NULL THEN b.risk_level ELSE t.risk_level END AS risk_level,
+       CASE WHEN b.year IS NOT NULL THEN b.lower_threshold ELSE t.lower_threshold END AS lower_threshold,
+       CASE WHEN b.year IS NOT NULL THEN b.upper_threshold ELSE t.upper_threshold END AS upper_threshold,
+       CASE WHEN b.year IS NOT NULL THEN b.outbreak_threshold ELSE t.outbreak_threshold END AS outbreak_threshold,
+       {r6('CASE WHEN b.year IS NOT NULL THEN b.risk_score ELSE t.risk_score END')} AS risk_score,
+       true AS has_id, true AS has_time,
+       CASE WHEN b.year IS NOT NULL AND t.year IS NOT NULL THEN 'update'
+            WHEN b.year IS NOT NULL THEN 'insert' ELSE 'keep' END AS _merge_action
+FROM (SELECT * FROM risk_rows WHERE year <= 1998) t
+FULL OUTER JOIN (SELECT * FROM risk_rows WHERE year >= 1998) b
+  ON t.district_id = b.district_id AND t.week_number = b.week_number AND t.year = b.year
+ AND t.disease_id = b.disease_id
+""",
+    extra=_RISK_ROWS,
+)

@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.functions.numbers import round_half_even
-from casegrid.operators import cleaning, correlation, frame, patterns, rainfall, risk
+from casegrid.functions.calendar import month_name, month_shift, week_to_month
+from casegrid.functions.names import disease_key
+from casegrid.functions.numbers import lenient_double, parse_thousands, strict_int
+from casegrid.operators import cleaning, correlation, frame, loads, patterns, rainfall, risk, upsert
 from casegrid.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -275,3 +278,134 @@ def lag_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corr_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = correlation.distribution(correlation.per_district(analytics(spark, sf_dir)))
     return out.select("disease", *[r9(c).alias(c) for c in out.columns if c != "disease"])
+
+
+# ---------------------------------------------------------------- names, numbers, calendar
+
+
+@register("canonical_names")
+def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = td.raw_cases(spark, sf_dir).select("area_reported").distinct()
+    return cleaning.lookup_district(
+        raw, "area_reported", td.dims(spark, sf_dir),
+        display="display_name", district_id="district_id", rainfall_area="rainfall_area", key="district_key",
+    )
+
+
+@register("disease_names")
+def disease_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = td.raw_cases(spark, sf_dir).select("disease").distinct()
+    out = cleaning.lookup_disease(raw, "disease", td.dims(spark, sf_dir), display="display_name", disease_id="disease_id")
+    return out.withColumn("disease_key", disease_key("disease"))
+
+
+@register("parse_numbers")
+def parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = td.raw_population(spark, sf_dir)
+    return raw.select(
+        "Region", "Population",
+        parse_thousands("Population").alias("population"),
+        strict_int("Population").alias("population_int"),
+        lenient_double("Region").alias("region_as_number"),
+    )
+
+
+@register("week_month_buckets")
+def week_month_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weeks = clean_cases(spark, sf_dir, "drop").select("week_number").distinct()
+    return weeks.select(
+        "week_number",
+        week_to_month("week_number").alias("month"),
+        month_name(week_to_month("week_number")).alias("month_name"),
+        month_shift(week_to_month("week_number"), 1).alias("month_lag1"),
+        month_shift(week_to_month("week_number"), 2).alias("month_lag2"),
+    )
+
+
+@register("province_lookup")
+def province_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = patterns.district_totals(patterns.hotspots(analytics(spark, sf_dir)))
+    prov = td.provinces(spark, sf_dir)
+    return (
+        totals.join(F.broadcast(prov), "district", "left")
+        .groupBy("disease", "province")
+        .agg(
+            F.sum("total_cases").alias("total_cases"),
+            F.count(F.lit(1)).alias("districts"),
+            F.min("sort_order").alias("first_sort_order"),
+        )
+    )
+
+
+# ---------------------------------------------------------------- keyed tables
+
+
+def historical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loads.accepted(loads.keyed_case_rows(td.raw_cases(spark, sf_dir), td.dims(spark, sf_dir)))
+
+
+@register("historical_rows")
+def historical_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return historical_rows(spark, sf_dir)
+
+
+@register("load_report")
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loads.load_report(loads.keyed_case_rows(td.raw_cases(spark, sf_dir), td.dims(spark, sf_dir)))
+
+
+@register("duplicate_keys")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loads.duplicate_keys(historical_rows(spark, sf_dir), ["week_number", "year", "district_id"])
+
+
+@register("upsert_cases")
+def upsert_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: stored weeks up to 1998; batch: 1998+ with revised counts, where
+    1999 rows arrive twice (older value first) and the last one must win."""
+    hist = historical_rows(spark, sf_dir).drop("disease")
+    target = hist.filter(F.col("year") <= 1998).withColumn("data_id", F.expr("uuid()"))
+    revised = hist.filter(F.col("year") >= 1998).withColumn("case_count", F.col("case_count") + 1)
+    stale = hist.filter(F.col("year") == 1999)
+    batch = revised.withColumn("seq", F.lit(1)).unionByName(stale.withColumn("seq", F.lit(0)))
+    merged = upsert.merge_upsert(
+        target, batch, loads.HISTORICAL_KEYS, ["case_count"], id_col="data_id", seq_col="seq", with_action=True,
+    )
+    return merged.select(*loads.HISTORICAL_KEYS, "case_count",
+                         F.col("data_id").isNotNull().alias("has_id"), upsert.ACTION_COL)
+
+
+@register("upsert_population")
+def upsert_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: an older population (customers with a positive balance only);
+    batch: the current one."""
+    dims = td.dims(spark, sf_dir)
+    current = loads.population_rows(td.raw_population(spark, sf_dir), dims)
+    older_raw = td.raw_population(spark, sf_dir, positive_balance_only=True)
+    target = loads.population_rows(older_raw, dims).withColumn("id", F.expr("uuid()"))
+    merged = upsert.merge_upsert(target, current, ["district_id"], ["population"], id_col="id", with_action=True)
+    return merged.select("district_id", "population", F.col("id").isNotNull().alias("has_id"), upsert.ACTION_COL)
+
+
+@register("upsert_risk")
+def upsert_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: stored risk rows up to 1998; batch: rows from 1998 on."""
+    _, weekly = risk_frames(spark, sf_dir)
+    rows = risk.risk_storage_rows(weekly, td.dims(spark, sf_dir))
+    target = (
+        rows.filter(F.col("year") <= 1998)
+        .withColumn("risk_id", F.expr("uuid()"))
+        .withColumn("calculated_at", F.current_timestamp())
+    )
+    batch = rows.filter(F.col("year") >= 1998)
+    merged = upsert.merge_upsert(
+        target, batch, loads.RISK_KEYS, loads.RISK_SET,
+        id_col="risk_id", touch_col="calculated_at", with_action=True,
+    )
+    return merged.select(
+        *loads.RISK_KEYS, *[c for c in loads.RISK_SET if c != "risk_score"],
+        r6("risk_score").alias("risk_score"),
+        F.col("risk_id").isNotNull().alias("has_id"),
+        F.col("calculated_at").isNotNull().alias("has_time"),
+        upsert.ACTION_COL,
+    )

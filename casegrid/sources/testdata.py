@@ -96,9 +96,16 @@ def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``Region`` (lower-case nation name), ``Population`` ("12,000")."""
-    customer = table(spark, sf_dir, "customer").select("c_nationkey")
+def raw_population(spark: SparkSession, sf_dir: str, positive_balance_only: bool = False) -> DataFrame:
+    """``Region`` (lower-case nation name), ``Population`` ("12,000").
+
+    ``positive_balance_only`` counts only customers with a positive balance
+    (an older, smaller population table for upsert checks).
+    """
+    customer = table(spark, sf_dir, "customer")
+    if positive_balance_only:
+        customer = customer.filter(F.col("c_acctbal") > 0)
+    customer = customer.select("c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     counts = customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
     return counts.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
