@@ -624,3 +624,62 @@ FULL OUTER JOIN (SELECT * FROM risk_rows WHERE year >= 1998) b
 """,
     extra=_RISK_ROWS,
 )
+
+
+# ---------------------------------------------------------------- forecast
+
+_FEATURES = f"""
+rain_feat_long AS (
+  SELECT CASE WHEN {canon('m.District')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+              ELSE coalesce(d.district_display, m.District) END AS area_key,
+         CAST(list_position({_MONTH_LIST}, m.month_name) AS INTEGER) AS month,
+         TRY_CAST(trim(replace(m.v, ',', '')) AS DOUBLE) AS mm
+  FROM rain_melt m LEFT JOIN districts d ON {canon('m.District')} = d.district_key
+),
+feat_annual AS (
+  SELECT area_key, min(annual) AS avg_annual_rainfall_mm FROM (
+    SELECT {_AREA_KEY} AS area_key, TRY_CAST(trim(replace(w.Annual, ',', '')) AS DOUBLE) AS annual
+    FROM rain_wide w LEFT JOIN districts d ON {canon('w.District')} = d.district_key
+  ) WHERE annual IS NOT NULL GROUP BY area_key
+),
+feat_national AS (
+  SELECT month, avg(mm) AS national_avg_rainfall_mm FROM rain_feat_long GROUP BY month
+),
+train_rows AS (
+  SELECT c.year, c.week_number, c.month, a.avg_annual_rainfall_mm, n.national_avg_rainfall_mm,
+         c.district AS area_reported, c.disease, c.cases_reported
+  FROM clean_drop c
+  LEFT JOIN districts d ON {canon('c.district')} = d.district_key
+  LEFT JOIN feat_annual a ON a.area_key =
+       CASE WHEN {canon('c.district')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+            ELSE coalesce(d.district_display, c.district) END
+  LEFT JOIN feat_national n ON c.month = n.month
+  WHERE a.avg_annual_rainfall_mm IS NOT NULL AND n.national_avg_rainfall_mm IS NOT NULL
+)
+"""
+
+SQL["training_frame"] = with_analytics(
+    f"""
+SELECT year, week_number, month, avg_annual_rainfall_mm, {r6('national_avg_rainfall_mm')} AS national_avg_rainfall_mm,
+       area_reported, disease, cases_reported
+FROM train_rows
+""",
+    _FEATURES,
+)
+
+SQL["prediction_grid"] = with_analytics(
+    f"""
+SELECT 2002 AS year, w.week_number, {week_to_month('w.week_number')} AS month,
+       fa.avg_annual_rainfall_mm, {r6('fn.national_avg_rainfall_mm')} AS national_avg_rainfall_mm,
+       a.area_reported, s.disease
+FROM (SELECT DISTINCT area_reported FROM train_rows) a
+CROSS JOIN (SELECT DISTINCT disease FROM train_rows) s
+CROSS JOIN (SELECT CAST(range AS INTEGER) AS week_number FROM range(1, 53)) w
+LEFT JOIN districts d ON {canon('a.area_reported')} = d.district_key
+LEFT JOIN feat_annual fa ON fa.area_key =
+     CASE WHEN {canon('a.area_reported')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+          ELSE coalesce(d.district_display, a.area_reported) END
+LEFT JOIN feat_national fn ON fn.month = {week_to_month('w.week_number')}
+""",
+    _FEATURES,
+)

@@ -17,7 +17,7 @@ from casegrid.functions.numbers import round_half_even
 from casegrid.functions.calendar import month_name, month_shift, week_to_month
 from casegrid.functions.names import disease_key
 from casegrid.functions.numbers import lenient_double, parse_thousands, strict_int
-from casegrid.operators import cleaning, correlation, frame, loads, patterns, rainfall, risk, upsert
+from casegrid.operators import cleaning, correlation, forecast, frame, loads, patterns, rainfall, risk, upsert
 from casegrid.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -409,3 +409,59 @@ def upsert_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("calculated_at").isNotNull().alias("has_time"),
         upsert.ACTION_COL,
     )
+
+
+# ---------------------------------------------------------------- forecast
+
+PREDICTION_YEAR = 2002  # the year after the last order year in the test tables
+QUERY_TREES = 20        # small forest for the registered check; library default is 300
+QUERY_DEPTH = 10
+
+
+def training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = td.dims(spark, sf_dir)
+    annual, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), dims)
+    return forecast.training_frame(clean_cases(spark, sf_dir, "drop"), annual, national, dims)
+
+
+@register("training_frame")
+def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training(spark, sf_dir).withColumn("national_avg_rainfall_mm", r6("national_avg_rainfall_mm"))
+
+
+@register("prediction_grid")
+def prediction_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring grid from the categories an indexer learns on the training frame."""
+    from pyspark.ml.feature import StringIndexer
+
+    dims = td.dims(spark, sf_dir)
+    annual, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), dims)
+    train_df = forecast.training_frame(clean_cases(spark, sf_dir, "drop"), annual, national, dims)
+    indexer = StringIndexer(inputCols=forecast.CATEGORICAL, outputCols=["a_idx", "d_idx"]).fit(train_df)
+    areas, diseases = (sorted(x) for x in indexer.labelsArray)
+    grid = forecast.prediction_grid(spark, list(areas), list(diseases), PREDICTION_YEAR, annual, national, dims)
+    return grid.withColumn("national_avg_rainfall_mm", r6("national_avg_rainfall_mm"))
+
+
+def _fitted(spark: SparkSession, sf_dir: str):
+    data = training(spark, sf_dir)
+    model, metrics = forecast.train(data, num_trees=QUERY_TREES, max_depth=QUERY_DEPTH)
+    return data, model, metrics
+
+
+@register("forecast_metrics")
+def forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out MAE / RMSE of the forest (rows-only check: not SQL-expressible)."""
+    _, _, metrics = _fitted(spark, sf_dir)
+    return metrics
+
+
+@register("forecast_predictions")
+def forecast_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored grid for the next year (rows-only check)."""
+    dims = td.dims(spark, sf_dir)
+    annual, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), dims)
+    _, model, _ = _fitted(spark, sf_dir)
+    areas, diseases = forecast.labels(model)
+    grid = forecast.prediction_grid(spark, areas, diseases, PREDICTION_YEAR, annual, national, dims)
+    return forecast.predict(model, grid)
