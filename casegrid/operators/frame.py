@@ -43,6 +43,23 @@ def rainfall_long_raw(wide: DataFrame) -> DataFrame:
     ).na.drop("any")
 
 
+def rainfall_lag_table(rainfall_long: DataFrame, lags: tuple[int, ...] = LAGS) -> DataFrame:
+    """(area, month) -> same-month and lagged rainfall, built in one pass.
+
+    Every rainfall row is emitted once per lag at its shifted month, then one
+    grouped pivot collects ``rainfall_mm``, ``rainfall_lag1_mm``, ... per
+    (area, month). One scan of the rainfall input instead of one per lag, and
+    one join for the fact side. Rainfall is keyed by (area, month).
+    """
+    shifts = [F.struct(F.lit(0).alias("lag"), F.col("month").alias("target"))]
+    shifts += [F.struct(F.lit(k).alias("lag"), month_shift("month", k).alias("target")) for k in lags]
+    stacked = rainfall_long.select("rainfall_area", "avg_rainfall_mm", F.inline(F.array(*shifts)))
+    names = {0: "rainfall_mm", **{k: f"rainfall_lag{k}_mm" for k in lags}}
+    return stacked.groupBy("rainfall_area", F.col("target").alias("month")).agg(
+        *[F.max(F.when(F.col("lag") == k, F.col("avg_rainfall_mm"))).alias(n) for k, n in names.items()]
+    )
+
+
 def analytics_frame(
     cases: DataFrame,
     population: DataFrame,
@@ -58,15 +75,7 @@ def analytics_frame(
     """
     df = cases.join(F.broadcast(population.select("district", "population")), "district", "left")
     df = lookup_district(df, "district", dims, rainfall_area="rainfall_area")
-    base = rainfall_long.select("rainfall_area", "month", F.col("avg_rainfall_mm").alias("rainfall_mm"))
-    df = df.join(F.broadcast(base), ["rainfall_area", "month"], "left")
-    for lag in LAGS:
-        shifted = rainfall_long.select(
-            "rainfall_area",
-            month_shift("month", lag).alias("month"),
-            F.col("avg_rainfall_mm").alias(f"rainfall_lag{lag}_mm"),
-        )
-        df = df.join(F.broadcast(shifted), ["rainfall_area", "month"], "left")
+    df = df.join(F.broadcast(rainfall_lag_table(rainfall_long)), ["rainfall_area", "month"], "left")
     return df.select(
         "year", "disease", "district", "week_number", "month", "cases_reported", "population",
         "rainfall_area", "rainfall_mm", "rainfall_lag1_mm", "rainfall_lag2_mm",

@@ -123,3 +123,17 @@ def test_streaming_ingest_upserts_new_files(spark, workdir):
     out = spark.read.parquet(table)
     assert out.count() == 100
     assert out.filter((F.col("district_id") == 1) & (F.col("week_number") == 1)).first()["case_count"] >= 10
+
+
+def test_full_pipeline(spark, workdir):
+    root = make_datasets(f"{workdir}/data")
+    inputs = jobs.surveillance_inputs(spark, root, years=(2023, 2024), missing="silent")
+    res = jobs.full_pipeline(spark, inputs, f"{workdir}/tables", f"{workdir}/out", f"{workdir}/model",
+                             risk_year=2024, prediction_year=2026, num_trees=5, max_depth=4)
+    assert res["population"]["upsert"]["inserted"] == 5
+    assert res["rainfall"]["upsert"]["inserted"] == 5
+    assert res["historical"]["upsert"]["inserted"] > 0
+    assert res["risk"]["upsert"]["inserted"] == 3 * 5 * 20
+    assert res["forecast"]["store"]["upsert"]["inserted"] == 5 * 3 * 52
+    for name in ("perdistrictpopulation", "rainfall_data", "historicaldata", "risk_levels", "reports"):
+        assert spark.read.parquet(f"{workdir}/tables/{name}").count() > 0
