@@ -42,21 +42,22 @@ def lookup_district(
         F.col("district_id").alias("__district_id"),
         F.col("district_display").alias("__district_display"),
     )
-    out = df.withColumn(_KEY, canonical_key(col, dims.aliases)).join(
-        F.broadcast(d), on=_KEY, how="left"
-    )
-    raw_text = F.coalesce(F.col(col).cast("string"), F.lit("nan"))
-    display_col = F.coalesce(F.col("__district_display"), raw_text)
+    joined = df.withColumn(_KEY, canonical_key(col, dims.aliases)).join(F.broadcast(d), on=_KEY, how="left")
+    display_col = F.coalesce(F.col("__district_display"), F.coalesce(F.col(col).cast("string"), F.lit("nan")))
+    outputs = []
     if display:
-        out = out.withColumn(display, display_col)
+        outputs.append(display_col.alias(display))
     if district_id:
-        out = out.withColumn(district_id, F.col("__district_id"))
+        outputs.append(F.col("__district_id").alias(district_id))
     if rainfall_area:
-        remap = F.try_element_at(literal_map(dims.rainfall_remap), F.col(_KEY)) if dims.rainfall_remap else F.lit(None)
-        out = out.withColumn(rainfall_area, F.coalesce(remap, display_col))
+        remap = F.try_element_at(literal_map(dims.rainfall_remap), F.col(_KEY)) if dims.rainfall_remap else None
+        outputs.append((F.coalesce(remap, display_col) if remap is not None else display_col).alias(rainfall_area))
     if key:
-        out = out.withColumn(key, F.col(_KEY))
-    return out.drop(_KEY, "__district_id", "__district_display")
+        outputs.append(F.col(_KEY).alias(key))
+    produced = {display, district_id, rainfall_area, key} - {None}
+    keep = [F.col(c) for c in df.columns if c not in produced]
+    # one projection for all outputs (fewer analyzer passes than chained withColumn)
+    return joined.select(*keep, *outputs)
 
 
 def lookup_disease(
@@ -72,15 +73,15 @@ def lookup_disease(
         F.col("disease_id").alias("__disease_id"),
         F.col("disease_display").alias("__disease_display"),
     )
-    out = df.withColumn(_DKEY, disease_key(col)).join(F.broadcast(d), on=_DKEY, how="left")
+    joined = df.withColumn(_DKEY, disease_key(col)).join(F.broadcast(d), on=_DKEY, how="left")
+    outputs = []
     if display:
-        out = out.withColumn(
-            display,
-            F.coalesce(F.col("__disease_display"), F.coalesce(F.col(col).cast("string"), F.lit("nan"))),
-        )
+        outputs.append(F.coalesce(F.col("__disease_display"),
+                                  F.coalesce(F.col(col).cast("string"), F.lit("nan"))).alias(display))
     if disease_id:
-        out = out.withColumn(disease_id, F.col("__disease_id"))
-    return out.drop(_DKEY, "__disease_id", "__disease_display")
+        outputs.append(F.col("__disease_id").alias(disease_id))
+    produced = {display, disease_id} - {None}
+    return joined.select(*[F.col(c) for c in df.columns if c not in produced], *outputs)
 
 
 def clean_cases(raw: DataFrame, dims: Dims, null_policy: str = "drop") -> DataFrame:

@@ -23,6 +23,8 @@ supplier join, which shrinks it to at most 12 rows per supplier.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +40,37 @@ POPULATION_PER_CUSTOMER = 1000
 DISEASE_IDS = {"F": 1, "O": 2, "P": 3}
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+_DIMS: dict[tuple[int, str], Dims] = {}
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Reuse the lazy view DataFrame per (session, folder, args): it is only a
+    plan, so this saves driver-side analysis, not any execution."""
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kwargs.items())))
+        if key not in _VIEWS:
+            _VIEWS[key] = fn(spark, sf_dir, *args, **kwargs)
+        return _VIEWS[key]
+
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy scan of one test table. The (read-only) tables' scan DataFrames are
+    reused per session, so file listing and footer reads happen once on the
+    driver, not once per operator that mentions the table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
+@_memo
 def case_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (district, disease, year, week) with the summed count.
 
@@ -71,6 +100,7 @@ def case_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.sum("qty").alias("cases"))
 
 
+@_memo
 def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case rows as they would arrive from the files: every value a string
     (except ``year``), four spellings of each district, lower/upper-case
@@ -96,6 +126,7 @@ def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def raw_population(spark: SparkSession, sf_dir: str, positive_balance_only: bool = False) -> DataFrame:
     """``Region`` (lower-case nation name), ``Population`` ("12,000").
 
@@ -114,6 +145,7 @@ def raw_population(spark: SparkSession, sf_dir: str, positive_balance_only: bool
     )
 
 
+@_memo
 def rainfall_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(area, month, mm) with mm = line items shipped by the area's suppliers."""
     per_supp = (
@@ -131,6 +163,7 @@ def rainfall_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def raw_rainfall_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``District, Jan..Dec, Annual`` strings, one row per area that has rain."""
     long = rainfall_long(spark, sf_dir).filter(F.col("nationkey") != REMAPPED_NATION)
@@ -148,6 +181,13 @@ def raw_rainfall_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dims(spark: SparkSession, sf_dir: str) -> Dims:
     """Dimensions derived from ``nation`` (fixed 25 rows) and the status codes."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _DIMS:
+        _DIMS[key] = _build_dims(spark, sf_dir)
+    return _DIMS[key]
+
+
+def _build_dims(spark: SparkSession, sf_dir: str) -> Dims:
     nation = table(spark, sf_dir, "nation")
     districts = nation.select(
         canonical_key("n_name").alias("district_key"),
@@ -169,6 +209,7 @@ def dims(spark: SparkSession, sf_dir: str) -> Dims:
     )
 
 
+@_memo
 def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """District -> province (its region) with a display order (P10)."""
     nation = table(spark, sf_dir, "nation")
