@@ -154,6 +154,21 @@ def population_ids(raw: DataFrame, dims: Dims) -> DataFrame:
     return lookup_district(df, "Region", dims, district_id="district_id")
 
 
+def with_province(df: DataFrame, provinces: DataFrame, district_col: str = "district") -> DataFrame:
+    """Attach ``province`` and ``sort_order`` by district display name (P10).
+
+    ``provinces``: ``district, province, sort_order`` (``dims.province_frame``),
+    one row per district, so it is broadcast.
+    """
+    p = provinces.select(F.col("district").alias("__pd"), "province", "sort_order")
+    return df.join(F.broadcast(p), F.col(district_col) == F.col("__pd"), "left").drop("__pd")
+
+
+def null_rows(df: DataFrame, col: str) -> DataFrame:
+    """Rows where ``col`` is missing, e.g. unparsable populations to report."""
+    return df.filter(F.col(col).isNull())
+
+
 def area_name_cases(raw_area: Column) -> Column:
     """Raw rainfall area name for the analytics join (whitespace-stripped only)."""
     return strip_ws(raw_area)

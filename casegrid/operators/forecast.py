@@ -82,6 +82,7 @@ def train(
     max_depth: int | None = None,
     test_size: float = 0.2,
     seed: int = 42,
+    checkpoint: bool = True,
 ) -> tuple[PipelineModel, DataFrame]:
     """Random hold-out split, fit, evaluate (M2-M4). Returns (model, metrics frame).
 
@@ -89,8 +90,9 @@ def train(
     checkpoint folder): the indexer fit, the forest's passes and the
     evaluation then read those files instead of re-deriving the rows.
     """
-    ensure_checkpoint_dir(data.sparkSession)
-    data = data.checkpoint(eager=True)
+    if checkpoint:
+        ensure_checkpoint_dir(data.sparkSession)
+        data = data.checkpoint(eager=True)
     train_df, test_df = data.randomSplit([1.0 - test_size, test_size], seed=seed)
     model = build_pipeline(num_trees, max_depth, seed).fit(train_df)
     return model, error_metrics(model.transform(test_df))

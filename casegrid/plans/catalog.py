@@ -179,9 +179,14 @@ def top_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.top_hotspots(patterns.hotspots(analytics(spark, sf_dir)), n=5)
 
 
+# the loaded years (order dates span 1995-2001), as the analytics input is read
+# for a fixed list of years; explicit pivot values avoid a second pass
+YEARS = tuple(range(1995, 2002))
+
+
 @register("annual_pivot")
 def annual_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return patterns.annual_pivot(patterns.yoy_change(analytics(spark, sf_dir)))
+    return patterns.annual_pivot(patterns.yoy_change(analytics(spark, sf_dir)), years=YEARS)
 
 
 # ---------------------------------------------------------------- rainfall
@@ -325,9 +330,8 @@ def week_month_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("province_lookup")
 def province_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = patterns.district_totals(patterns.hotspots(analytics(spark, sf_dir)))
-    prov = td.provinces(spark, sf_dir)
     return (
-        totals.join(F.broadcast(prov), "district", "left")
+        cleaning.with_province(totals, td.provinces(spark, sf_dir))
         .groupBy("disease", "province")
         .agg(
             F.sum("total_cases").alias("total_cases"),

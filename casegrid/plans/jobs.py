@@ -63,6 +63,7 @@ def risk_job(inputs: Inputs, out_dir: str | None = None, year: int | None = None
         "thresholds": thresholds,
         "weekly_risk": weekly,
         "unmatched_areas": risk.unmatched_areas(cases, population),
+        "invalid_population": cleaning.null_rows(population, "population"),
         "risk_rows": risk.risk_storage_rows(weekly, inputs.dims),
     }
     if out_dir:
@@ -143,7 +144,9 @@ def train_job(inputs: Inputs, model_dir: str | None = None, num_trees: int = 300
     data = forecast.training_frame(
         cleaning.clean_cases(inputs.cases, inputs.dims, "drop"), annual, national, inputs.dims
     )
-    model, metrics = forecast.train(data, num_trees, max_depth, test_size, seed)
+    ensure_checkpoint_dir(data.sparkSession)
+    data = data.checkpoint(eager=True)  # fit, evaluation and the row count read it once
+    model, metrics = forecast.train(data, num_trees, max_depth, test_size, seed, checkpoint=False)
     if model_dir:
         forecast.save_model(model, model_dir)
     m = metrics.first()
