@@ -33,11 +33,13 @@ def surveillance_inputs(
     datasets_dir: str,
     years: tuple[int, ...] = (2023, 2024, 2025),
     diseases: tuple[str, ...] | None = None,
-    population_file: str = "srilanka_population.csv",
-    rainfall_file: str = "rainfall_annual.csv",
+    population_file: str = "*population*.csv",
+    rainfall_file: str = "*rainfall*.csv",
     missing: str = "skip",
 ) -> Inputs:
-    """Inputs from the surveillance CSV layout (one case file per year and disease)."""
+    """Inputs from the surveillance CSV layout: one ``{year}_{Disease}.csv`` per
+    year and disease, plus a population and a wide rainfall file (file names
+    or glob patterns relative to ``datasets_dir``)."""
     diseases = diseases or tuple(d for _, d in DISEASES.values())
     paths = files.case_file_paths(datasets_dir, years, diseases)
     base = datasets_dir.rstrip("/")

@@ -28,7 +28,7 @@ def make_datasets(root, years=(2023, 2024)):
                     v = "" if (d == "Tuberculosis" and w == 20) else str((w * (j + 1) + i + y) % 7)
                     lines.append(f"{w},{a},{v}")
             write(f"{root}/{y}_{d}.csv", "\n".join(lines) + "\n", bom=(y == years[0] and i == 0))
-    write(f"{root}/srilanka_population.csv",
+    write(f"{root}/district_population.csv",
           'Region,Population\nColombo,"2,375,415"\nGampaha,"2,433,685"\nKalutara,"1,305,552"\n'
           'Ampara,"744,551"\nKalmunai,"400,000"\n')
     header = "District," + ",".join(MONTHS) + ",Annual\n"
@@ -36,7 +36,7 @@ def make_datasets(root, years=(2023, 2024)):
     for k, a in enumerate(["Colombo", "Gampaha", "Kalutara", "Ampara"]):
         vals = [str(50 + 10 * m + k) for m in range(12)]
         body += f"{a}," + ",".join(vals) + f',"{sum(int(v) for v in vals):,}"\n'
-    write(f"{root}/rainfall_annual.csv", header + body)
+    write(f"{root}/monthly_rainfall.csv", header + body)
     return root
 
 
