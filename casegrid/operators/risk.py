@@ -46,7 +46,9 @@ def risk_base(cases: DataFrame, population: DataFrame) -> DataFrame:
     pop = population.select(
         F.col("district").alias("__region"), F.col("population").alias("population")
     )
-    joined = cases.join(pop, F.col("district") == F.col("__region"), "left").filter(
+    # population has one row per district (dimension-sized): broadcast it so the
+    # case rows are not shuffled for this lookup
+    joined = cases.join(F.broadcast(pop), F.col("district") == F.col("__region"), "left").filter(
         F.col("population").isNotNull()
     )
     return joined.select(
@@ -63,7 +65,7 @@ def risk_base(cases: DataFrame, population: DataFrame) -> DataFrame:
 def unmatched_areas(cases: DataFrame, population: DataFrame) -> DataFrame:
     """Districts present in the cases but without a population value."""
     valid = population.filter(F.col("population").isNotNull()).select("district")
-    return cases.select("district").join(valid, "district", "left_anti").distinct()
+    return cases.select("district").distinct().join(F.broadcast(valid), "district", "left_anti")
 
 
 def district_thresholds(base: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
