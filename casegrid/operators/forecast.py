@@ -27,7 +27,7 @@ from casegrid.dims import Dims, literal_table
 from casegrid.functions.calendar import week_to_month
 from casegrid.functions.numbers import clip_zero_int
 from casegrid.operators.cleaning import lookup_district
-from casegrid.session import ensure_checkpoint_dir
+from casegrid.session import materialize
 
 NUMERIC = ["year", "week_number", "month", "avg_annual_rainfall_mm", "national_avg_rainfall_mm"]
 CATEGORICAL = ["area_reported", "disease"]
@@ -86,13 +86,12 @@ def train(
 ) -> tuple[PipelineModel, DataFrame]:
     """Random hold-out split, fit, evaluate (M2-M4). Returns (model, metrics frame).
 
-    The training rows are checkpointed once (reliable storage in the session's
-    checkpoint folder): the indexer fit, the forest's passes and the
-    evaluation then read those files instead of re-deriving the rows.
+    The training rows are written once to the session's checkpoint folder
+    (``materialize``): the indexer fit, the forest's passes and the evaluation
+    then read those files instead of re-deriving the rows.
     """
     if checkpoint:
-        ensure_checkpoint_dir(data.sparkSession)
-        data = data.checkpoint(eager=True)
+        data = materialize(data, "training-rows")
     train_df, test_df = data.randomSplit([1.0 - test_size, test_size], seed=seed)
     model = build_pipeline(num_trees, max_depth, seed).fit(train_df)
     return model, error_metrics(model.transform(test_df))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from casegrid.dims import DISEASES, Dims, surveillance_dims
 from casegrid.operators import cleaning, correlation, forecast, frame, loads, patterns, rainfall, risk, upsert
-from casegrid.session import ensure_checkpoint_dir
+from casegrid.session import materialize
 from casegrid.sources import files, sinks
 
 
@@ -93,13 +93,12 @@ def analytics_frame(inputs: Inputs) -> DataFrame:
 def analytics_job(spark: SparkSession, inputs: Inputs, out_dir: str | None = None) -> dict[str, DataFrame]:
     """All analytics tables from one reliable checkpoint of the long frame (C17).
 
-    The long frame feeds every table below, so its lineage (file scans and
-    lookups) is cut once with ``checkpoint()`` into the cluster's checkpoint
-    folder; a lost executor then re-reads checkpoint files instead of
-    recomputing the scans.
+    The long frame feeds every table below, so it is computed once and written
+    to the cluster's checkpoint folder (``materialize``); every table then reads
+    those files, and a lost executor re-reads files instead of recomputing the
+    scans and lookups.
     """
-    ensure_checkpoint_dir(spark)
-    df = analytics_frame(inputs).checkpoint(eager=True)
+    df = materialize(analytics_frame(inputs), "analytics-frame")
     hot = patterns.hotspots(df)
     yoy = patterns.yoy_change(df)
     monthly_rain = rainfall.monthly_by_district(frame.rainfall_long_raw(inputs.rainfall))
@@ -146,8 +145,7 @@ def train_job(inputs: Inputs, model_dir: str | None = None, num_trees: int = 300
     data = forecast.training_frame(
         cleaning.clean_cases(inputs.cases, inputs.dims, "drop"), annual, national, inputs.dims
     )
-    ensure_checkpoint_dir(data.sparkSession)
-    data = data.checkpoint(eager=True)  # fit, evaluation and the row count read it once
+    data = materialize(data, "training-rows")  # fit, evaluation and the row count read it
     model, metrics = forecast.train(data, num_trees, max_depth, test_size, seed, checkpoint=False)
     if model_dir:
         forecast.save_model(model, model_dir)

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF: dict[str, str] = {
     "spark.sql.ansi.enabled": "true",
@@ -76,3 +77,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="casegrid-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` once as Parquet under the checkpoint folder.
+
+    A reliable ``checkpoint()`` without a prior persist computes its input
+    twice (once for the action, once to write the checkpoint files); a written
+    table is computed once, lives on the shared file system (so a lost executor
+    only re-reads files) and is read back with column pruning and pushdown.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/casegrid-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
