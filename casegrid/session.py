@@ -63,8 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. A scratch folder is only created when nothing is configured (tests and
-    local runs).
+    is; if it is missing there, this fails rather than fall back to a
+    machine-local folder. A scratch folder is only created for ``local[...]``
+    masters (tests and local runs).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the shared file system")
         configured = tempfile.mkdtemp(prefix="casegrid-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
