@@ -31,3 +31,16 @@ def canonical_key(c: str | Column, aliases: dict[str, str] | None = None) -> Col
 def disease_key(c: str | Column) -> Column:
     """Disease key: strip and lower-case; NULL becomes ``""``."""
     return F.lower(strip_ws(F.coalesce(_col(c).cast("string"), F.lit(""))))
+
+
+def legacy_key(c: str | Column, aliases: dict[str, str] | None = None) -> Column:
+    """Older, simpler district key (S4d): strip, lower-case, alias, drop spaces.
+
+    Unlike :func:`canonical_key` it does not turn ``_`` / ``-`` into spaces or
+    collapse runs of whitespace before the alias lookup, and a missing name
+    becomes ``"nan"`` (kept, with an unknown id) rather than being dropped.
+    """
+    text = F.lower(strip_ws(F.coalesce(_col(c).cast("string"), F.lit("nan"))))
+    if aliases:
+        text = F.coalesce(F.try_element_at(literal_map(aliases), text), text)
+    return F.replace(text, F.lit(" "), F.lit(""))

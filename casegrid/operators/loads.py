@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.dims import Dims
-from casegrid.functions.numbers import lenient_double, to_int_half_even
+from casegrid.functions.names import legacy_key
+from casegrid.functions.numbers import lenient_double, parse_thousands, to_int_half_even
 from casegrid.operators.cleaning import lookup_disease, lookup_district, population_ids
 
 HISTORICAL_KEYS = ("week_number", "year", "district_id", "disease_id")
@@ -81,6 +82,28 @@ def population_rows(raw_population: DataFrame, dims: Dims) -> DataFrame:
     )
 
 
+def legacy_population_rows(raw_population: DataFrame, dims: Dims) -> DataFrame:
+    """Population rows keyed with the legacy key (S4d): rows with a missing key or
+    population are dropped; ``district_id`` is NULL for unknown keys."""
+    ids = dims.districts.select(F.col("district_key").alias("__k"), "district_id")
+    df = raw_population.select(
+        legacy_key("Region", dims.aliases).alias("__k"),
+        parse_thousands("Population").alias("population"),
+    ).filter(F.col("__k").isNotNull() & F.col("population").isNotNull())
+    return df.join(F.broadcast(ids), "__k", "left").select(
+        "district_id", to_int_half_even("population").alias("population")
+    )
+
+
+def population_report(raw_population: DataFrame, dims: Dims) -> DataFrame:
+    """Rows attempted / skipped for unknown district in a population load."""
+    df = population_ids(raw_population, dims)
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("district_id").isNull()).alias("skipped_unknown_district"),
+    )
+
+
 def report_rows(predictions: DataFrame, dims: Dims) -> DataFrame:
     """Prediction rows keyed like the ``reports`` table."""
     return keyed_case_rows(predictions, dims, count_col="predicted_cases")

@@ -185,17 +185,21 @@ def load_historical(spark: SparkSession, inputs: Inputs, table: str) -> dict:
 def load_population(spark: SparkSession, inputs: Inputs, table: str) -> dict:
     """Upsert ``perdistrictpopulation``."""
     batch = loads.population_rows(inputs.population, inputs.dims)
-    return {"upsert": upsert.upsert_table(spark, table, batch, ["district_id"], ["population"], id_col="id")}
+    report = loads.population_report(inputs.population, inputs.dims).first().asDict()
+    return {"upsert": upsert.upsert_table(spark, table, batch, ["district_id"], ["population"], id_col="id"),
+            "report": report}
 
 
 def load_rainfall(spark: SparkSession, inputs: Inputs, table: str) -> dict:
     """Upsert ``rainfall_data`` with backfill, and list districts still missing."""
     rows = rainfall.storage_rows(inputs.rainfall, inputs.dims)
+    skipped = cleaning.lookup_district(inputs.rainfall.select("District"), "District", inputs.dims,
+                                       district_id="district_id").filter(F.col("district_id").isNull()).count()
     value_cols = [c for c in rows.columns if c != "district_id"]
     counts = upsert.upsert_table(spark, table, rows, ["district_id"], value_cols)
     missing = [r["district"] for r in rainfall.missing_districts(
         spark.read.parquet(table), inputs.dims).collect()]
-    return {"upsert": counts, "missing_districts": sorted(missing)}
+    return {"upsert": counts, "missing_districts": sorted(missing), "skipped_unknown_district": int(skipped)}
 
 
 def load_risk(spark: SparkSession, risk_rows: DataFrame, table: str) -> dict:

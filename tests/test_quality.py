@@ -63,3 +63,14 @@ def test_schema_helpers_and_preview(spark):
         assert "District" in str(exc) and "Jan" in str(exc)
     n, head = files.preview(df)
     assert n == 1 and head.count() == 1
+
+
+def test_legacy_population_key(spark, dims):
+    raw = spark.createDataFrame(
+        [("Nuwara Eliya", "706,588"), ("Moneragala", "1"), ("Nuwara_Eliya", "5"), (None, "3")],
+        "Region string, Population string",
+    )
+    got = [(r["district_id"], r["population"]) for r in loads.legacy_population_rows(raw, dims).collect()]
+    assert sorted(got, key=lambda x: (x[0] is None, x)) == [(6, 706588), (23, 1), (None, 3), (None, 5)]
+    rep = loads.population_report(raw, dims).first()
+    assert rep["rows"] == 4 and rep["skipped_unknown_district"] == 1
