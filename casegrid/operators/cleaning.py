@@ -7,12 +7,12 @@ the fact side is never shuffled for it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.dims import Dims, literal_map
 from casegrid.functions.calendar import week_to_month
-from casegrid.functions.names import canonical_key, disease_key, strip_ws
+from casegrid.functions.names import canonical_key, disease_key
 from casegrid.functions.numbers import lenient_double, parse_thousands
 
 _KEY = "__district_key"
@@ -167,8 +167,3 @@ def with_province(df: DataFrame, provinces: DataFrame, district_col: str = "dist
 def null_rows(df: DataFrame, col: str) -> DataFrame:
     """Rows where ``col`` is missing, e.g. unparsable populations to report."""
     return df.filter(F.col(col).isNull())
-
-
-def area_name_cases(raw_area: Column) -> Column:
-    """Raw rainfall area name for the analytics join (whitespace-stripped only)."""
-    return strip_ws(raw_area)

@@ -173,9 +173,3 @@ def _swap(spark: SparkSession, path: str, new_path: str) -> None:
         fs.delete(backup, True)
     elif not fs.rename(fresh, target):
         raise OSError(f"could not move {new_path} into place")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, hpath = _hadoop_fs(spark, path)
-    if fs.exists(hpath):
-        fs.delete(hpath, True)

@@ -8,6 +8,7 @@ only, so the engines' last-bit differences do not break the comparison.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,26 @@ def register(name: str) -> Callable[[Query], Query]:
     return deco
 
 
+_PLANS: dict[tuple, object] = {}
+
+
+def shared(fn):
+    """Build a shared intermediate plan once per (session, folder, args).
+
+    Only the lazy DataFrame (a logical plan) is reused, which saves driver-side
+    analysis; every query still executes its whole plan from the base tables.
+    """
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf_dir, *args)
+        return _PLANS[key]
+
+    return wrapper
+
+
 def r6(c: str | Column) -> Column:
     return round_half_even(c, 6)
 
@@ -45,16 +66,19 @@ def r9(c: str | Column) -> Column:
 # ---------------------------------------------------------------- shared inputs
 
 
+@shared
 def clean_cases(spark: SparkSession, sf_dir: str, null_policy: str) -> DataFrame:
     return cleaning.clean_cases(td.raw_cases(spark, sf_dir), td.dims(spark, sf_dir), null_policy)
 
 
+@shared
 def risk_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_population(
         td.raw_population(spark, sf_dir), td.dims(spark, sf_dir), keep_invalid=True
     )
 
 
+@shared
 def risk_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return risk.risk_tables(clean_cases(spark, sf_dir, "zero"), risk_population(spark, sf_dir))
 
@@ -107,16 +131,19 @@ def risk_storage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- analytics frame
 
 
+@shared
 def analytics_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_population(
         td.raw_population(spark, sf_dir), td.dims(spark, sf_dir), dedup=True
     )
 
 
+@shared
 def rain_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.rainfall_long_raw(td.raw_rainfall_wide(spark, sf_dir))
 
 
+@shared
 def analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.analytics_frame(
         clean_cases(spark, sf_dir, "drop"),
@@ -344,6 +371,7 @@ def province_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- keyed tables
 
 
+@shared
 def historical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.accepted(loads.keyed_case_rows(td.raw_cases(spark, sf_dir), td.dims(spark, sf_dir)))
 
@@ -422,6 +450,7 @@ QUERY_TREES = 20        # small forest for the registered check; library default
 QUERY_DEPTH = 10
 
 
+@shared
 def training(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = td.dims(spark, sf_dir)
     annual, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), dims)
