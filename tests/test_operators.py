@@ -87,3 +87,18 @@ def test_unpivot_keeps_nulls(spark):
     long = frame.unpivot_months(wide)
     assert long.count() == 12 and long.filter(F.col("avg_rainfall_mm").isNull()).count() == 1
     assert frame.rainfall_long_raw(wide).count() == 11
+
+
+def test_rain_features_annual_fallback_and_remap(spark, dims):
+    months = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+    cols = "Area string, " + ", ".join(f"{m} string" for m in months)
+    wide = spark.createDataFrame(
+        [("Ampara",) + tuple(str(12 * (i + 1)) for i in range(12)),
+         ("Moneragala",) + tuple("1,200" for _ in range(12))],
+        cols,
+    ).withColumnRenamed("Area", "District")
+    annual, national = rainfall.features(wide, dims)
+    got = {r["area_key"]: r["avg_annual_rainfall_mm"] for r in annual.collect()}
+    assert got == {"Ampara": 78.0, "Monaragala": 1200.0}  # mean of months; canonical names
+    jan = national.filter(F.col("month") == 1).first()["national_avg_rainfall_mm"]
+    assert jan == (12.0 + 1200.0) / 2
