@@ -10,9 +10,11 @@ The batch dedup is a grouped ``max_by`` (partial aggregation: a hot key is
 combined map-side). The join is a shuffle join on the keys; AQE splits a
 skewed key, and broadcasts the batch when its measured size is small.
 
-``upsert_table`` persists the result: it writes the merged table to a staging
-folder next to the target (same shared file system) and then swaps folders,
-because a Spark job cannot overwrite the folder it is reading.
+``upsert_table`` persists the result. Unpartitioned tables are written to a
+staging folder next to the target (same shared file system) and swapped in,
+because a Spark job cannot overwrite the folder it is reading. Tables
+partitioned by part of the key (e.g. ``year``) only read and rewrite the
+partitions a batch touches, with dynamic partition overwrite.
 """
 
 from __future__ import annotations
@@ -126,14 +128,28 @@ def upsert_table(
     touch_col: str | None = None,
     seq_col: str | None = None,
     fmt: str = "parquet",
+    partition_cols: Sequence[str] | None = None,
 ) -> dict:
     """Upsert ``batch`` into the table stored at ``path`` and report counts.
 
-    A missing table is created from the batch (with ids / touch time). The
-    merged result is written to ``{path}.staging-<uuid>`` and swapped in only
-    after the write job has committed, so a failed run leaves the old table.
+    Unpartitioned: the merged table is written to ``{path}.staging-<uuid>`` and
+    swapped in only after the write job has committed, so a failed run leaves
+    the old table.
+
+    Partitioned (``partition_cols``, a subset of ``keys``, e.g. ``year``): only
+    the partitions the batch touches are read (partition pruning), merged and
+    rewritten, with dynamic partition overwrite; Spark stages the new files and
+    replaces just those partition folders at job commit. The cost is then
+    proportional to the touched partitions, not the table. ``unchanged``
+    counts rows of touched partitions only.
+
+    A missing table is created from the batch (with ids / touch time).
     """
-    if table_exists(spark, path):
+    partition_cols = list(partition_cols or [])
+    if not set(partition_cols) <= set(keys):
+        raise ValueError("partition columns must be part of the key")
+    exists = table_exists(spark, path)
+    if exists:
         target = spark.read.format(fmt).load(path)
     else:
         schema_cols = [F.col(c) for c in batch.columns if c != seq_col]
@@ -143,6 +159,16 @@ def upsert_table(
         if touch_col and touch_col not in empty.columns:
             empty = empty.withColumn(touch_col, F.lit(None).cast("timestamp"))
         target = empty
+    if exists and partition_cols:
+        # the touched partition values: bounded by the partitions one batch covers
+        touched = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
+        cond = F.lit(False)
+        for values in touched:
+            match = F.lit(True)
+            for c, v in zip(partition_cols, values):
+                match = match & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
+            cond = cond | match
+        target = target.filter(cond)
     merged = merge_upsert(target, batch, keys, set_cols, id_col, touch_col, seq_col, with_action=True)
     # counts are gathered by the write job itself (one pass over the data)
     obs = Observation("upsert")
@@ -153,9 +179,16 @@ def upsert_table(
         F.count_if(action == "update").alias("updated"),
         F.count_if(action == "keep").alias("unchanged"),
     ).drop(ACTION_COL)
-    staging = f"{path.rstrip('/')}.staging-{_uuid.uuid4().hex}"
-    observed.write.format(fmt).mode("overwrite").save(staging)
-    _swap(spark, path, staging)
+    if partition_cols:
+        writer = observed.write.format(fmt).partitionBy(*partition_cols)
+        if exists:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+        else:
+            writer.mode("errorifexists").save(path)
+    else:
+        staging = f"{path.rstrip('/')}.staging-{_uuid.uuid4().hex}"
+        observed.write.format(fmt).mode("overwrite").save(staging)
+        _swap(spark, path, staging)
     return {k: int(v) for k, v in obs.get.items()}
 
 

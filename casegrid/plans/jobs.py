@@ -178,7 +178,7 @@ def load_historical(spark: SparkSession, inputs: Inputs, table: str) -> dict:
     batch = loads.accepted(rows).drop("disease")
     seq = "_row_seq" if "_row_seq" in batch.columns else None
     counts = upsert.upsert_table(spark, table, batch, loads.HISTORICAL_KEYS, ["case_count"],
-                                 id_col="data_id", seq_col=seq)
+                                 id_col="data_id", seq_col=seq, partition_cols=["year"])
     return {"upsert": counts, "report": report}
 
 
@@ -205,7 +205,8 @@ def load_rainfall(spark: SparkSession, inputs: Inputs, table: str) -> dict:
 def load_risk(spark: SparkSession, risk_rows: DataFrame, table: str) -> dict:
     """Upsert ``risk_levels``."""
     return {"upsert": upsert.upsert_table(spark, table, risk_rows, loads.RISK_KEYS, list(loads.RISK_SET),
-                                          id_col="risk_id", touch_col="calculated_at")}
+                                          id_col="risk_id", touch_col="calculated_at",
+                                          partition_cols=["year"])}
 
 
 def load_predictions(spark: SparkSession, predictions: DataFrame, inputs: Inputs, table: str) -> dict:
@@ -213,7 +214,8 @@ def load_predictions(spark: SparkSession, predictions: DataFrame, inputs: Inputs
     rows = loads.report_rows(predictions, inputs.dims)
     report = {r["disease"]: r.asDict() for r in loads.load_report(rows).collect()}
     batch = loads.accepted(rows).drop("disease")
-    counts = upsert.upsert_table(spark, table, batch, loads.HISTORICAL_KEYS, ["case_count"], id_col="report_id")
+    counts = upsert.upsert_table(spark, table, batch, loads.HISTORICAL_KEYS, ["case_count"], id_col="report_id",
+                                 partition_cols=["year"])
     return {"upsert": counts, "report": report}
 
 

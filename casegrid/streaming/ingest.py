@@ -62,7 +62,7 @@ def start_historical_ingest(
         rows = loads.accepted(loads.keyed_case_rows(batch, dims)).drop("disease")
         upsert.upsert_table(
             batch.sparkSession, table, rows, loads.HISTORICAL_KEYS, ["case_count"],
-            id_col="data_id", seq_col="_row_seq",
+            id_col="data_id", seq_col="_row_seq", partition_cols=["year"],
         )
 
     writer = (

@@ -137,3 +137,21 @@ def test_full_pipeline(spark, workdir):
     assert res["forecast"]["store"]["upsert"]["inserted"] == 5 * 3 * 52
     for name in ("perdistrictpopulation", "rainfall_data", "historicaldata", "risk_levels", "reports"):
         assert spark.read.parquet(f"{workdir}/tables/{name}").count() > 0
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, workdir):
+    from casegrid.operators import upsert
+
+    table = f"{workdir}/tables/part"
+    first = spark.createDataFrame([(2023, 1, 10), (2024, 1, 20), (2024, 2, 30)], "year int, wk int, v int")
+    assert upsert.upsert_table(spark, table, first, ["year", "wk"], ["v"], id_col="id",
+                               partition_cols=["year"]) == {"inserted": 3, "updated": 0, "unchanged": 0}
+    ids = {(r["year"], r["wk"]): r["id"] for r in spark.read.parquet(table).collect()}
+    files_2023 = sorted(os.listdir(f"{table}/year=2023"))
+    batch = spark.createDataFrame([(2024, 1, 21), (2024, 3, 40)], "year int, wk int, v int")
+    counts = upsert.upsert_table(spark, table, batch, ["year", "wk"], ["v"], id_col="id", partition_cols=["year"])
+    assert counts == {"inserted": 1, "updated": 1, "unchanged": 1}
+    rows = {(r["year"], r["wk"]): (r["v"], r["id"]) for r in spark.read.parquet(table).collect()}
+    assert rows[(2023, 1)] == (10, ids[(2023, 1)]) and rows[(2024, 1)] == (21, ids[(2024, 1)])
+    assert rows[(2024, 2)][0] == 30 and rows[(2024, 3)][0] == 40 and len(rows) == 4
+    assert sorted(os.listdir(f"{table}/year=2023")) == files_2023  # untouched partition not rewritten
