@@ -29,6 +29,28 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
+    """Suggested settings for a large cluster (pass as ``extra_conf``).
+
+    Shuffles start with enough partitions that no reducer receives more than
+    a few hundred MB even for the largest exchange (the lineitem partial
+    aggregate), and AQE coalesces them down to ~128 MB each at run time, so
+    small stages do not pay for the large ones. Scans split files into 256 MB
+    pieces; skewed partitions above 5x the median (and 512 MB) are split.
+    """
+    initial = max(total_cores * 4, int(input_tb * 1024 * 1024 / 256 / 8))  # ~256 MB per partition of a 1/8-size shuffle
+    return {
+        "spark.sql.shuffle.partitions": str(total_cores * 2),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def get_spark(
     app_name: str = "casegrid",
     master: str | None = None,
