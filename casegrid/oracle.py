@@ -41,7 +41,6 @@ def classify(inc: str, lo: str, up: str, ob: str) -> str:
     )
 
 
-_MONTHS_SQL = ", ".join(f"'{m}'" for m in MONTH_ORDER)
 _DISEASES_SQL = ", ".join(f"('{k.lower()}', {v}, '{k}')" for k, v in td.DISEASE_IDS.items())
 
 BASE = f"""
