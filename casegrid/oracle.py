@@ -604,6 +604,49 @@ FULL OUTER JOIN (
     _OLDER_POP,
 )
 
+_OLD_RAIN = f"""
+old_rain_cells AS (
+  SELECT n.n_name AS area, n.n_nationkey AS nationkey, p.month, SUM(p.cnt) AS mm
+  FROM (SELECT l_suppkey, CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS cnt
+        FROM lineitem WHERE year(l_shipdate) < 1998 GROUP BY 1, 2) p
+  JOIN supplier s ON p.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  GROUP BY 1, 2, 3
+),
+old_rain_wide AS (
+  SELECT CASE WHEN nationkey = {td.MISSPELT_RAINFALL_NATION} THEN replace(area, '_', '-') ELSE area END AS District,
+         {_MONTH_COLS},
+         format('{{:,}}', sum(mm)) AS Annual
+  FROM old_rain_cells WHERE nationkey <> {td.REMAPPED_NATION}
+  GROUP BY 1
+),
+old_store AS (
+  SELECT d.district_id,
+         {", ".join(_STRICT.format(c=f'w."{m}"') + f" AS {lname}" for m, lname in zip(MONTH_ORDER, _LONG))},
+         {_STRICT.format(c='w.Annual')} AS annual_rainfall
+  FROM old_rain_wide w JOIN districts d ON {canon('w.District')} = d.district_key
+),
+old_store_full AS (
+  SELECT * FROM old_store
+  UNION ALL
+  SELECT {td.REMAPPED_NATION + 1} AS district_id, {", ".join(_LONG)}, annual_rainfall
+  FROM old_store
+  WHERE district_id = {td.REMAP_TEMPLATE_NATION + 1}
+    AND NOT EXISTS (SELECT 1 FROM old_store WHERE district_id = {td.REMAPPED_NATION + 1})
+)
+"""
+
+SQL["upsert_rainfall"] = with_analytics(
+    "SELECT coalesce(t.district_id, b.district_id) AS district_id, "
+    + ", ".join(f"CASE WHEN b.district_id IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in _LONG + ["annual_rainfall"])
+    + """,
+       CASE WHEN b.district_id IS NOT NULL AND t.district_id IS NOT NULL THEN 'update'
+            WHEN b.district_id IS NOT NULL THEN 'insert' ELSE 'keep' END AS _merge_action
+FROM old_store_full t FULL OUTER JOIN rain_store_full b ON t.district_id = b.district_id
+""",
+    _RAIN_ROWS.strip() + ",\n" + _OLD_RAIN.strip(),
+)
+
 SQL["upsert_risk"] = with_base(
     body=f"""
 SELECT coalesce(t.district_id, b.district_id) AS district_id, coalesce(t.week_number, b.week_number) AS week_number,

@@ -420,6 +420,18 @@ def upsert_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("district_id", "population", F.col("id").isNotNull().alias("has_id"), upsert.ACTION_COL)
 
 
+@register("upsert_rainfall")
+def upsert_rainfall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: rainfall rows stored from shipments before 1998 (an older
+    climatology, with the backfilled district); batch: the current rows."""
+    dims = td.dims(spark, sf_dir)
+    current = rainfall.storage_rows(td.raw_rainfall_wide(spark, sf_dir), dims)
+    older = rainfall.storage_rows(td.raw_rainfall_wide(spark, sf_dir, 1998), dims)
+    value_cols = [c for c in current.columns if c != "district_id"]
+    merged = upsert.merge_upsert(older, current, ["district_id"], value_cols, with_action=True)
+    return merged.select("district_id", *value_cols, upsert.ACTION_COL)
+
+
 @register("upsert_risk")
 def upsert_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: stored risk rows up to 1998; batch: rows from 1998 on."""

@@ -146,10 +146,17 @@ def raw_population(spark: SparkSession, sf_dir: str, positive_balance_only: bool
 
 
 @_memo
-def rainfall_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(area, month, mm) with mm = line items shipped by the area's suppliers."""
+def rainfall_long(spark: SparkSession, sf_dir: str, shipped_before: int | None = None) -> DataFrame:
+    """(area, month, mm) with mm = line items shipped by the area's suppliers.
+
+    ``shipped_before`` (a year) restricts to earlier shipments: an older
+    climatology, used as the stored table in upsert checks.
+    """
+    lineitem = table(spark, sf_dir, "lineitem")
+    if shipped_before is not None:
+        lineitem = lineitem.filter(F.year("l_shipdate") < shipped_before)
     per_supp = (
-        table(spark, sf_dir, "lineitem")
+        lineitem
         .groupBy("l_suppkey", F.month("l_shipdate").alias("month"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -164,9 +171,9 @@ def rainfall_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_memo
-def raw_rainfall_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_rainfall_wide(spark: SparkSession, sf_dir: str, shipped_before: int | None = None) -> DataFrame:
     """``District, Jan..Dec, Annual`` strings, one row per area that has rain."""
-    long = rainfall_long(spark, sf_dir).filter(F.col("nationkey") != REMAPPED_NATION)
+    long = rainfall_long(spark, sf_dir, shipped_before).filter(F.col("nationkey") != REMAPPED_NATION)
     district = F.when(
         F.col("nationkey") == MISSPELT_RAINFALL_NATION, F.replace("area", F.lit("_"), F.lit("-"))
     ).otherwise(F.col("area"))
