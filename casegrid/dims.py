@@ -118,7 +118,11 @@ class Dims:
     """Lookup bundle used by the name / id / display operators.
 
     ``districts`` and ``diseases`` are DataFrames with the schemas above; the
-    alias and remap tables are small dicts turned into literal maps.
+    alias and remap tables are small dicts turned into literal maps. When a
+    dimension is a fixed literal, ``district_values`` / ``disease_values``
+    (key -> (id, display)) hold the same rows and lookups become literal-map
+    expressions (no join, inside whole-stage codegen); a dimension read from a
+    table is joined (broadcast) instead.
     """
 
     districts: DataFrame
@@ -128,6 +132,8 @@ class Dims:
     provinces: dict[str, list[str]] = field(default_factory=dict)
     # (target district key, template district key) pairs for rainfall backfill
     rainfall_backfill: list[tuple[str, str]] = field(default_factory=list)
+    district_values: dict[str, tuple[int, str]] | None = None
+    disease_values: dict[str, tuple[int, str]] | None = None
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -157,6 +163,8 @@ def surveillance_dims(spark: SparkSession) -> Dims:
         rainfall_remap=dict(RAINFALL_AREA_REMAP),
         provinces={k: list(v) for k, v in PROVINCES.items()},
         rainfall_backfill=[("kalmunai", "ampara")],
+        district_values=dict(DISTRICTS),
+        disease_values=dict(DISEASES),
     )
 
 
@@ -187,6 +195,15 @@ def month_frame(spark: SparkSession) -> DataFrame:
     return literal_table(spark, rows, schema)
 
 
+def value_maps(values: dict[str, tuple[int, str]]) -> tuple[F.Column, F.Column]:
+    """Literal ``key -> id`` and ``key -> display`` maps from a fixed dimension."""
+    ids, names = [], []
+    for k, (i, d) in values.items():
+        ids.extend([F.lit(k), F.lit(int(i))])
+        names.extend([F.lit(k), F.lit(d)])
+    return F.create_map(*ids), F.create_map(*names)
+
+
 def literal_map(mapping: dict) -> F.Column:
     """A literal ``map`` column from a small dict (empty dict -> empty map)."""
     if not mapping:

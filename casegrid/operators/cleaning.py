@@ -1,8 +1,9 @@
 """Name lookups and cleaned case / population frames.
 
-Every lookup is a left join against a dimension DataFrame that is bounded by
-the number of districts / diseases (a fixed dimension), so it is broadcast and
-the fact side is never shuffled for it.
+A lookup against a fixed literal dimension is a literal-map expression (no
+join). A dimension read from a table is a left join against a DataFrame
+bounded by the number of districts / diseases, so it is broadcast and the
+fact side is never shuffled for it.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.dims import Dims, literal_map
+from casegrid.dims import Dims, literal_map, value_maps
 from casegrid.functions.calendar import week_to_month
 from casegrid.functions.names import canonical_key, disease_key
 from casegrid.functions.numbers import lenient_double, parse_thousands
@@ -37,18 +38,26 @@ def lookup_district(
       district reads its parent area's rainfall).
     * ``key``: the canonical key itself.
     """
-    d = dims.districts.select(
-        F.col("district_key").alias(_KEY),
-        F.col("district_id").alias("__district_id"),
-        F.col("district_display").alias("__district_display"),
-    )
-    joined = df.withColumn(_KEY, canonical_key(col, dims.aliases)).join(F.broadcast(d), on=_KEY, how="left")
-    display_col = F.coalesce(F.col("__district_display"), F.coalesce(F.col(col).cast("string"), F.lit("nan")))
+    keyed = df.withColumn(_KEY, canonical_key(col, dims.aliases))
+    if dims.district_values:
+        id_map, name_map = value_maps(dims.district_values)
+        joined = keyed
+        id_col = F.try_element_at(id_map, F.col(_KEY)).cast("int")
+        name_col = F.try_element_at(name_map, F.col(_KEY))
+    else:
+        d = dims.districts.select(
+            F.col("district_key").alias(_KEY),
+            F.col("district_id").alias("__district_id"),
+            F.col("district_display").alias("__district_display"),
+        )
+        joined = keyed.join(F.broadcast(d), on=_KEY, how="left")
+        id_col, name_col = F.col("__district_id"), F.col("__district_display")
+    display_col = F.coalesce(name_col, F.coalesce(F.col(col).cast("string"), F.lit("nan")))
     outputs = []
     if display:
         outputs.append(display_col.alias(display))
     if district_id:
-        outputs.append(F.col("__district_id").alias(district_id))
+        outputs.append(id_col.alias(district_id))
     if rainfall_area:
         remap = F.try_element_at(literal_map(dims.rainfall_remap), F.col(_KEY)) if dims.rainfall_remap else None
         outputs.append((F.coalesce(remap, display_col) if remap is not None else display_col).alias(rainfall_area))
@@ -68,18 +77,25 @@ def lookup_disease(
     disease_id: str | None = None,
 ) -> DataFrame:
     """Disease display name (unknown passes through) and id (NULL when unknown)."""
-    d = dims.diseases.select(
-        F.col("disease_key").alias(_DKEY),
-        F.col("disease_id").alias("__disease_id"),
-        F.col("disease_display").alias("__disease_display"),
-    )
-    joined = df.withColumn(_DKEY, disease_key(col)).join(F.broadcast(d), on=_DKEY, how="left")
+    keyed = df.withColumn(_DKEY, disease_key(col))
+    if dims.disease_values:
+        id_map, name_map = value_maps(dims.disease_values)
+        joined = keyed
+        id_col = F.try_element_at(id_map, F.col(_DKEY)).cast("int")
+        name_col = F.try_element_at(name_map, F.col(_DKEY))
+    else:
+        d = dims.diseases.select(
+            F.col("disease_key").alias(_DKEY),
+            F.col("disease_id").alias("__disease_id"),
+            F.col("disease_display").alias("__disease_display"),
+        )
+        joined = keyed.join(F.broadcast(d), on=_DKEY, how="left")
+        id_col, name_col = F.col("__disease_id"), F.col("__disease_display")
     outputs = []
     if display:
-        outputs.append(F.coalesce(F.col("__disease_display"),
-                                  F.coalesce(F.col(col).cast("string"), F.lit("nan"))).alias(display))
+        outputs.append(F.coalesce(name_col, F.coalesce(F.col(col).cast("string"), F.lit("nan"))).alias(display))
     if disease_id:
-        outputs.append(F.col("__disease_id").alias(disease_id))
+        outputs.append(id_col.alias(disease_id))
     produced = {display, disease_id} - {None}
     return joined.select(*[F.col(c) for c in df.columns if c not in produced], *outputs)
 

@@ -213,6 +213,7 @@ def _build_dims(spark: SparkSession, sf_dir: str) -> Dims:
         rainfall_remap={remapped: template},
         provinces={},
         rainfall_backfill=[(remapped, f"nation{REMAP_TEMPLATE_NATION}")],
+        disease_values={k.lower(): (v, k) for k, v in DISEASE_IDS.items()},
     )
 
 
