@@ -1,7 +1,7 @@
 """Risk bands.
 
-Plan shape: cleaned cases -> join population (dimension-sized, broadcast by
-AQE once its size is measured) -> incidence -> grouped baselines per
+Plan shape: cleaned cases -> join population (one row per district, so
+broadcast by hint) -> incidence -> grouped baselines per
 (year, disease, district) -> join the baselines back -> banding ``CASE``.
 The baselines use a grouped aggregate (partial + final) rather than a window,
 so a hot group is combined map-side instead of buffered in one task; the

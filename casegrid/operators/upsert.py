@@ -7,8 +7,9 @@ rows keep their surrogate id; new rows get a fresh one. Running the same batch
 twice leaves the table unchanged (idempotent), except the touch timestamp.
 
 The batch dedup is a grouped ``max_by`` (partial aggregation: a hot key is
-combined map-side). The join is a shuffle join on the keys; AQE splits a
-skewed key, and broadcasts the batch when its measured size is small.
+combined map-side). The merge is a full outer join, which Spark runs as a
+shuffle join on the keys; after the dedup each key occurs at most once per
+side, so no key can be skewed there.
 
 ``upsert_table`` persists the result. Unpartitioned tables are written to a
 staging folder next to the target (same shared file system) and swapped in,
