@@ -83,8 +83,14 @@ def train(
     test_size: float = 0.2,
     seed: int = 42,
     checkpoint: bool = True,
+    split: str = "random",
 ) -> tuple[PipelineModel, DataFrame]:
-    """Random hold-out split, fit, evaluate (M2-M4). Returns (model, metrics frame).
+    """Hold-out split, fit, evaluate (M2-M4). Returns (model, metrics frame).
+
+    ``split="random"``: a seeded random split, as the source does.
+    ``split="hash"``: rows go to the test side by a seeded hash of their
+    identifying columns (year, week, area, disease), so the split is the same
+    on every run and cluster size.
 
     The training rows are written once to the session's checkpoint folder
     (``materialize``): the indexer fit, the forest's passes and the evaluation
@@ -92,11 +98,23 @@ def train(
     """
     if checkpoint:
         data = materialize(data, "training-rows")
-    train_df, test_df = data.randomSplit([1.0 - test_size, test_size], seed=seed)
+    train_df, test_df = split_holdout(data, test_size, seed, split)
     model = build_pipeline(num_trees, max_depth, seed).fit(train_df)
     return model, error_metrics(model.transform(test_df))
 
 
+def split_holdout(data: DataFrame, test_size: float, seed: int, split: str = "random") -> tuple[DataFrame, DataFrame]:
+    """Train / test frames for a hold-out split (M2)."""
+    if split == "random":
+        train_df, test_df = data.randomSplit([1.0 - test_size, test_size], seed=seed)
+        return train_df, test_df
+    if split != "hash":
+        raise ValueError("split must be 'random' or 'hash'")
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "year", "week_number", "area_reported", "disease"), F.lit(10000))
+    in_test = bucket < F.lit(int(round(test_size * 10000)))
+    return data.filter(~in_test), data.filter(in_test)
+
+
 def labels(model: PipelineModel) -> tuple[list[str], list[str]]:
     """Sorted area and disease categories the model was fitted on."""
     indexer = model.stages[0]

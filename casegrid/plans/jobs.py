@@ -139,14 +139,15 @@ def analytics_job(spark: SparkSession, inputs: Inputs, out_dir: str | None = Non
 
 
 def train_job(inputs: Inputs, model_dir: str | None = None, num_trees: int = 300,
-              max_depth: int | None = None, test_size: float = 0.2, seed: int = 42) -> dict:
+              max_depth: int | None = None, test_size: float = 0.2, seed: int = 42,
+              split: str = "random") -> dict:
     """Fit and evaluate the forest; save it when ``model_dir`` is given (M4)."""
     annual, national = rainfall.features(inputs.rainfall, inputs.dims)
     data = forecast.training_frame(
         cleaning.clean_cases(inputs.cases, inputs.dims, "drop"), annual, national, inputs.dims
     )
     data = materialize(data, "training-rows")  # fit, evaluation and the row count read it
-    model, metrics = forecast.train(data, num_trees, max_depth, test_size, seed, checkpoint=False)
+    model, metrics = forecast.train(data, num_trees, max_depth, test_size, seed, checkpoint=False, split=split)
     if model_dir:
         forecast.save_model(model, model_dir)
     m = metrics.first()

@@ -102,3 +102,17 @@ def test_rain_features_annual_fallback_and_remap(spark, dims):
     assert got == {"Ampara": 78.0, "Monaragala": 1200.0}  # mean of months; canonical names
     jan = national.filter(F.col("month") == 1).first()["national_avg_rainfall_mm"]
     assert jan == (12.0 + 1200.0) / 2
+
+
+def test_hash_holdout_is_stable_and_complete(spark):
+    from casegrid.operators import forecast
+
+    rows = [(2024, w, 1, 100.0, 50.0, a, d, float(w)) for w in range(1, 53) for a in ("A", "B", "C") for d in ("X", "Y")]
+    cols = "year int, week_number int, month int, avg_annual_rainfall_mm double, " \
+           "national_avg_rainfall_mm double, area_reported string, disease string, cases_reported double"
+    df = spark.createDataFrame(rows, cols)
+    tr1, te1 = forecast.split_holdout(df, 0.2, 42, "hash")
+    tr2, te2 = forecast.split_holdout(df.repartition(7), 0.2, 42, "hash")
+    key = lambda f: sorted((r["week_number"], r["area_reported"], r["disease"]) for r in f.collect())
+    assert key(te1) == key(te2) and key(tr1) == key(tr2)
+    assert tr1.count() + te1.count() == len(rows) and 0 < te1.count() < len(rows)
