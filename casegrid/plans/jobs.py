@@ -26,6 +26,7 @@ class Inputs:
     population: DataFrame     # Region, Population
     rainfall: DataFrame       # District, Jan..Dec [, Annual]
     dims: Dims
+    years: tuple[int, ...] | None = None  # the loaded years, when known (explicit pivot values)
 
 
 def surveillance_inputs(
@@ -48,6 +49,7 @@ def surveillance_inputs(
         population=files.read_population(spark, f"{base}/{population_file}"),
         rainfall=files.read_rainfall_wide(spark, f"{base}/{rainfall_file}"),
         dims=surveillance_dims(spark),
+        years=tuple(years),
     )
 
 
@@ -122,7 +124,7 @@ def analytics_job(spark: SparkSession, inputs: Inputs, out_dir: str | None = Non
         "correlation_distribution": correlation.distribution(per_district),
         "lagged_correlation_summary": correlation.lag_summary(lagged),
         # C16 summary tables
-        "summary_annual_cases": patterns.annual_pivot(yoy),
+        "summary_annual_cases": patterns.annual_pivot(yoy, inputs.years),
         "summary_top_hotspots": patterns.top_hotspots(hot, n=5),
         "summary_rainfall_extremes": rainfall.extremes(totals, n=5),
         "summary_correlation": correlation.summary(per_district),
