@@ -44,12 +44,16 @@ def surveillance_inputs(
     diseases = diseases or tuple(d for _, d in DISEASES.values())
     paths = files.case_file_paths(datasets_dir, years, diseases)
     base = datasets_dir.rstrip("/")
+    cases = files.read_case_files(spark, paths, missing=missing)
+    # years with at least one case file (the pivot columns of the annual table)
+    present = tuple(y for y in years if any(files.path_exists(spark, p)
+                                            for p in files.case_file_paths(base, [y], diseases)))
     return Inputs(
-        cases=files.read_case_files(spark, paths, missing=missing),
+        cases=cases,
         population=files.read_population(spark, f"{base}/{population_file}"),
         rainfall=files.read_rainfall_wide(spark, f"{base}/{rainfall_file}"),
         dims=surveillance_dims(spark),
-        years=tuple(years),
+        years=present,
     )
 
 
