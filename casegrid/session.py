@@ -51,6 +51,15 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
     }
 
 
+def _master_configured() -> bool:
+    """True when a master is already given (``spark-submit``, defaults file, env)."""
+    if os.environ.get("SPARK_MASTER") or SparkSession.getActiveSession() is not None:
+        return True
+    from pyspark import SparkConf
+
+    return SparkConf().contains("spark.master")
+
+
 def get_spark(
     app_name: str = "casegrid",
     master: str | None = None,
@@ -59,11 +68,12 @@ def get_spark(
 ) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster ``master`` is left to ``spark-submit``; locally it defaults to
-    ``local[*]`` with one shuffle partition per core.
+    When a master is already configured (``spark-submit``, an active session)
+    it is kept; only a plain ``python`` run defaults to ``local[cores]`` with
+    one shuffle partition per core.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
+    if master is None and not _master_configured():
         cpus = os.cpu_count() or 8
         master = f"local[{cpus}]"
         shuffle_partitions = shuffle_partitions or cpus

@@ -155,3 +155,14 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, workdir):
     assert rows[(2023, 1)] == (10, ids[(2023, 1)]) and rows[(2024, 1)] == (21, ids[(2024, 1)])
     assert rows[(2024, 2)][0] == 30 and rows[(2024, 3)][0] == 40 and len(rows) == 4
     assert sorted(os.listdir(f"{table}/year=2023")) == files_2023  # untouched partition not rewritten
+
+
+def test_command_line_entry(spark, workdir):
+    from casegrid.__main__ import main
+
+    root = make_datasets(f"{workdir}/data")
+    res = main(["risk", "--data", root, "--years", "2023,2024", "--missing", "silent",
+                "--out", f"{workdir}/out", "--tables", f"{workdir}/tables", "--year", "2024"])
+    assert res["thresholds"] == 15 and res["store"]["upsert"]["inserted"] == 15 * 20
+    res = main(["load-rainfall", "--data", root, "--years", "2023,2024", "--tables", f"{workdir}/tables"])
+    assert res["upsert"]["inserted"] == 5
