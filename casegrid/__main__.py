@@ -1,7 +1,8 @@
 """Command-line entry for ``spark-submit`` (or ``python -m casegrid``).
 
-    spark-submit --conf spark.checkpoint.dir=hdfs:///ckpt -m casegrid analytics \
-        --data hdfs:///surveillance --out hdfs:///out/analytics
+    zip -r casegrid.zip casegrid
+    spark-submit --py-files casegrid.zip --conf spark.checkpoint.dir=hdfs:///ckpt \
+        casegrid/__main__.py analytics --data hdfs:///surveillance --out hdfs:///out/analytics
 
 Subcommands run the job functions in ``casegrid.plans.jobs`` on the
 surveillance CSV layout; keyed tables live under ``--tables``. The master and
