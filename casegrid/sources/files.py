@@ -79,9 +79,11 @@ def read_case_files(
     if isinstance(paths, str):
         paths = [paths]
     paths = resolve_paths(spark, list(paths), missing)
+    # Column names come from the header (a UTF-8 BOM is stripped) and every
+    # value stays a string (no inference pass). Files read together share the
+    # first file's column order, as one table's partitions do.
     raw = (
-        spark.read.schema(_string_schema(CASE_COLUMNS))
-        .option("header", True)
+        spark.read.option("header", True)
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .csv(paths)

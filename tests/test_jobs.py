@@ -181,3 +181,13 @@ def test_streaming_replay_leaves_table_unchanged(spark, workdir):
     start_historical_ingest(spark, drop, table, f"{workdir}/ckpt_b").awaitTermination()
     after = sorted(tuple(r) for r in spark.read.parquet(table).collect())
     assert before == after and len(before) == 100
+
+
+def test_case_reader_uses_header_names(spark, workdir):
+    os.makedirs(f"{workdir}/reordered")
+    write(f"{workdir}/reordered/2024_Dysentery.csv", "area_reported,cases_reported,week_number\nColombo,7,3\n")
+    row = files.read_case_files(spark, f"{workdir}/reordered/2024_Dysentery.csv").first()
+    assert (row["week_number"], row["area_reported"], row["cases_reported"]) == ("3", "Colombo", "7")
+    write(f"{workdir}/reordered/2025_Dysentery.csv", "week,area,count\n1,Colombo,2\n")
+    with pytest.raises(ValueError):
+        files.read_case_files(spark, f"{workdir}/reordered/2025_Dysentery.csv")
