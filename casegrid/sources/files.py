@@ -106,8 +106,9 @@ def read_case_files(
 
 def read_population(spark: SparkSession, path: str) -> DataFrame:
     """Raw population table ``Region, Population`` (both strings)."""
-    df = spark.read.option("header", True).schema(_string_schema(["Region", "Population"])).csv(path)
-    return require_columns(df, ["Region", "Population"], "population file")
+    df = spark.read.option("header", True).csv(path)  # names from the header, values as strings
+    require_columns(df, ["Region", "Population"], "population file")
+    return df.select("Region", "Population")
 
 
 def read_rainfall_wide(spark: SparkSession, path: str) -> DataFrame:
