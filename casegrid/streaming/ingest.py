@@ -23,7 +23,11 @@ from casegrid.sources.files import CASE_COLUMNS, FILE_NAME_PATTERN, _string_sche
 def case_file_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming raw case rows (as ``read_case_files``, with ``_file`` and
     ``_block`` instead of ``_row_seq``: the in-split position is added per
-    micro-batch, where the batch is a plain file scan)."""
+    micro-batch, where the batch is a plain file scan).
+
+    A streaming file source needs a fixed schema, so dropped files must have
+    the standard column order ``week_number, area_reported, cases_reported``.
+    """
     reader = spark.readStream.schema(_string_schema(CASE_COLUMNS)).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
