@@ -80,3 +80,12 @@ def test_lenient_cast_and_divide(spark):
 def test_risk_priority(spark):
     df = spark.createDataFrame([("High Risk",), ("Unknown",), ("weird",)], "l string")
     assert [r["p"] for r in df.select(bands.risk_priority("l").alias("p")).collect()] == [4, 0, 0]
+
+
+def test_cluster_conf_sizes():
+    from casegrid.session import cluster_conf
+
+    conf = cluster_conf(8000, input_tb=100)
+    assert int(conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 8000 * 4
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 * 1024
+    assert conf["spark.sql.adaptive.skewJoin.skewedPartitionFactor"] == "5"
