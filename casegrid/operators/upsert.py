@@ -181,7 +181,10 @@ def upsert_table(
         F.count_if(action == "keep").alias("unchanged"),
     ).drop(ACTION_COL)
     if partition_cols:
-        writer = observed.write.format(fmt).partitionBy(*partition_cols)
+        # rebalance by the partition columns: each output partition gets few,
+        # evenly sized files, and AQE splits a hot year instead of one task
+        # writing it all
+        writer = observed.hint("rebalance", *partition_cols).write.format(fmt).partitionBy(*partition_cols)
         if exists:
             writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
         else:
