@@ -22,6 +22,9 @@ def write_table(
 ) -> str:
     """Write ``df`` to ``path`` (CSV with a header, or any Spark format)."""
     out = df.orderBy(*order_by) if order_by else df
+    if partition_by and not order_by:
+        # few, evenly sized files per output partition; AQE splits hot values
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
