@@ -511,3 +511,27 @@ def forecast_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas, diseases = forecast.labels(model)
     grid = forecast.prediction_grid(spark, areas, diseases, PREDICTION_YEAR, annual, national, dims)
     return forecast.predict(model, grid)
+
+
+@register("upsert_reports")
+def upsert_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions upserted into a reports table (C11, rows-only check).
+
+    Target: the last data year's weekly counts already stored as reports;
+    batch: the scored grid for the next year, keyed like the reports table
+    (ids looked up, counts rounded half-even).
+    """
+    dims = td.dims(spark, sf_dir)
+    annual, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), dims)
+    _, model, _ = _fitted(spark, sf_dir)
+    areas, diseases = forecast.labels(model)
+    grid = forecast.prediction_grid(spark, areas, diseases, PREDICTION_YEAR, annual, national, dims)
+    batch = loads.accepted(loads.report_rows(forecast.predict(model, grid), dims)).drop("disease")
+    target = (
+        historical_rows(spark, sf_dir).drop("disease")
+        .filter(F.col("year") == PREDICTION_YEAR - 1)
+        .withColumn("report_id", F.expr("uuid()"))
+    )
+    merged = upsert.merge_upsert(target, batch, loads.HISTORICAL_KEYS, ["case_count"],
+                                 id_col="report_id", with_action=True)
+    return merged.select(*loads.HISTORICAL_KEYS, "case_count", upsert.ACTION_COL)
