@@ -9,7 +9,7 @@ from casegrid.functions.bands import (
     upper_threshold,
 )
 from casegrid.functions.calendar import month_name, month_number, month_shift, week_to_month
-from casegrid.functions.names import canonical_key, disease_key, strip_ws
+from casegrid.functions.names import canonical_key, disease_key, legacy_key, strip_ws
 from casegrid.functions.numbers import (
     clip_zero_int,
     lenient_double,
@@ -20,7 +20,7 @@ from casegrid.functions.numbers import (
 )
 
 __all__ = [
-    "canonical_key", "disease_key", "strip_ws",
+    "canonical_key", "disease_key", "legacy_key", "strip_ws",
     "lenient_double", "parse_thousands", "strict_int", "round_half_even",
     "to_int_half_even", "clip_zero_int",
     "week_to_month", "month_shift", "month_name", "month_number",
