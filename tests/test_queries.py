@@ -53,3 +53,10 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(rows) == len(drows)
     assert _digest(df.columns, rows) == _digest(dcols, drows)
+
+
+def test_entry_schema_is_stable(spark):
+    first = entry.entry(spark).schema.simpleString()
+    second = entry.entry(spark).schema.simpleString()
+    assert first == second
+    assert first.startswith("struct<year:int,disease:string,week_number:int,area_reported:string")
