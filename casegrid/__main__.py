@@ -35,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--trees", type=int, default=300)
     p.add_argument("--depth", type=int, default=None)
     p.add_argument("--checkpoint", help="streaming checkpoint folder (ingest)")
+    p.add_argument("--max-files", type=int, default=None, help="files per micro-batch (ingest)")
     return p
 
 
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None) -> dict:
         from casegrid.streaming import start_historical_ingest
 
         query = start_historical_ingest(spark, args.data, sinks.table_path(args.tables, "historicaldata"),
-                                        args.checkpoint)
+                                        args.checkpoint, max_files_per_trigger=args.max_files)
         query.awaitTermination()
         return {"ingest": "done"}
     years = tuple(int(y) for y in args.years.split(","))

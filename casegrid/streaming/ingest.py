@@ -52,11 +52,14 @@ def start_historical_ingest(
     dims: Dims | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the ingest; each micro-batch is upserted into ``table`` (Parquet).
 
     ``available_now`` processes everything present and stops (scheduled runs);
     pass ``processing_time`` (e.g. ``"1 minute"``) for a continuously running job.
+    ``max_files_per_trigger`` bounds each micro-batch, so a large backlog is
+    worked through in steps of known size (``availableNow`` honours it too).
     """
     dims = dims or surveillance_dims(spark)
 
@@ -70,7 +73,7 @@ def start_historical_ingest(
         )
 
     writer = (
-        case_file_stream(spark, directory)
+        case_file_stream(spark, directory, max_files_per_trigger)
         .writeStream.foreachBatch(upsert_batch)
         .option("checkpointLocation", checkpoint_location)
     )

@@ -191,3 +191,16 @@ def test_case_reader_uses_header_names(spark, workdir):
     write(f"{workdir}/reordered/2025_Dysentery.csv", "week,area,count\n1,Colombo,2\n")
     with pytest.raises(ValueError):
         files.read_case_files(spark, f"{workdir}/reordered/2025_Dysentery.csv")
+
+
+def test_streaming_bounded_micro_batches(spark, workdir):
+    root = make_datasets(f"{workdir}/data")
+    drop = f"{workdir}/incoming"
+    os.makedirs(drop)
+    for name in ("2023_Dysentery.csv", "2023_Meningitis.csv", "2024_Dysentery.csv"):
+        os.link(f"{root}/{name}", f"{drop}/{name}")
+    table = f"{workdir}/tables/hist_bounded"
+    q = start_historical_ingest(spark, drop, table, f"{workdir}/ckpt_c", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3  # one file per batch
+    assert spark.read.parquet(table).count() == 300
