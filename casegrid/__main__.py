@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--year", type=int, help="risk year, or prediction year")
     p.add_argument("--trees", type=int, default=300)
     p.add_argument("--depth", type=int, default=None)
+    p.add_argument("--split", default="random", choices=["random", "hash"], help="hold-out split (train)")
     p.add_argument("--checkpoint", help="streaming checkpoint folder (ingest)")
     p.add_argument("--max-files", type=int, default=None, help="files per micro-batch (ingest)")
     return p
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.command == "analytics":
         result = {name: None for name in jobs.analytics_job(spark, inputs, args.out)}
     elif args.command == "train":
-        trained = jobs.train_job(inputs, args.model, args.trees, args.depth)
+        trained = jobs.train_job(inputs, args.model, args.trees, args.depth, split=args.split)
         result = {k: v for k, v in trained.items() if k != "model"}
     elif args.command == "predict":
         preds = jobs.predict_job(spark, inputs, args.model, args.year or 2026, args.out)
