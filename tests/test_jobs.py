@@ -204,3 +204,13 @@ def test_streaming_bounded_micro_batches(spark, workdir):
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3  # one file per batch
     assert spark.read.parquet(table).count() == 300
+
+
+def test_command_line_train_with_hash_split(spark, workdir):
+    from casegrid.__main__ import main
+
+    root = make_datasets(f"{workdir}/data")
+    res = main(["train", "--data", root, "--years", "2023,2024", "--missing", "silent",
+                "--model", f"{workdir}/model", "--trees", "3", "--depth", "3", "--split", "hash"])
+    assert res["rows"] == 2 * 3 * 20 * 5 - 2 * 5 and res["mae"] >= 0
+    assert os.path.isdir(f"{workdir}/model/stages")
