@@ -1,0 +1,62 @@
+"""Byte-level BPE over whole texts: cutting a text where no pretoken can cross, and caching by cut."""
+
+from __future__ import annotations
+
+import re
+from array import array
+from collections.abc import Callable
+
+import regex
+
+#: White space next to white space, or at either end: there the cut below could part a pretoken.
+_RUN = re.compile(r"\s\s|^\s|\s\Z")
+
+
+class _Cache(dict):
+    """key -> ids as little-endian int32 bytes; takes no more keys when full, so its memory is bounded."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self._make, self._limit = make, limit
+
+    def __missing__(self, key: str) -> bytes:
+        value = self._make(key)
+        if len(self) < self._limit:
+            self[key] = value
+        return value
+
+
+class TextEncoder:
+    """Whole text -> ids, given the encoding of a single pretoken.
+
+    The pretoken pattern never joins a space to what stands before it, and every
+    run of white space of length one ends a pretoken before it. So a text in which
+    white space stands alone can be cut before each space and around each newline
+    without changing its pretokens; other texts go through the pattern as a whole.
+    ``cache_entries`` bounds both caches; nothing else depends on it.
+    """
+
+    def __init__(self, pattern: str, encode_piece: Callable[[str], list[int]], cache_entries: int = 600_000):
+        self._split = regex.compile(pattern).findall
+        self._pieces = _Cache(lambda p: array("i", encode_piece(p)).tobytes(), cache_entries)
+        self._first = _Cache(self._chunk, cache_entries)
+        self._rest = _Cache(lambda c: self._chunk(" " + c), cache_entries)
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self._pieces.__getitem__, self._split(chunk)))
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of the whole text as int32 bytes; null is empty."""
+        if not text:
+            return b""
+        if _RUN.search(text):
+            return self._chunk(text)
+        first, rest, out = self._first, self._rest.__getitem__, []
+        newline = self._pieces["\n"] if "\n" in text else b""
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append(newline)
+            words = line.split(" ")
+            out.append(first[words[0]])
+            out.extend(map(rest, words[1:]))
+        return b"".join(out)
