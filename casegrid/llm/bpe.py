@@ -17,6 +17,7 @@ each; an empty table gives an empty result; columns other than the two named one
 from __future__ import annotations
 
 import base64
+import struct
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,11 +29,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.chunks import TextEncoder
+from casegrid.llm.pretokens import TextEncoder
 
 #: The rank file is sent to the executors; a larger one is refused.
 MAX_RANK_FILE_BYTES = 64 << 20
 
+#: Pretokens up to so many bytes share the kept prefixes; longer ones go through the automaton alone.
+SHORT = 32
+
+#: Prefixes that a worker keeps at most; further ones are worked out each time.
+PREFIXES = 200_000
+
+_INT = struct.Struct("<i")
+
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
     """Token bytes -> rank, from the lines ``base64 rank`` of a rank file."""
@@ -47,7 +56,14 @@ class PrefixTable:
         self.tokens = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
         self._halves: dict[int, tuple[int, int] | None] = {}
+        self._prefixes: dict[bytes, bytes] = {}
         self._joinable: dict[int, bool] = {}  # by left << 32 | right
+        # by their last three bytes, the lengths that tokens can have, longest first
+        lengths: dict[bytes, set[int]] = {}
+        for token in ranks:
+            if len(token) > 2:
+                lengths.setdefault(token[-3:], {2, 1}).add(len(token))
+        self._lengths = {end: tuple(sorted(found, reverse=True)) for end, found in lengths.items()}
         self.matcher = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.matcher.add_word(token.decode("latin-1"), (len(token), rank))
@@ -123,13 +139,39 @@ class PrefixTable:
         """Ids of one pretoken."""
         if not data:
             return []
-        rank = self.ranks.get(data)
-        if rank is not None:
-            return [rank]
+        if len(data) <= SHORT:
+            return array("i", self.encode_short(data)).tolist()
         last = array("i", [-1])
         self.extend(last, data)
         return self.read_off(last)
 
+    def encode_short(self, data: bytes) -> bytes:
+        """Ids, as int32 bytes, of a short pretoken or a prefix of one.
+
+        The same table, filled only where it is asked for and kept across pretokens:
+        words share prefixes, so most need a single new entry.
+        """
+        get, pairs, n = self.ranks.get, self._joinable, len(data)
+        for length in self._lengths.get(data[-3:], (2, 1)):
+            if length > n or (rank := get(data[n - length :])) is None:
+                continue
+            before = n - length
+            if before == 0:
+                out = _INT.pack(rank)
+                break
+            start = data[:before]
+            head = self._prefixes.get(start)
+            if head is None:
+                head = self.encode_short(start)
+                if len(self._prefixes) < PREFIXES:
+                    self._prefixes[start] = head
+            left = _INT.unpack_from(head, len(head) - 4)[0]
+            good = pairs.get(left << 32 | rank)
+            if good or (good is None and self.joinable(left, rank)):
+                out = head + _INT.pack(rank)
+                break
+        return out
+
 
 class EditableEncoding:
     """The encoding of one text, kept as a table of last tokens per pretoken.
