@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casegrid.llm import bpe
+from casegrid.llm import bpe, mixing
 from casegrid.llm.common import table
 
 
@@ -13,5 +13,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_bpe": op1_bpe}
-ORACLES: dict[str, str] = {}
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.per_document(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op4_mix": op4_mix}
+ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE}
