@@ -150,20 +150,22 @@ def _with_copies(placed: DataFrame, columns: list[str], name: str, most: float,
     return placed.select(*[F.col(f"`{c}`") for c in columns], F.struct(m["size"].alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"), copies.alias("copies")).alias(name))
 
 
-def training_order(mixed: DataFrame, name: str = "mix", each_copy: bool = True) -> DataFrame:
+def training_order(mixed: DataFrame, name: str = "mix", each_copy: bool = True, ties: tuple[str, ...] = ()) -> DataFrame:
     """Range-sorted by position: a row for each copy taken, with struct(copy, taken, position) in place of ``name``;
-    or, without ``each_copy``, every document once, by its first copy, those that aren't taken last."""
-    if not each_copy:
-        first = F.coalesce(F.get(F.col(name)["copies"], F.lit(0))["position"], F.lit(2.0))
-        return mixed.repartitionByRange(first).sortWithinPartitions(first)
-    copies = mixed.withColumn(name, F.explode(F.col(name)["copies"]))
-    return copies.repartitionByRange(F.col(name)["position"]).sortWithinPartitions(F.col(name)["position"])
+    or, without ``each_copy``, every document once, by its first copy, those that aren't taken last. ``ties`` orders (and parts) rows of one position."""
+    if each_copy:
+        mixed = mixed.withColumn(name, F.explode(F.col(name)["copies"]))
+        position = F.col(name)["position"]
+    else:
+        position = F.coalesce(F.get(F.col(name)["copies"], F.lit(0))["position"], F.lit(2.0))
+    order = [position, *[F.col(f"`{c}`") for c in ties]]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def per_document(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken of each document, in training order; the words are counted once."""
     light = stored(docs.select("doc_id", "source", sizes(F.col("text")).alias("size")), "sizes")
-    ordered = training_order(mix(light, size_col="size"), each_copy=False)
+    ordered = training_order(mix(light, size_col="size"), each_copy=False, ties=("doc_id",))
     taken = F.aggregate("mix.copies", F.lit(0).cast("long"), lambda total, c: total + c["taken"])
     return ordered.select("doc_id", "mix.size", "mix.source_size", "mix.target", taken.alias("taken"))
 
