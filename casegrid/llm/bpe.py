@@ -38,7 +38,7 @@ MAX_RANK_FILE_BYTES = 64 << 20
 SHORT = 32
 
 #: Prefixes that a worker keeps at most; further ones are worked out each time.
-PREFIXES = 200_000
+PREFIXES = 120_000
 
 _INT = struct.Struct("<i")
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import regex
 
 #: Pretokens whose ids a worker keeps at most; further ones are encoded each time they occur.
-PRETOKENS = 400_000
+PRETOKENS = 250_000
 
 
 class _Known(dict):
