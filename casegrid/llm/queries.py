@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casegrid.llm import bpe, mixing
+from casegrid.llm import bpe, chat, fingerprints, mixing
 from casegrid.llm.common import table
 
 
@@ -13,9 +13,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op4_mix": op4_mix}
-ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE}
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.with_markup_conversation(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_mix": op4_mix,
+    "op7_chat": op7_chat,
+}
+ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE, "op7_chat": chat.ORACLE}
