@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.pretokens import TextEncoder
+from casegrid.llm.pretokens import BatchEncoder
 
 #: The rank file is sent to the executors; a larger one is refused.
 MAX_RANK_FILE_BYTES = 64 << 20
@@ -231,10 +231,10 @@ class EditableEncoding:
 
 
 @lru_cache(maxsize=2)
-def _encoder(data: bytes, pattern: str) -> TextEncoder:
+def _encoder(data: bytes, pattern: str) -> BatchEncoder:
     """One for each Python worker and rank file."""
-    table = PrefixTable(load_ranks(data))
-    return TextEncoder(pattern, lambda piece: table.encode_bytes(piece.encode("utf-8")))
+    table, split = PrefixTable(load_ranks(data)), regex.compile(pattern).findall
+    return BatchEncoder(lambda chunks: [array("i", [i for p in split(c) for i in table.encode_bytes(p.encode("utf-8"))]).tobytes() for c in chunks])
 
 
 @lru_cache(maxsize=2)
@@ -263,13 +263,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str], text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                parts = [encoder.encode(t) for t in batch.column(len(keep)).to_pylist()]
-                offsets = np.zeros(len(parts) + 1, np.int32)
-                np.cumsum([len(p) // 4 for p in parts], out=offsets[1:])
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(parts))]))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], names=[*(f"k{i}" for i in range(len(keep))), "ids"])
+            at = 0
+            for ids, counts in encoder.encode(whole.column(len(keep))):
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                batch = whole.slice(at, len(counts))
+                at += len(counts)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.ListArray.from_arrays(offsets, ids)], names=[*(f"k{i}" for i in range(len(keep))), "ids"])
 
     out = source.mapInArrow(run, ", ".join([*fields, "ids array<int>"]))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("ids").alias(ids_col))

@@ -1,37 +1,84 @@
-"""Byte-level BPE over whole texts: splitting into pretokens, and keeping the ids of frequent ones."""
+"""Byte-level BPE over whole texts, batch by batch: each distinct chunk of a batch is encoded once.
+
+A chunk is what stands between two places that no pretoken can cross. The pretoken
+pattern never joins white space to what stands before it; so where white space stands
+alone (one character, with something else on either side), a pretoken ends before it. Texts
+in which all white space stands alone are cut before each space and newline; any other
+text is one chunk. The chunks' ids, put together again, are the text's ids.
+"""
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Callable
 
-import regex
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: All characters that count as white space (fixed values), and the NUL that marks the cuts.
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_UNSAFE = rf"{_SPACE}{_SPACE}|\A{_SPACE}|{_SPACE}\z|\x00"
 
-#: Pretokens whose ids a worker keeps at most; further ones are encoded each time they occur.
-PRETOKENS = 250_000
+#: Bytes of text that are worked on at once (one text at least).
+SLICE_BYTES = 4 << 20
 
 
-class _Known(dict):
-    """pretoken -> ids as int32 bytes; takes no more keys when full, so its memory is bounded."""
+def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """values[starts[i] : starts[i] + lengths[i]] of all i, one after the other."""
+    ends = np.cumsum(lengths)
+    shift = np.repeat(starts - (ends - lengths), lengths)
+    return values[shift + np.arange(len(shift))]
 
-    def __init__(self, encode_piece: Callable[[str], list[int]]):
-        super().__init__()
-        self._encode_piece = encode_piece
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("i", self._encode_piece(piece)).tobytes()
-        if len(self) < PRETOKENS and len(piece) <= 32:
-            self[piece] = ids
-        return ids
+class BatchEncoder:
+    """Whole texts -> ids, given the encoding of a list of chunks.
 
+    ``known`` holds the ids of up to ``keep`` short chunks, so its memory is bounded.
+    """
 
-class TextEncoder:
-    """Whole text -> ids, given the encoding of a single pretoken."""
+    def __init__(self, encode_chunks: Callable[[list[str]], list[bytes]], keep: int = 250_000):
+        self._encode, self._keep = encode_chunks, keep
+        self._known: dict[str, bytes] = {}
 
-    def __init__(self, pattern: str, encode_piece: Callable[[str], list[int]]):
-        self._split = regex.compile(pattern).findall
-        self._known = _Known(encode_piece)
+    def encode(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids as int32 end to end, ids of each text) for successive slices of the texts; null is empty."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at, done = 0, []
+        while at < len(texts):
+            before = sizes[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES)))
+            done.append(self._slice(texts.slice(at, to - at)))
+            at = to
+        return done
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of the whole text as int32 bytes; null is empty."""
-        return b"".join(map(self._known.__getitem__, self._split(text))) if text else b""
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        unsafe = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
+        if unsafe.any():
+            cut = pc.if_else(pa.array(unsafe), "", texts)
+        else:
+            cut = texts
+        cut = pc.replace_substring(pc.replace_substring(cut, " ", "\0 "), "\n", "\0\n")
+        lists = pc.split_pattern(cut, "\0")
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        which = coded.indices.to_numpy()
+        ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
+        if unsafe.any():
+            place = {i: len(chunks) + k for k, i in enumerate(np.flatnonzero(unsafe).tolist())}
+            chunks += [texts[i].as_py() for i in place]
+            which = which.copy()
+            for i, k in place.items():
+                which[ends[i] - 1] = k  # its one empty chunk
+        ids = [*map(self._known.get, chunks)]
+        new = [k for k, x in enumerate(ids) if x is None]
+        for k, x in zip(new, self._encode([chunks[k] for k in new]), strict=True):
+            ids[k] = x
+            if len(self._known) < self._keep and len(chunks[k]) <= 32:
+                self._known[chunks[k]] = x
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        values = np.frombuffer(b"".join(ids), np.int32)
+        starts = np.cumsum(lengths) - lengths
+        sums = np.concatenate([[0], np.cumsum(lengths[which])])
+        per_text = np.diff(np.concatenate([[0], sums[ends]]))
+        return ragged(values, starts[which], lengths[which]), per_text

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casegrid.llm import bpe, chat, fingerprints, mixing
+from casegrid.llm import bpe, chat, fingerprints, mixing, token_shards, warc_zip
 from casegrid.llm.common import table
 
 
@@ -25,10 +25,20 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_markup_conversation(table(spark, sf_dir, "conversations")))
 
 
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op4_mix": op4_mix,
     "op7_chat": op7_chat,
+    "op9_token_shards": op9_token_shards,
+    "op10_warc_zip": op10_warc_zip,
 }
-ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE, "op7_chat": chat.ORACLE}
+ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE, "op7_chat": chat.ORACLE, "op10_warc_zip": warc_zip.ORACLE}
