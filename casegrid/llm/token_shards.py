@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import BinaryIO
@@ -175,7 +176,8 @@ def _encoder(data: bytes) -> BatchEncoder:
     tokenizer.encode_special_tokens = True  # the special tokens' strings are ordinary text
 
     def encode(chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() if len(e.ids) != 1 else e.ids[0].to_bytes(4, "little") for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [array("i", e.ids).tobytes() for e in found]
 
     return BatchEncoder(encode, 600_000)
 
