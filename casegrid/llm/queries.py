@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casegrid.llm import bpe, chat, fingerprints, mixing, token_shards, warc_zip
+from casegrid.llm import bpe, chat, fingerprints, mixing, quality, token_shards, warc_zip
 from casegrid.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_markup_conversation(table(spark, sf_dir, "conversations")))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op4_mix": op4_mix,
     "op7_chat": op7_chat,
+    "op8_quality": op8_quality,
     "op9_token_shards": op9_token_shards,
     "op10_warc_zip": op10_warc_zip,
 }
