@@ -33,7 +33,7 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 class BatchEncoder:
     """Whole texts -> ids, given the encoding of a list of chunks.
 
-    ``known`` holds the ids of up to ``keep`` short chunks, so its memory is bounded.
+    Up to ``keep`` short chunks, of those met twice in a slice, are kept with their ids.
     """
 
     def __init__(self, encode_chunks: Callable[[list[str]], list[bytes]], keep: int = 250_000):
@@ -72,9 +72,10 @@ class BatchEncoder:
                 which[ends[i] - 1] = k  # its one empty chunk
         ids = [*map(self._known.get, chunks)]
         new = [k for k, x in enumerate(ids) if x is None]
+        often = np.bincount(which, minlength=len(chunks)) > 1
         for k, x in zip(new, self._encode([chunks[k] for k in new]), strict=True):
             ids[k] = x
-            if len(self._known) < self._keep and len(chunks[k]) <= 32:
+            if often[k] and len(self._known) < self._keep and len(chunks[k]) <= 32:
                 self._known[chunks[k]] = x
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         values = np.frombuffer(b"".join(ids), np.int32)
