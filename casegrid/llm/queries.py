@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casegrid.llm import bpe, chat, fingerprints, mixing, quality, token_shards, warc_zip
+from casegrid.llm import bpe, chat, fingerprints, minhash_join, mixing, quality, token_shards, warc_zip
 from casegrid.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), percent=80, width=4)
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_markup_conversation(table(spark, sf_dir, "conversations")))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op4_mix": op4_mix,
+    "op6_minhash_join": op6_minhash_join,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_token_shards": op9_token_shards,
