@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casegrid.llm import bpe, chat, fingerprints, minhash_join, mixing, quality, token_shards, warc_zip
+from casegrid.llm import bpe, chat, fingerprints, html_text, minhash_join, mixing, quality, token_shards, warc_zip
 from casegrid.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_html_text": op2_html_text,
     "op3_fingerprints": op3_fingerprints,
     "op4_mix": op4_mix,
     "op6_minhash_join": op6_minhash_join,
