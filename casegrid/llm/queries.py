@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casegrid.llm import bpe, chat, fingerprints, html_text, minhash_join, mixing, quality, token_shards, warc_zip
+from casegrid.llm import bpe, chat, fingerprints, html_text, minhash_join, mixing, permutation_index, quality, token_shards, warc_zip
 from casegrid.llm.common import table
 
 
@@ -25,6 +26,10 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(table(spark, sf_dir, "documents"))
 
 
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), percent=80, width=4)
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_html_text": op2_html_text,
     "op3_fingerprints": op3_fingerprints,
     "op4_mix": op4_mix,
+    "op5_permutation_index": op5_permutation_index,
     "op6_minhash_join": op6_minhash_join,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
