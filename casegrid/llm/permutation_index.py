@@ -4,15 +4,17 @@ A few vectors are pivots. Each vector is known by the order in which it sees the
 nearest first. The index holds, for every block of vectors, a file for each pivot: the
 position that the pivot has in each vector's order. A query's own order is held against the
 files: the footrule distance of two orders is the sum of the differences of positions. The
-nearest ``SHARE`` of a block by footrule, with all that tie with the last of them, are
-reranked by the exact inner product in double precision.
+nearest ``SHARE`` of a block by footrule, with all that tie with the last of them, and however
+many see the pivots almost as the query does (``TIGHT`` of the mean footrule of two random
+orders: a dense group of any size), are reranked by the exact inner product in double precision.
 
 Inner products are made into distances first: every vector gets one more component that
 brings it to the greatest norm M there is, and a query gets 0 there, so the nearest vectors
 are those with the largest inner product.
 
-``PIVOTS`` vectors of each dimension, chosen by hash, are the pivots (a bounded sample);
-every row is indexed. Blocks are formed by hash and hold about ``BLOCK`` vectors; each block
+``PIVOTS`` vectors of each dimension are the pivots: of a bounded sample (``SAMPLE`` distinct
+vectors, by hash) each next one is the one farthest from those chosen, so a dense group gives
+few. Every row is indexed. Blocks are formed by hash and hold about ``BLOCK`` vectors; each block
 of queries meets each block of vectors, and a task merges what its blocks find before
 anything is shuffled, so no pair of a query and a vector ever becomes a row but the best ones.
 
@@ -32,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import stored
+from casegrid.llm.common import stored, tidy
 
-PIVOTS, SHARE, LEAST = 128, 0.15, 64
+PIVOTS, SAMPLE, SHARE, TIGHT, LEAST = 128, 2048, 0.15, 0.2, 64
 BLOCK, QUERY_BLOCK = 4096, 1024
 
 
@@ -47,6 +49,16 @@ def usable(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     return v.distinct().select("vec_id", "vector", F.size("vector").alias("dim"), norm.alias("norm")).where(F.exists("vector", lambda x: x != 0))
 
 
+def spread(sample: np.ndarray, count: int) -> np.ndarray:
+    """Up to ``count`` vectors of a sample, each the farthest (by direction) from those before it."""
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    chosen, nearest = [0], unit @ unit[0]
+    while len(chosen) < min(count, len(sample)):
+        chosen.append(int(np.argmin(nearest)))
+        nearest = np.maximum(nearest, unit @ unit[chosen[-1]])
+    return sample[chosen]
+
+
 def _orders(vectors: np.ndarray, last: np.ndarray, pivots: np.ndarray, pivots_last: np.ndarray) -> np.ndarray:
     """Position of each pivot (column) in each vector's (row's) order, nearest first."""
     near = vectors @ pivots.T + np.outer(last, pivots_last)
@@ -81,7 +93,7 @@ def _blocks(rows: DataFrame, pivots: dict[int, np.ndarray], greatest: dict[int,
             yield block(key, ids, vectors)
 
     dealt = rows.repartition(F.col("dim"), F.col("block")).sortWithinPartitions("dim", "block", "vec_id")
-    return dealt.select("dim", "block", "vec_id", "vector").mapInArrow(run, "dim int, block int, ids array<long>, vectors binary, files binary")
+    return dealt.select("dim", "block", "vec_id", "vector").mapInArrow(tidy(run), "dim int, block int, ids array<long>, vectors binary, files binary")
 
 
 def footrule(query_files: np.ndarray, files: np.ndarray) -> np.ndarray:
@@ -101,9 +113,10 @@ def _best(query_ids, queries, query_files, ids, vectors, files, k):
     """Each query's k best of a block: (query, ids, scores), best first."""
     n = len(ids)
     take = min(n, max(LEAST, k + 1, math.ceil(SHARE * n)))
+    tight = int(TIGHT * (len(files) ** 2 - 1) / 3)
     for a in range(0, len(query_ids), 128):
         far = footrule(query_files[:, a : a + 128], files)
-        bound = np.partition(far, take - 1, axis=1)[:, take - 1]
+        bound = np.maximum(np.partition(far, take - 1, axis=1)[:, take - 1], tight)
         for r in range(len(far)):
             near = np.flatnonzero(far[r] <= bound[r])
             near = near[ids[near] != query_ids[a + r]]
@@ -127,8 +140,8 @@ def search(table: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec
     pivots = {}
     for dim in greatest:
         # copies of a vector are one pivot
-        some = rows.where(F.col("dim") == dim).groupBy("vector").agg(F.min(F.xxhash64("vec_id")).alias("h")).orderBy("h").limit(PIVOTS).collect()
-        pivots[dim] = np.array([r["vector"] for r in some])
+        some = rows.where(F.col("dim") == dim).groupBy("vector").agg(F.min(F.xxhash64("vec_id")).alias("h")).orderBy("h").limit(SAMPLE).collect()
+        pivots[dim] = spread(np.array([r["vector"] for r in some]), PIVOTS)
     sizes = F.create_map(*[F.lit(x) for r in kinds for x in (r["dim"], math.ceil(r["n"] / BLOCK))])
     query_sizes = F.create_map(*[F.lit(x) for r in kinds for x in (r["dim"], math.ceil(r["queries"] / QUERY_BLOCK))])
     here = rows.where(F.col("dim").isin(list(greatest)))
@@ -158,7 +171,7 @@ def search(table: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec
                 pa.array(np.repeat(names[key], lengths), pa.int64()), pa.array(np.concatenate([i for i, _ in best]), pa.int64()),
                 pa.array(np.concatenate([s for _, s in best]), pa.float64())], names=["query_id", "vec_id", "score"])
 
-    each = met.select("dim", "part", "q_ids", "q_vectors", "q_files", "ids", "vectors", "files").mapInArrow(run, "query_id long, vec_id long, score double")
+    each = met.select("dim", "part", "q_ids", "q_vectors", "q_files", "ids", "vectors", "files").mapInArrow(tidy(run), "query_id long, vec_id long, score double")
     # repeated ids: of a vec_id's vectors the best counts
     best = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
