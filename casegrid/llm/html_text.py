@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import stored
+from casegrid.llm.common import stored, tidy
 
 DAMPING, THRESHOLD, MIN_PAGES = 0.9, 0.5, 3
 
@@ -294,7 +294,7 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                 row += len(done)
 
     p = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"))
-    return stored(p.mapInArrow(run, _PARSED), "pages")
+    return stored(p.mapInArrow(tidy(run), _PARSED), "pages")
 
 
 def importance(pages: DataFrame) -> DataFrame:
@@ -323,8 +323,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     asked = p.select("row", F.explode(F.array_distinct(doubtful)).alias("node"))
     low = importance(p).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < THRESHOLD)).select("node")
     gone = asked.join(low, "node").groupBy("row").agg(F.collect_set("node").alias("gone"))  # nodes of one page
-    j = p.select("row", "page_id", "url", "blocks").join(gone, "row", "left")
+    # only pages with doubtful branches are shuffled
+    sure = p.where(F.size(doubtful) == 0).select("page_id", "url", F.col("blocks").alias("kept"))
+    j = p.where(F.size(doubtful) > 0).select("row", "page_id", "url", "blocks").join(gone, "row", "left")
     left = F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: b["node"].isNull() | ~F.array_contains("gone", F.coalesce(b["node"], F.lit(0)))))
-    kept = F.when(F.size(left) > 0, left).otherwise(F.col("blocks"))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
+    j = j.select("page_id", "url", F.when(F.size(left) > 0, left).otherwise(F.col("blocks")).alias("kept")).unionByName(sure)
+    text = F.array_join(F.transform("kept", lambda b: b["text"]), " ")
     return j.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
