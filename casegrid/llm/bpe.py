@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casegrid.llm.common import release_memory, tidy
 from casegrid.llm.pretokens import BatchEncoder
 
 #: The rank file is sent to the executors; a larger one is refused.
@@ -38,7 +39,7 @@ MAX_RANK_FILE_BYTES = 64 << 20
 SHORT = 32
 
 #: Prefixes that a worker keeps at most; further ones are worked out each time.
-PREFIXES = 120_000
+PREFIXES = 80_000
 
 _INT = struct.Struct("<i")
 
@@ -234,7 +235,7 @@ class EditableEncoding:
 def _encoder(data: bytes, pattern: str) -> BatchEncoder:
     """One for each Python worker and rank file."""
     table, split = PrefixTable(load_ranks(data)), regex.compile(pattern).findall
-    return BatchEncoder(lambda chunks: [array("i", [i for p in split(c) for i in table.encode_bytes(p.encode("utf-8"))]).tobytes() for c in chunks])
+    return BatchEncoder(lambda chunks: [array("i", [i for p in split(c) for i in table.encode_bytes(p.encode("utf-8"))]).tobytes() for c in chunks], 150_000)
 
 
 @lru_cache(maxsize=2)
@@ -270,7 +271,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str], text
                 at += len(counts)
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.ListArray.from_arrays(offsets, ids)], names=[*(f"k{i}" for i in range(len(keep))), "ids"])
 
-    out = source.mapInArrow(run, ", ".join([*fields, "ids array<int>"]))
+    out = source.mapInArrow(tidy(run), ", ".join([*fields, "ids array<int>"]))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("ids").alias(ids_col))
 
 
@@ -279,15 +280,17 @@ def decode(ids: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
     ranks = _rank_file(ids, ranks_path)
 
     @F.arrow_udf("binary")
-    def joined(column: pa.Array) -> pa.Array:
+    def joined(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = _vocabulary(ranks.value).__getitem__
-        values, offsets = np.asarray(column.values), np.asarray(column.offsets)
-        out = []
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            if b > a and values[a:b].min() < 0:
-                raise ValueError("negative id")
-            out.append(b"".join(map(token, values[a:b].tolist())))
-        return pa.array(out, pa.binary())
+        for column in columns:
+            values, offsets = np.asarray(column.values), np.asarray(column.offsets)
+            out = []
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                if b > a and values[a:b].min() < 0:
+                    raise ValueError("negative id")
+                out.append(b"".join(map(token, values[a:b].tolist())))
+            yield pa.array(out, pa.binary())
+        release_memory()
 
     return ids.withColumn(bytes_col, joined(F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>"))))
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Gives back to the system what this worker's allocators hold unused; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A partition function that releases memory at its end."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        release_memory()
+
+    return wrapped
+
+
 def ascii_lower(col) -> F.Column:
     """Lower case of A-Z alone."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import WORD
+from casegrid.llm.common import WORD, tidy
 
 SKETCH = 128
 SHINGLE = 5
@@ -137,7 +137,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(as_text, all_), pa.string()), pa.array(map(distinct, all_), pa.float64())], names=["id", "fingerprint", "shingles"])
 
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return source.mapInArrow(run, f"id {source.dtypes[0][1]}, fingerprint string, shingles double").withColumnRenamed("id", id_col)
+    return source.mapInArrow(tidy(run), f"id {source.dtypes[0][1]}, fingerprint string, shingles double").withColumnRenamed("id", id_col)
 
 
 def merged(prints: DataFrame, by: list[str], fingerprint_col: str = "fingerprint", k: int = SKETCH) -> DataFrame:
@@ -214,7 +214,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("tail")), F.struct(F.col("also").alias("range"), F.lit(1).alias("tail"))))).alias("to"))
     both = both.select("id", "text", F.col("to.range").alias("range"), F.col("to.tail").alias("tail"))
     dealt = both.repartitionById(last + 1, F.col("range")).sortWithinPartitions("range", "tail", F.col("id").desc_nulls_last(), "text")
-    return dealt.select("id", "text", "range", "tail").mapInArrow(_walk(k), _RESULT).withColumnRenamed("id", id_col)
+    return dealt.select("id", "text", "range", "tail").mapInArrow(tidy(_walk(k)), _RESULT).withColumnRenamed("id", id_col)
 
 
 _RESULT = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

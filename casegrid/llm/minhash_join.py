@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import WORD, ascii_lower, stored
+from casegrid.llm.common import WORD, ascii_lower, stored, tidy
 from casegrid.llm.fingerprints import shingle_hashes
 
 SIGNATURE = 128
@@ -112,7 +112,7 @@ def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary()), pa.array(paths, pa.list_(pa.int64()))], names=["doc_id", "n", "set", "sig", "paths"])
 
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), ascii_lower(F.col(f"`{text_col}`").cast("string")).alias("text"))
-    return stored(d.mapInArrow(run, "doc_id long, n long, set binary, sig binary, paths array<long>"), "sketches")
+    return stored(d.mapInArrow(tidy(run), "doc_id long, n long, set binary, sig binary, paths array<long>"), "sketches")
 
 
 def _branch(rows: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def _branch(rows: DataFrame) -> DataFrame:
             rest = [batch.column(k).take(take) for k in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays([pa.array([x for c in down for x in c], pa.int64()), *rest], names=["path", "set", "n", "sig"])
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def _sized(members: DataFrame) -> DataFrame:
@@ -235,7 +235,7 @@ def clusters(members: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["cluster", "set"])
 
     together = members.repartition(F.col("path")).sortWithinPartitions("path")
-    return together.mapInArrow(run, "cluster binary, set binary").distinct()
+    return together.mapInArrow(tidy(run), "cluster binary, set binary").distinct()
 
 
 def links(found: DataFrame, percent: int, width: int) -> DataFrame:
@@ -276,7 +276,7 @@ def links(found: DataFrame, percent: int, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*stars, strict=True)], names=["a", "b"])
 
     together = found.repartition(F.col("cluster")).sortWithinPartitions("cluster")
-    return together.select("cluster", "set", "text").mapInArrow(run, "a binary, b binary").distinct()
+    return together.select("cluster", "set", "text").mapInArrow(tidy(run), "a binary, b binary").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

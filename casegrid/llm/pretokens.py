@@ -20,7 +20,7 @@ _SPACE = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\
 _UNSAFE = rf"{_SPACE}{_SPACE}|\A{_SPACE}|{_SPACE}\z|\x00"
 
 #: Bytes of text that are worked on at once (one text at least).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import WORD
+from casegrid.llm.common import WORD, release_memory
 
 #: Labelled rows that a model is fitted on at most.
 MAX_TRAINING_ROWS = 4000
@@ -68,7 +68,7 @@ class Terms(dict):
         form = zlib.crc32(word.lower().encode("utf-8", "replace")) % WORDS
         row = zlib.crc32(shape(word).encode("utf-8", "replace")) % SHAPES
         found = row * WORDS + form
-        if len(self) < 300_000:
+        if len(self) < 150_000:
             self[word] = found
         return found
 
@@ -237,6 +237,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
         for batch in texts:
             x = [m.pooled(t) for t in batch.to_pylist()]
             yield pa.array(m.scores(np.array(x)) if x else [], pa.float64())
+        release_memory()
 
     return docs.withColumn(score_col, scores(F.col(f"`{text_col}`").cast("string")))
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import new_shared_dir
+from casegrid.llm.common import new_shared_dir, tidy
 from casegrid.llm.files import opened, read_at, written
 from casegrid.llm.fingerprints import mixed
 from casegrid.llm.pretokens import BatchEncoder
@@ -218,7 +218,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
             n, total = shard.close()
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([f"{folder}/shard-{part:06d}.ids"]), pa.array([n], pa.int64()), pa.array([total], pa.int64())], names=["part", "path", "records", "ids"])
 
-    return dealt.mapInArrow(run, "part long, path string, records long, ids long")
+    return dealt.mapInArrow(tidy(run), "part long, path string, records long, ids long")
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
                         pa.array(some["key"].astype(np.int64), mask=~named), pa.array(some["start"].astype(np.int64) + base),
                         pa.array(some["count"].astype(np.int64)), pa.array(crc, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
 
-    return shards.select("path", "base").mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+    return shards.select("path", "base").mapInArrow(tidy(run), "key long, start long, n_tokens long, ids_crc32 long")
 
 
 def lookup(spark: SparkSession, shards: list[str], key: int) -> np.ndarray | None:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import new_shared_dir
+from casegrid.llm.common import new_shared_dir, tidy
 from casegrid.llm.files import opened, read_at, written
 
 #: An archive is closed once its records fill so many bytes.
@@ -251,7 +251,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
             made += 1
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(index)], pa.int64())], names=["path", "records"])
 
-    return records.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, "path string, records long")
+    return records.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(tidy(run), "path string, records long")
 
 
 def read_archives(spark: SparkSession, paths: list[str] | DataFrame, batch_records: int = 64) -> DataFrame:
@@ -285,7 +285,7 @@ def read_archives(spark: SparkSession, paths: list[str] | DataFrame, batch_recor
             if rows:
                 yield batch(rows)
 
-    return found.select("path").mapInArrow(run, schema)
+    return found.select("path").mapInArrow(tidy(run), schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
