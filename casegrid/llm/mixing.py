@@ -78,8 +78,10 @@ def targets(per_source: DataFrame, weights: tuple[float, ...] = (3, 1, 2), epoch
         "at", "wanted", F.lead("at").over(Window.orderBy("at")).alias("next"), F.sum("slope").over(upto).alias("slope"),
         (F.sum("flat").over(upto) + F.sum("lows").over(every)).alias("flat"),
     )
+    # the first line that has reached what is wanted where it ends
+    reached = F.col("next").isNull() | (F.col("flat") + F.col("slope") * F.col("next") >= F.col("wanted"))
     level = F.when(F.col("slope") > 1e-9, (F.col("wanted") - F.col("flat")) / F.col("slope")).otherwise(F.col("at"))
-    level = lines.select("at", "next", level.alias("level")).where(F.col("next").isNull() | (F.col("level") <= F.col("next"))).agg(F.min_by("level", "at").alias("level"))
+    level = lines.where(reached).agg(F.min_by(level, "at").alias("level"))
     shared = F.least("high", F.greatest("low", level.scalar() * F.col("weight")))
     return s.select("source", "source_size", "weight", F.coalesce(shared, F.lit(0.0)).alias("target"))
 
@@ -121,21 +123,22 @@ def mix(
     cells = stored(sized.groupBy(m["source"].alias("source"), m["cell"].alias("cell")).agg(F.sum(m["size"]).alias("cell_size")), "cells")
     goals = targets(cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")), weights, epochs, most, least)
     before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select(F.col("source").alias("s"), F.col("cell").alias("c"), F.coalesce(F.sum("cell_size").over(before), F.lit(0)).alias("start"))
+    s_, c_, p_ = (free_name(docs, f"{name}_{x}") for x in ("source", "cell", "plan"))
+    starts = cells.select(F.col("source").alias(s_), F.col("cell").alias(c_), F.coalesce(F.sum("cell_size").over(before), F.lit(0)).alias("start"))
     slope = F.get(F.array(*[F.lit(float(x)) for x in slopes]), (F.array_position(F.array(*[F.lit(float(w)) for w in weights]), F.col("weight")) - 1).cast("int"))
-    plan = starts.join(goals, F.col("s").eqNullSafe(F.col("source"))).select("s", "c", F.struct("start", "source_size", "target", slope.alias("slope")).alias("plan"))
-    joined = sized.join(plan, m["source"].eqNullSafe(F.col("s")) & (m["cell"] == F.col("c")), "left")
+    plan = starts.join(goals, F.col(s_).eqNullSafe(F.col("source"))).select(s_, c_, F.struct("start", "source_size", "target", slope.alias("slope")).alias(p_))
+    joined = sized.join(plan, m["source"].eqNullSafe(F.col(s_)) & (m["cell"] == F.col(c_)), "left")
     in_cell = Window.partitionBy(m["source"], m["cell"]).orderBy(m["rank"], F.col(f"`{id_col}`"), m["size"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p = F.col("plan")
+    p = F.col(p_)
     placed = joined.select(*[F.col(f"`{c}`") for c in docs.columns], name, F.struct(
         p["source_size"].alias("source_size"), p["target"].alias("target"), p["slope"].alias("slope"),
         (F.sum(m["size"]).over(in_cell) - m["size"] + p["start"]).alias("before"),
-    ).alias(name + "_plan"))
-    return _with_copies(placed, docs.columns, name, most, whole)
+    ).alias(p_))
+    return _with_copies(placed, docs.columns, name, p_, most, whole)
 
 
-def _with_copies(placed: DataFrame, columns: list[str], name: str, most: float, whole: bool) -> DataFrame:
-    m, p = F.col(name), F.col(name + "_plan")
+def _with_copies(placed: DataFrame, columns: list[str], name: str, plan: str, most: float, whole: bool) -> DataFrame:
+    m, p = F.col(name), F.col(plan)
 
     def copy(k: F.Column) -> F.Column:
         start = p["before"] + k * p["source_size"]
