@@ -51,7 +51,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: str) -> int:
         h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        if len(self) < 200_000:
+        if len(self) < 100_000:
             self[word] = h
         return h
 
