@@ -255,24 +255,33 @@ def _rank_file(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast(data)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str], text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``keep`` columns and the ids (array<int>) of each whole text, a row for each row, in one narrow pass."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str], text_col: str = "text", ids_col: str = "ids", verify_col: str | None = None) -> DataFrame:
+    """``keep`` columns and the ids (array<int>) of each whole text, a row for each row, in one narrow pass.
+
+    ``verify_col``, if given, tells whether the ids, decoded again in the same pass, are the text.
+    """
     ranks = _rank_file(docs, ranks_path)
     source = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").cast("string").alias("text"))
     fields = [f"k{i} {t}" for i, (_, t) in enumerate(source.dtypes[:-1])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
+        token = _vocabulary(ranks.value).__getitem__ if verify_col else None
         for whole in batches:
             at = 0
             for ids, counts in encoder.encode(whole.column(len(keep))):
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 batch = whole.slice(at, len(counts))
                 at += len(counts)
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.ListArray.from_arrays(offsets, ids)], names=[*(f"k{i}" for i in range(len(keep))), "ids"])
-
-    out = source.mapInArrow(tidy(run), ", ".join([*fields, "ids array<int>"]))
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("ids").alias(ids_col))
+                columns, names = [*batch.columns[: len(keep)], pa.ListArray.from_arrays(offsets, ids)], [*(f"k{i}" for i in range(len(keep))), "ids"]
+                if token:
+                    parts = zip(batch.column(len(keep)), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                    columns.append(pa.array([b"".join(map(token, ids[a:b].tolist())) == (t.as_py() or "").encode() for t, a, b in parts], pa.bool_()))
+                    names.append("same")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    out = source.mapInArrow(tidy(run), ", ".join([*fields, "ids array<int>", *["same boolean"] * bool(verify_col)]))
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("ids").alias(ids_col), *([F.col("same").alias(verify_col)] if verify_col else []))
 
 
 def decode(ids: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:

@@ -237,6 +237,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
         for batch in texts:
             x = [m.pooled(t) for t in batch.to_pylist()]
             yield pa.array(m.scores(np.array(x)) if x else [], pa.float64())
+        _terms.clear()
         release_memory()
 
     return docs.withColumn(score_col, scores(F.col(f"`{text_col}`").cast("string")))
