@@ -46,10 +46,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, the ids of the whole text, their number, and whether decoding them gives the text back."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    encoded = bpe.encode(docs.select("doc_id", "source", "text", F.sha2(text.cast("binary"), 256).alias("sha256")), ranks, public_tokenizers.PATTERN, ["doc_id", "source", "sha256"])
-    decoded = bpe.decode(encoded, ranks)
-    return decoded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.sha2("decoded", 256) == F.col("sha256")).alias("decodes"))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, ["doc_id", "source"], verify_col="decodes")
+    return encoded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decodes")
 
 
 STAGES = [("quality", quality_filter), ("near_duplicates", near_duplicates), ("mixture", mixture), ("token_ids", token_ids)]
