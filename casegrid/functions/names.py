@@ -14,7 +14,7 @@ def _col(c: str | Column) -> Column:
 
 def strip_ws(c: str | Column) -> Column:
     """Strip leading/trailing whitespace of any kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    return F.regexp_replace(_col(c).cast("string"), r"(?U)^\s+|\s+$", "")
 
 
 def canonical_key(c: str | Column, aliases: dict[str, str] | None = None) -> Column:
@@ -22,7 +22,7 @@ def canonical_key(c: str | Column, aliases: dict[str, str] | None = None) -> Col
     whitespace, apply the alias table, drop spaces. NULL becomes ``""``."""
     text = F.lower(strip_ws(F.coalesce(_col(c).cast("string"), F.lit(""))))
     text = F.translate(text, "_-", "  ")
-    text = F.regexp_replace(F.regexp_replace(text, r"\s+", " "), r"^ | $", "")
+    text = F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", " "), r"^ | $", "")
     if aliases:
         text = F.coalesce(F.try_element_at(literal_map(aliases), text), text)
     return F.replace(text, F.lit(" "), F.lit(""))

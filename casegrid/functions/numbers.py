@@ -14,15 +14,24 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Decimal text; Spark's cast alone would also take ``12d``, ``nan`` or ``inf``.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def _number(text: Column) -> Column:
+    """Finite decimal text -> double, anything else -> NULL (missing is NULL, never NaN)."""
+    value = F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def lenient_double(c: str | Column) -> Column:
     """Numeric cast where unparsable input becomes NULL."""
-    return _col(c).cast("string").try_cast("double")
+    return _number(_col(c).cast("string"))
 
 
 def parse_thousands(c: str | Column) -> Column:
     """``"2,375,415"`` -> 2375415.0; unparsable -> NULL."""
-    cleaned = F.trim(F.replace(_col(c).cast("string"), F.lit(","), F.lit("")))
-    return cleaned.try_cast("double")
+    return _number(F.replace(_col(c).cast("string"), F.lit(","), F.lit("")))
 
 
 def strict_int(c: str | Column) -> Column:

@@ -23,7 +23,7 @@ from __future__ import annotations
 import uuid as _uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casegrid.sources.checks import column_type, is_integer_type, require_columns
@@ -32,10 +32,18 @@ ACTION_COL = "_merge_action"
 
 
 def dedup_last(batch: DataFrame, keys: Sequence[str], seq_col: str | None) -> DataFrame:
-    """One row per key: the row with the highest ``seq_col`` (last in batch order)."""
-    if seq_col is None:
-        return batch
+    """One row per key: the row with the highest ``seq_col`` (last in batch order).
+
+    Without ``seq_col`` there is no last row, so a repeated key is an error.
+    """
     others = [c for c in batch.columns if c not in keys and c != seq_col]
+    if seq_col is None:
+        one = batch.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("__n"), *[F.any_value(c).alias(c) for c in others]
+        )
+        message = F.concat(F.lit("more than one row of the batch has the key "), F.to_json(F.struct(*keys)))
+        checked = F.when(F.col("__n") > 1, F.raise_error(message)).otherwise(F.lit(True))
+        return one.filter(checked.cast("boolean")).select(*batch.columns)
     if not others:
         return batch.select(*keys).distinct()
     best = batch.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(seq_col)).alias("__v"))
@@ -56,7 +64,7 @@ def merge_upsert(
 
     * ``keys``: the unique key; ``set_cols``: columns overwritten on conflict.
     * ``id_col``: surrogate id kept for existing rows; new rows get a uuid, or,
-      when the target's id column is integral, ``max(id) + 1 + unique offset``.
+      when the target's id column is integral, the next free numbers, dense.
     * ``touch_col``: set to ``current_timestamp()`` on inserted / updated rows.
     * ``seq_col``: batch ordering column for last-row-wins dedup.
     * ``with_action``: add ``_merge_action`` in {insert, update, keep}.
@@ -68,8 +76,10 @@ def merge_upsert(
     b = b.select(*[F.col(k).alias(f"__b_{k}") for k in keys],
                  *[F.col(c).alias(f"__b_{c}") for c in set_cols],
                  F.lit(True).alias("__in_batch"))
-    t = target.withColumn("__in_target", F.lit(True))
     cond = [F.col(k) == F.col(f"__b_{k}") for k in keys]
+    if id_col and is_integer_type(column_type(target, id_col)):
+        b = _numbered(target, b, cond, [f"__b_{k}" for k in keys], id_col)
+    t = target.withColumn("__in_target", F.lit(True))
     j = t.join(b, cond, "full_outer")
     in_b = F.col("__in_batch").isNotNull()
     in_t = F.col("__in_target").isNotNull()
@@ -100,14 +110,31 @@ def merge_upsert(
 def _new_id(target: DataFrame, id_col: str, in_t):
     dtype = column_type(target, id_col)
     if is_integer_type(dtype):
-        # like a database sequence: unique, increasing, gaps allowed. The
-        # current maximum is a scalar subquery-style aggregate broadcast once.
-        max_id = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
-        fresh = F.lit(int(max_id) + 1) + F.monotonically_increasing_id()
-        return F.when(in_t, F.col(id_col)).otherwise(fresh.cast(dtype))
+        # the numbers were given to the batch's new rows before the merge
+        return F.when(in_t, F.col(id_col)).otherwise((target.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar() + F.col("__rank")).cast(dtype))
     return F.when(in_t, F.col(id_col)).otherwise(F.expr("uuid()"))
 
 
+#: New rows are numbered inside so many hash buckets; the buckets' counts are a table of this size.
+ID_BUCKETS = 1024
+
+
+def _numbered(target: DataFrame, b: DataFrame, cond: list, b_keys: list[str], id_col: str) -> DataFrame:
+    """The batch with ``__rank``: 1, 2, ... over its rows that the target lacks (NULL for the others).
+
+    Running counts of hash buckets, then a rank inside each bucket: dense numbers, and no task sees all new rows.
+    """
+    new = b.join(target, cond, "left_anti").select(*b_keys)
+    new = new.withColumn("__bucket", F.pmod(F.xxhash64(*b_keys), F.lit(ID_BUCKETS)))
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = new.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
+    )
+    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy(*b_keys))
+    ranks = new.join(starts, "__bucket").select(*b_keys, (F.col("__start") + inside).alias("__rank"))
+    return b.join(ranks, b_keys, "left")
+
+
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
