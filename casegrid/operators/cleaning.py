@@ -166,6 +166,7 @@ def population_ids(raw: DataFrame, dims: Dims) -> DataFrame:
     df = raw.select(
         F.col("Region").alias("Region"),
         parse_thousands("Population").alias("population"),
+        *(["_row_seq"] if "_row_seq" in raw.columns else []),
     ).na.drop(subset=["population"])
     return lookup_district(df, "Region", dims, district_id="district_id")
 

@@ -76,9 +76,10 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def population_rows(raw_population: DataFrame, dims: Dims) -> DataFrame:
     """``district_id, population`` (int, half-even) for known districts."""
+    extra = ["_row_seq"] if "_row_seq" in raw_population.columns else []
     df = population_ids(raw_population, dims)
     return df.filter(F.col("district_id").isNotNull()).select(
-        "district_id", to_int_half_even("population").alias("population")
+        "district_id", to_int_half_even("population").alias("population"), *extra
     )
 
 

@@ -193,7 +193,8 @@ def load_population(spark: SparkSession, inputs: Inputs, table: str) -> dict:
     """Upsert ``perdistrictpopulation``."""
     batch = loads.population_rows(inputs.population, inputs.dims)
     report = loads.population_report(inputs.population, inputs.dims).first().asDict()
-    return {"upsert": upsert.upsert_table(spark, table, batch, ["district_id"], ["population"], id_col="id"),
+    seq = "_row_seq" if "_row_seq" in batch.columns else None
+    return {"upsert": upsert.upsert_table(spark, table, batch, ["district_id"], ["population"], id_col="id", seq_col=seq),
             "report": report}
 
 
@@ -221,8 +222,9 @@ def load_predictions(spark: SparkSession, predictions: DataFrame, inputs: Inputs
     rows = loads.report_rows(predictions, inputs.dims)
     report = {r["disease"]: r.asDict() for r in loads.load_report(rows).collect()}
     batch = loads.accepted(rows).drop("disease")
+    seq = "_row_seq" if "_row_seq" in batch.columns else None
     counts = upsert.upsert_table(spark, table, batch, loads.HISTORICAL_KEYS, ["case_count"], id_col="report_id",
-                                 partition_cols=["year"])
+                                 seq_col=seq, partition_cols=["year"])
     return {"upsert": counts, "report": report}
 
 

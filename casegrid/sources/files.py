@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,9 +80,34 @@ def read_case_files(
     if isinstance(paths, str):
         paths = [paths]
     paths = resolve_paths(spark, list(paths), missing)
-    # Column names come from the header (a UTF-8 BOM is stripped) and every
-    # value stays a string (no inference pass). Files read together share the
-    # first file's column order, as one table's partitions do.
+    # Files with the same header are read together, so every file's columns go
+    # by its own header; every value stays a string (no inference pass).
+    by_header: dict[str, list[str]] = {}
+    for path, header in _headers(spark, paths).items():
+        by_header.setdefault(header, []).append(path)
+    parts = [_case_rows(spark, same) for same in by_header.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First line of each file that the paths (or patterns) name."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = {}
+    for path in paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        fs = pattern.getFileSystem(conf)
+        for status in fs.globStatus(pattern) or []:
+            stream = fs.open(status.getPath())
+            try:
+                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+                found[status.getPath().toString()] = (reader.readLine() or "").strip()
+            finally:
+                stream.close()
+    return found
+
+
+def _case_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     raw = (
         spark.read.option("header", True)
         .option("encoding", "UTF-8")
@@ -96,19 +122,24 @@ def read_case_files(
         "week_number",
         "area_reported",
         "cases_reported",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
-        ).alias("_row_seq"),
+        _row_seq(),
     )
 
 
+def _row_seq():
+    """Place of a row in the files read (to be taken from the scan itself): file path, split offset, position."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+    ).alias("_row_seq")
+
+
 def read_population(spark: SparkSession, path: str) -> DataFrame:
     """Raw population table ``Region, Population`` (both strings)."""
     df = spark.read.option("header", True).csv(path)  # names from the header, values as strings
     require_columns(df, ["Region", "Population"], "population file")
-    return df.select("Region", "Population")
+    return df.select("Region", "Population", _row_seq())
 
 
 def read_rainfall_wide(spark: SparkSession, path: str) -> DataFrame:

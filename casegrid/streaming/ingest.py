@@ -21,14 +21,15 @@ from casegrid.sources.files import CASE_COLUMNS, FILE_NAME_PATTERN, _string_sche
 
 
 def case_file_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming raw case rows (as ``read_case_files``, with ``_file`` and
-    ``_block`` instead of ``_row_seq``: the in-split position is added per
+    """Streaming raw case rows (as ``read_case_files``, with ``_time``, ``_file``
+    and ``_block`` instead of ``_row_seq``: the in-split position is added per
     micro-batch, where the batch is a plain file scan).
 
     A streaming file source needs a fixed schema, so dropped files must have
-    the standard column order ``week_number, area_reported, cases_reported``.
+    the standard column order ``week_number, area_reported, cases_reported``;
+    another header fails the batch rather than being read wrongly.
     """
-    reader = spark.readStream.schema(_string_schema(CASE_COLUMNS)).option("header", True)
+    reader = spark.readStream.schema(_string_schema(CASE_COLUMNS)).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.option("pathGlobFilter", "*.csv").csv(directory)
@@ -39,6 +40,7 @@ def case_file_stream(spark: SparkSession, directory: str, max_files_per_trigger:
         "week_number",
         "area_reported",
         "cases_reported",
+        F.col("_metadata.file_modification_time").alias("_time"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
@@ -64,8 +66,9 @@ def start_historical_ingest(
     dims = dims or surveillance_dims(spark)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        seq = F.struct(F.col("_file"), F.col("_block"), F.monotonically_increasing_id())
-        batch = batch.withColumn("_row_seq", seq).drop("_file", "_block")
+        # the newest file is the last correction, whatever its name
+        seq = F.struct(F.col("_time"), F.col("_file"), F.col("_block"), F.monotonically_increasing_id())
+        batch = batch.withColumn("_row_seq", seq).drop("_time", "_file", "_block")
         rows = loads.accepted(loads.keyed_case_rows(batch, dims)).drop("disease")
         upsert.upsert_table(
             batch.sparkSession, table, rows, loads.HISTORICAL_KEYS, ["case_count"],

@@ -214,3 +214,47 @@ def test_command_line_train_with_hash_split(spark, workdir):
                 "--model", f"{workdir}/model", "--trees", "3", "--depth", "3", "--split", "hash"])
     assert res["rows"] == 2 * 3 * 20 * 5 - 2 * 5 and res["mae"] >= 0
     assert os.path.isdir(f"{workdir}/model/stages")
+
+
+def test_case_files_go_by_their_own_headers(spark, workdir):
+    from casegrid.sources import files
+
+    texts = {"2023_Dysentery.csv": "week_number,area_reported,cases_reported\n1,Colombo,5\n", "2024_Dysentery.csv": "area_reported,extra,cases_reported,week_number\nGalle,x,7,2\n"}
+    for name, text in texts.items():
+        with open(f"{workdir}/{name}", "w") as f:
+            f.write(text)
+    got = files.read_case_files(spark, [f"{workdir}/{n}" for n in texts]).drop("_row_seq").collect()
+    assert sorted(map(tuple, got)) == [(2023, "Dysentery", "1", "Colombo", "5"), (2024, "Dysentery", "2", "Galle", "7")]
+
+
+def test_population_keeps_one_row_per_district(spark, workdir):
+    """Two spellings of one district: the last row is stored, also on a second run."""
+    from casegrid.dims import surveillance_dims
+    from casegrid.plans.jobs import Inputs, load_population
+    from casegrid.sources import files
+
+    with open(f"{workdir}/population.csv", "w") as f:
+        f.write("Region,Population\nNuwara Eliya,\"1,000\"\nColombo,5\nNuwaraEliya,\"2,000\"\nGalle,nan\n")
+    inputs = Inputs(None, files.read_population(spark, f"{workdir}/population.csv"), None, surveillance_dims(spark))
+    for expected in ({"inserted": 2, "updated": 0, "unchanged": 0}, {"inserted": 0, "updated": 2, "unchanged": 0}):
+        assert load_population(spark, inputs, f"{workdir}/table")["upsert"] == expected
+    assert sorted(r["population"] for r in spark.read.parquet(f"{workdir}/table").collect()) == [5, 2000]
+
+
+def test_streaming_takes_the_newest_file_not_the_last_name(spark, workdir):
+    drop = f"{workdir}/incoming"
+    os.makedirs(drop)
+    head = "week_number,area_reported,cases_reported\n"
+    for name, cases, age in (("z_2023_Dysentery.csv", 5, 1000), ("2023_Dysentery.csv", 99, 0)):
+        write(f"{drop}/{name}", f"{head}1,Colombo,{cases}\n")
+        os.utime(f"{drop}/{name}", (1_700_000_000 - age, 1_700_000_000 - age))
+    start_historical_ingest(spark, drop, f"{workdir}/t", f"{workdir}/c").awaitTermination()
+    assert [r["case_count"] for r in spark.read.parquet(f"{workdir}/t").collect()] == [99]
+
+
+def test_streaming_fails_on_another_header(spark, workdir):
+    drop = f"{workdir}/incoming"
+    os.makedirs(drop)
+    write(f"{drop}/2023_Dysentery.csv", "area_reported,cases_reported,week_number\nColombo,5,1\n")
+    with pytest.raises(Exception, match="(?i)header|column"):
+        start_historical_ingest(spark, drop, f"{workdir}/t", f"{workdir}/c").awaitTermination()
