@@ -34,6 +34,7 @@ CATEGORICAL = ["area_reported", "disease"]
 LABEL = "cases_reported"
 WEEKS = 52
 MAX_SPARK_DEPTH = 30  # Spark's tree depth limit; "unlimited" maps to it
+MAX_BINS = 128  # more than the 53 week numbers, so every week can be split on
 
 
 def training_frame(cases: DataFrame, annual: DataFrame, national: DataFrame, dims: Dims) -> DataFrame:
@@ -51,7 +52,9 @@ def build_pipeline(num_trees: int = 300, max_depth: int | None = None, seed: int
     """Encoders + assembler + forest."""
     idx = [f"{c}_idx" for c in CATEGORICAL]
     ohe = [f"{c}_ohe" for c in CATEGORICAL]
-    depth = MAX_SPARK_DEPTH if max_depth is None else min(max_depth, MAX_SPARK_DEPTH)
+    if max_depth is not None and max_depth > MAX_SPARK_DEPTH:
+        raise ValueError(f"Spark's trees have a depth of {MAX_SPARK_DEPTH} at most")
+    depth = MAX_SPARK_DEPTH if max_depth is None else max_depth
     return Pipeline(stages=[
         StringIndexer(inputCols=CATEGORICAL, outputCols=idx, stringOrderType="alphabetDesc",
                       handleInvalid="error"),
@@ -59,7 +62,7 @@ def build_pipeline(num_trees: int = 300, max_depth: int | None = None, seed: int
         VectorAssembler(inputCols=NUMERIC + ohe, outputCol="features"),
         RandomForestRegressor(featuresCol="features", labelCol=LABEL, predictionCol="prediction",
                               numTrees=num_trees, maxDepth=depth, featureSubsetStrategy="all",
-                              bootstrap=True, subsamplingRate=1.0, seed=seed,
+                              maxBins=MAX_BINS, bootstrap=True, subsamplingRate=1.0, seed=seed,
                               # node-id cache checkpointed to the reliable checkpoint
                               # folder, so deep trees survive lost executors
                               cacheNodeIds=True, checkpointInterval=10),

@@ -380,13 +380,9 @@ SELECT * FROM (
 ) WHERE rank <= 5
 """)
 
-_YEARS = range(1995, 2002)
 SQL["annual_pivot"] = with_analytics(
-    "SELECT disease, "
-    + ", ".join(
-        f'CAST(coalesce(sum(CASE WHEN year = {y} THEN total_cases END), 0) AS BIGINT) AS "{y}"' for y in _YEARS
-    )
-    + " FROM annual GROUP BY disease"
+    "SELECT disease, CAST(coalesce(COLUMNS(* EXCLUDE (disease)), 0) AS BIGINT) "
+    "FROM (PIVOT (SELECT disease, year, total_cases FROM annual) ON year USING sum(total_cases) GROUP BY disease)"
 )
 
 SQL["rain_unpivot"] = with_analytics("SELECT * FROM rain_long")

@@ -207,14 +207,9 @@ def top_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.top_hotspots(patterns.hotspots(analytics(spark, sf_dir)), n=5)
 
 
-# the loaded years (order dates span 1995-2001), as the analytics input is read
-# for a fixed list of years; explicit pivot values avoid a second pass
-YEARS = tuple(range(1995, 2002))
-
-
 @register("annual_pivot")
 def annual_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return patterns.annual_pivot(patterns.yoy_change(analytics(spark, sf_dir)), years=YEARS)
+    return patterns.annual_pivot(patterns.yoy_change(analytics(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- rainfall
@@ -517,19 +512,20 @@ def forecast_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions upserted into a reports table (C11, rows-only check).
 
-    Target: the last data year's weekly counts already stored as reports;
-    batch: the scored grid for the next year, keyed like the reports table
-    (ids looked up, counts rounded half-even).
+    Target: all weekly counts, already stored as reports; batch: the scored
+    grids of the last data year (which update) and of the next one (which
+    insert), keyed like the reports table (ids looked up, counts rounded
+    half-even).
     """
     dims = td.dims(spark, sf_dir)
     annual, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), dims)
     _, model, _ = _fitted(spark, sf_dir)
     areas, diseases = forecast.labels(model)
-    grid = forecast.prediction_grid(spark, areas, diseases, PREDICTION_YEAR, annual, national, dims)
+    grid = forecast.prediction_grid(spark, areas, diseases, PREDICTION_YEAR - 1, annual, national, dims).unionByName(
+        forecast.prediction_grid(spark, areas, diseases, PREDICTION_YEAR, annual, national, dims))
     batch = loads.accepted(loads.report_rows(forecast.predict(model, grid), dims)).drop("disease")
     target = (
         historical_rows(spark, sf_dir).drop("disease")
-        .filter(F.col("year") == PREDICTION_YEAR - 1)
         .withColumn("report_id", F.expr("uuid()"))
     )
     merged = upsert.merge_upsert(target, batch, loads.HISTORICAL_KEYS, ["case_count"],

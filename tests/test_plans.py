@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from casegrid.plans.catalog import QUERIES
 from casegrid.operators import upsert
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +22,7 @@ SKIP = {"forecast_metrics", "forecast_predictions"}  # they fit a model while bu
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
 def test_plan_has_no_forbidden_operators(spark, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name} uses {op}"

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from casegrid.oracle import SQL
+from casegrid.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -39,11 +41,11 @@ def test_entry_runs(spark):
     assert "risk_level" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    sql = entry.oracle_sql().get(name)
+    sql = SQL.get(name)
     if sql is None:
         assert len(rows) > 0
         return
@@ -60,3 +62,7 @@ def test_entry_schema_is_stable(spark):
     second = entry.entry(spark).schema.simpleString()
     assert first == second
     assert first.startswith("struct<year:int,disease:string,week_number:int,area_reported:string")
+
+
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
