@@ -1,12 +1,12 @@
-"""Plan guards: properties every registered query's physical plan must keep."""
+"""Plan guards: properties the physical plan of every surveillance query must keep."""
 
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from casegrid.plans.catalog import QUERIES
 from casegrid.operators import upsert
+from casegrid.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = (
@@ -20,7 +20,7 @@ SKIP = {"forecast_metrics", "forecast_predictions"}  # they fit a model while bu
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
 def test_plan_has_no_forbidden_operators(spark, name):
     df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -30,7 +30,7 @@ def test_plan_has_no_forbidden_operators(spark, name):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_scans_are_pruned(spark):
-    plan = entry.queries()["weekly_risk_levels"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["weekly_risk_levels"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
 
 
