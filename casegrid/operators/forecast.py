@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,7 @@ def training_frame(cases: DataFrame, annual: DataFrame, national: DataFrame, dim
         "year", "week_number", "month", F.col("district").alias("area_reported"), "disease", LABEL
     )
     df = lookup_district(df, "area_reported", dims, rainfall_area="area_key")
-    df = df.join(F.broadcast(annual), "area_key", "left").join(F.broadcast(national), "month", "left")
+    df = df.join(annual, "area_key", "left").join(F.broadcast(national), "month", "left")  # national: 12 rows
     return df.select(*NUMERIC, *CATEGORICAL, LABEL).na.drop("any")
 
 
@@ -113,9 +113,16 @@ def split_holdout(data: DataFrame, test_size: float, seed: int, split: str = "ra
         return train_df, test_df
     if split != "hash":
         raise ValueError("split must be 'random' or 'hash'")
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "year", "week_number", "area_reported", "disease"), F.lit(10000))
-    in_test = bucket < F.lit(int(round(test_size * 10000)))
-    return data.filter(~in_test), data.filter(in_test)
+    test = in_holdout(test_size, seed)
+    return data.filter(~test), data.filter(test)
+
+
+def in_holdout(test_size: float, seed: int) -> Column:
+    """True on the test side of the hash split: the first 8 hex digits of the MD5 of a row's
+    seed, year, week, area and disease, modulo 10,000."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ("year", "week_number", "area_reported", "disease")])
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(number, F.lit(10000)) < F.lit(int(round(test_size * 10000)))
 
 
 def labels(model: PipelineModel) -> tuple[list[str], list[str]]:
@@ -147,7 +154,7 @@ def prediction_grid(
     )
     grid = grid.withColumn("month", week_to_month("week_number"))
     grid = lookup_district(grid, "area_reported", dims, rainfall_area="area_key")
-    grid = grid.join(F.broadcast(annual), "area_key", "left").join(F.broadcast(national), "month", "left")
+    grid = grid.join(annual, "area_key", "left").join(F.broadcast(national), "month", "left")  # national: 12 rows
     return grid.select(*NUMERIC, *CATEGORICAL)
 
 

@@ -73,9 +73,9 @@ def analytics_frame(
     avg_rainfall_mm``. Lag ``k`` attaches month ``m``'s rainfall to month
     ``(m + k - 1) % 12 + 1`` (a climatology wrap, not a time series).
     """
-    df = cases.join(F.broadcast(population.select("district", "population")), "district", "left")
+    df = cases.join(population.select("district", "population"), "district", "left")
     df = lookup_district(df, "district", dims, rainfall_area="rainfall_area")
-    df = df.join(F.broadcast(rainfall_lag_table(rainfall_long)), ["rainfall_area", "month"], "left")
+    df = df.join(rainfall_lag_table(rainfall_long), ["rainfall_area", "month"], "left")
     return df.select(
         "year", "disease", "district", "week_number", "month", "cases_reported", "population",
         "rainfall_area", "rainfall_mm", "rainfall_lag1_mm", "rainfall_lag2_mm",

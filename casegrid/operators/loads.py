@@ -69,6 +69,12 @@ def load_report(rows: DataFrame, by: str | None = "disease") -> DataFrame:
     return rows.groupBy(by).agg(*aggs)
 
 
+def load_counts(rows: DataFrame) -> dict[str, dict]:
+    """``load_report`` by disease as a dict; unknown diseases together, so it is bounded by the dimension."""
+    known = F.when(F.col("disease_id").isNotNull(), F.col("disease")).otherwise(F.lit("unknown"))
+    return {r["disease"]: r.asDict() for r in load_report(rows.withColumn("disease", known)).collect()}
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their multiplicity."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -18,6 +18,7 @@ from casegrid.functions.calendar import month_name, month_number
 from casegrid.functions.numbers import parse_thousands, strict_int
 from casegrid.operators.cleaning import lookup_district
 from casegrid.operators.frame import unpivot_months
+from casegrid.sources.checks import require_columns
 
 
 def monthly_by_district(rain_long: DataFrame) -> DataFrame:
@@ -42,10 +43,9 @@ def district_totals_ranked(monthly: DataFrame) -> DataFrame:
 
 def extremes(ranked: DataFrame, n: int = 5) -> DataFrame:
     """Wettest ``n`` and driest ``n`` districts with a ``label`` (O3)."""
-    w_dry = Window.orderBy(F.asc("annual_rainfall_mm"), F.desc("district"))
-    with_dry = ranked.withColumn("__dry_rank", F.row_number().over(w_dry))
-    wet = with_dry.filter(F.col("rank") <= n).withColumn("label", F.lit("wettest"))
-    dry = with_dry.filter(F.col("__dry_rank") <= n).withColumn("label", F.lit("driest"))
+    # the rank is a total order, so its far end holds the driest
+    wet = ranked.filter(F.col("rank") <= n).withColumn("label", F.lit("wettest"))
+    dry = ranked.orderBy(F.desc("rank")).limit(n).withColumn("label", F.lit("driest"))
     return wet.unionByName(dry).select("label", "district", "annual_rainfall_mm", "rank")
 
 
@@ -92,40 +92,46 @@ def features(wide: DataFrame, dims: Dims) -> tuple[DataFrame, DataFrame]:
     return annual, national
 
 
-def storage_rows(wide: DataFrame, dims: Dims) -> DataFrame:
+def storage_rows(wide: DataFrame, dims: Dims, seq_col: str | None = None) -> DataFrame:
     """Rows for the keyed ``rainfall_data`` table (C10: P3, P5, P22, U3, U2).
 
     One row per known district: ``district_id``, ``january``..``december`` and
     ``annual_rainfall`` as integers (strict parse, half-even; bad text raises).
-    The last row of a district wins; each (target, template) backfill pair
-    copies the template's row to a target that has none.
+    The last row of a district wins (by ``seq_col``; by scan order without it);
+    each (target, template) backfill pair copies the template's row to a target
+    that has none. One pass: a row is emitted for its district and for the
+    district it may stand in for, and a district's own rows win.
     """
-    df = wide.select("*", F.monotonically_increasing_id().alias("__seq"))
+    require_columns(wide, ["District", *MONTH_ORDER, "Annual"], "rainfall load")
+    seq = F.col(seq_col) if seq_col else F.monotonically_increasing_id()
+    df = wide.select("District", *MONTH_ORDER, "Annual", seq.alias("__seq"))
     df = lookup_district(df, "District", dims, district_id="district_id").filter(
         F.col("district_id").isNotNull()
     )
     values = [strict_int(m).alias(long) for m, long in zip(MONTH_ORDER, MONTH_LONG_NAMES)]
     values.append(strict_int("Annual").alias("annual_rainfall"))
-    df = df.select("district_id", "__seq", F.struct(*values).alias("v"))
-    last = df.groupBy("district_id").agg(F.max_by("v", "__seq").alias("v"))
-    rows = last.select("district_id", "v.*")
-    if not dims.rainfall_backfill:
-        return rows
+    df = df.select("district_id", F.lit(True).alias("__own"), "__seq", F.struct(*values).alias("v"))
+    if dims.rainfall_backfill:
+        df = _with_stand_ins(df, dims)
+    last = df.groupBy("district_id").agg(F.max_by("v", F.struct("__own", "__seq")).alias("v"))
+    return last.select("district_id", "v.*")
+
+
+def _with_stand_ins(df: DataFrame, dims: Dims) -> DataFrame:
+    """The rows, and a copy (``__own`` false) of each template's for its target (both from the fixed lookups)."""
     ids = dims.districts.select("district_key", "district_id")
     pairs = (
         _pairs_frame(dims).join(F.broadcast(ids.withColumnRenamed("district_key", "target_key")
                                .withColumnRenamed("district_id", "target_id")), "target_key")
         .join(F.broadcast(ids.withColumnRenamed("district_key", "template_key")
                           .withColumnRenamed("district_id", "template_id")), "template_key")
-        .select("target_id", "template_id")
-    )
-    copies = (
-        rows.join(F.broadcast(pairs), rows.district_id == pairs.template_id)
-        .drop("district_id", "template_id")
-        .withColumnRenamed("target_id", "district_id")
-        .join(rows.select("district_id"), "district_id", "left_anti")
+        .groupBy("template_id").agg(F.collect_set("target_id").alias("target_ids"))
     )
-    return rows.unionByName(copies)
+    own = F.array(F.struct(F.col("district_id"), F.lit(True).alias("__own")))
+    copies = F.transform(F.coalesce("target_ids", F.array().cast("array<int>")),
+                         lambda t: F.struct(t.alias("district_id"), F.lit(False).alias("__own")))
+    joined = df.join(F.broadcast(pairs), F.col("district_id") == F.col("template_id"), "left")
+    return joined.select(F.inline(F.concat(own, copies)), "__seq", "v")
 
 
 def _pairs_frame(dims: Dims) -> DataFrame:

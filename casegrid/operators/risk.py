@@ -1,7 +1,7 @@
 """Risk bands.
 
-Plan shape: cleaned cases -> join population (one row per district, so
-broadcast by hint) -> incidence -> grouped baselines per
+Plan shape: cleaned cases -> join population (broadcast by AQE where its
+measured size allows it) -> incidence -> grouped baselines per
 (year, disease, district) -> join the baselines back -> banding ``CASE``.
 The baselines use a grouped aggregate (partial + final) rather than a window,
 so a hot group is combined map-side instead of buffered in one task; the
@@ -46,9 +46,8 @@ def risk_base(cases: DataFrame, population: DataFrame) -> DataFrame:
     pop = population.select(
         F.col("district").alias("__region"), F.col("population").alias("population")
     )
-    # population has one row per district (dimension-sized): broadcast it so the
-    # case rows are not shuffled for this lookup
-    joined = cases.join(F.broadcast(pop), F.col("district") == F.col("__region"), "left").filter(
+    # no hint: the population is broadcast where its measured size allows it
+    joined = cases.join(pop, F.col("district") == F.col("__region"), "left").filter(
         F.col("population").isNotNull()
     )
     return joined.select(
@@ -65,7 +64,7 @@ def risk_base(cases: DataFrame, population: DataFrame) -> DataFrame:
 def unmatched_areas(cases: DataFrame, population: DataFrame) -> DataFrame:
     """Districts present in the cases but without a population value."""
     valid = population.filter(F.col("population").isNotNull()).select("district")
-    return cases.select("district").distinct().join(F.broadcast(valid), "district", "left_anti")
+    return cases.select("district").distinct().join(valid, "district", "left_anti")
 
 
 def district_thresholds(base: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
@@ -121,6 +120,17 @@ def risk_tables(cases: DataFrame, population: DataFrame) -> tuple[DataFrame, Dat
     return thresholds, weekly_risk(base, thresholds)
 
 
+def skip_report(weekly: DataFrame, dims: Dims) -> DataFrame:
+    """One row: weekly rows, and those that can't be stored because a name is unknown."""
+    df = lookup_district(weekly, "area_reported", dims, district_id="district_id")
+    df = lookup_disease(df, "disease", dims, disease_id="disease_id")
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("district_id").isNull()).alias("skipped_unknown_district"),
+        F.count_if(F.col("disease_id").isNull()).alias("skipped_unknown_disease"),
+    )
+
+
 def risk_storage_rows(weekly: DataFrame, dims: Dims, year: int | None = None) -> DataFrame:
     """Rows for the keyed ``risk_levels`` table (C7: P5, P6, P17, W3, P18).
 

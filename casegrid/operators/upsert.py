@@ -13,7 +13,11 @@ side, so no key can be skewed there.
 
 ``upsert_table`` persists the result. Unpartitioned tables are written to a
 staging folder next to the target (same shared file system) and swapped in,
-because a Spark job cannot overwrite the folder it is reading. Tables
+because a Spark job cannot overwrite the folder it is reading. The swap is two
+renames; a run stopped between them leaves the old rows under ``{path}.old``,
+which ``read_table`` reads and the next upsert puts back. One writer at a time
+per table. A partitioned upsert replaces its partitions one by one at job
+commit; run it again after a stop, the result is the same. Tables
 partitioned by part of the key (e.g. ``year``) only read and rewrite the
 partitions a batch touches, with dynamic partition overwrite.
 """
@@ -146,6 +150,28 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def _backup(path: str) -> str:
+    return f"{path.rstrip('/')}.old"
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The stored table, also when a run was stopped in the middle of a swap."""
+    if not table_exists(spark, path) and table_exists(spark, _backup(path)):
+        path = _backup(path)
+    return spark.read.format(fmt).load(path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a swap that a stopped run left behind (for the table's writer only)."""
+    fs, target = _hadoop_fs(spark, path)
+    _, backup = _hadoop_fs(spark, _backup(path))
+    if fs.exists(backup):
+        if fs.exists(target):
+            fs.delete(backup, True)
+        elif not fs.rename(backup, target):
+            raise OSError(f"could not put {path} back")
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -176,6 +202,7 @@ def upsert_table(
     partition_cols = list(partition_cols or [])
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the key")
+    recover(spark, path)
     exists = table_exists(spark, path)
     if exists:
         target = spark.read.format(fmt).load(path)
@@ -228,7 +255,7 @@ def _swap(spark: SparkSession, path: str, new_path: str) -> None:
     _, fresh = _hadoop_fs(spark, new_path)
     jvm = spark.sparkContext._jvm
     if fs.exists(target):
-        backup = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{_uuid.uuid4().hex}")
+        backup = jvm.org.apache.hadoop.fs.Path(_backup(path))
         if not fs.rename(target, backup):
             raise OSError(f"could not move {path} aside")
         if not fs.rename(fresh, target):

@@ -8,8 +8,14 @@ half-even at 1e-6 in both engines so the value hashes compare.
 
 from __future__ import annotations
 
-from casegrid.dims import MONTH_ORDER
-from casegrid.sources import testdata as td
+# The projection's fixed values, stated here again so that the SQL doesn't depend on the code it checks.
+MONTH_ORDER = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+MISSPELT_NATION = 23
+REMAPPED_NATION = 24
+TEMPLATE_NATION = 16
+BLANK_WEEKS = 13
+PER_CUSTOMER = 1000
+DISEASE_IDS = {"F": 1, "O": 2, "P": 3}
 
 
 def canon(expr: str) -> str:
@@ -41,7 +47,7 @@ def classify(inc: str, lo: str, up: str, ob: str) -> str:
     )
 
 
-_DISEASES_SQL = ", ".join(f"('{k.lower()}', {v}, '{k}')" for k, v in td.DISEASE_IDS.items())
+_DISEASES_SQL = ", ".join(f"('{k.lower()}', {v}, '{k}')" for k, v in DISEASE_IDS.items())
 
 BASE = f"""
 per_order AS (
@@ -67,7 +73,7 @@ raw_cases AS (
               WHEN 1 THEN lower(area)
               WHEN 2 THEN ' ' || replace(area, '_', '-') || ' '
               ELSE replace(lower(area), '_', '  ') END AS area_reported,
-         CASE WHEN week_number % {td.BLANK_WEEK_MODULUS} = 0 THEN ''
+         CASE WHEN week_number % {BLANK_WEEKS} = 0 THEN ''
               ELSE CAST(CAST(cases AS BIGINT) AS VARCHAR) END AS cases_reported
   FROM cells
 ),
@@ -102,7 +108,7 @@ clean_zero AS (
   FROM parsed_cases WHERE week_number IS NOT NULL
 ),
 raw_population AS (
-  SELECT lower(n.n_name) AS Region, format('{{:,}}', c.cnt * {td.POPULATION_PER_CUSTOMER}) AS Population
+  SELECT lower(n.n_name) AS Region, format('{{:,}}', c.cnt * {PER_CUSTOMER}) AS Population
   FROM (SELECT c_nationkey, count(*) AS cnt FROM customer GROUP BY 1) c
   JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
@@ -242,10 +248,10 @@ rain_cells AS (
   GROUP BY 1, 2, 3
 ),
 rain_wide AS (
-  SELECT CASE WHEN nationkey = {td.MISSPELT_RAINFALL_NATION} THEN replace(area, '_', '-') ELSE area END AS District,
+  SELECT CASE WHEN nationkey = {MISSPELT_NATION} THEN replace(area, '_', '-') ELSE area END AS District,
          {_MONTH_COLS},
          format('{{:,}}', sum(mm)) AS Annual
-  FROM rain_cells WHERE nationkey <> {td.REMAPPED_NATION}
+  FROM rain_cells WHERE nationkey <> {REMAPPED_NATION}
   GROUP BY 1
 ),
 rain_melt AS (
@@ -265,7 +271,7 @@ pop_dedup AS (
 ),
 frame_pre AS (
   SELECT c.year, c.disease, c.district, c.week_number, c.month, c.cases_reported, p.population,
-         CASE WHEN {canon('c.district')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+         CASE WHEN {canon('c.district')} = 'nation{REMAPPED_NATION}' THEN 'NATION_{TEMPLATE_NATION}'
               ELSE coalesce(d.district_display, c.district) END AS rainfall_area
   FROM clean_drop c
   LEFT JOIN pop_dedup p ON c.district = p.district
@@ -409,7 +415,7 @@ SQL["rain_heatmap"] = with_analytics(
 )
 
 _AREA_KEY = (
-    f"CASE WHEN {canon('w.District')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}' "
+    f"CASE WHEN {canon('w.District')} = 'nation{REMAPPED_NATION}' THEN 'NATION_{TEMPLATE_NATION}' "
     f"ELSE coalesce(d.district_display, w.District) END"
 )
 SQL["rain_features_annual"] = with_analytics(f"""
@@ -437,10 +443,10 @@ rain_store AS (
 rain_store_full AS (
   SELECT * FROM rain_store
   UNION ALL
-  SELECT {td.REMAPPED_NATION + 1} AS district_id, {", ".join(_LONG)}, annual_rainfall
+  SELECT {REMAPPED_NATION + 1} AS district_id, {", ".join(_LONG)}, annual_rainfall
   FROM rain_store
-  WHERE district_id = {td.REMAP_TEMPLATE_NATION + 1}
-    AND NOT EXISTS (SELECT 1 FROM rain_store WHERE district_id = {td.REMAPPED_NATION + 1})
+  WHERE district_id = {TEMPLATE_NATION + 1}
+    AND NOT EXISTS (SELECT 1 FROM rain_store WHERE district_id = {REMAPPED_NATION + 1})
 )
 """
 SQL["rain_backfill"] = with_analytics("SELECT * FROM rain_store_full", _RAIN_ROWS)
@@ -486,7 +492,7 @@ FROM corr_pd GROUP BY disease
 SQL["canonical_names"] = with_base(f"""
 SELECT r.area_reported, k.district_key, d.district_id,
        coalesce(d.district_display, r.area_reported) AS display_name,
-       CASE WHEN k.district_key = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+       CASE WHEN k.district_key = 'nation{REMAPPED_NATION}' THEN 'NATION_{TEMPLATE_NATION}'
             ELSE coalesce(d.district_display, r.area_reported) END AS rainfall_area
 FROM (SELECT DISTINCT area_reported FROM raw_cases) r
 CROSS JOIN LATERAL (SELECT {canon('r.area_reported')} AS district_key) k
@@ -575,7 +581,7 @@ FULL OUTER JOIN (
 
 _OLDER_POP = f"""
 older_raw AS (
-  SELECT lower(n.n_name) AS Region, format('{{:,}}', c.cnt * {td.POPULATION_PER_CUSTOMER}) AS Population
+  SELECT lower(n.n_name) AS Region, format('{{:,}}', c.cnt * {PER_CUSTOMER}) AS Population
   FROM (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE c_acctbal > 0 GROUP BY 1) c
   JOIN nation n ON c.c_nationkey = n.n_nationkey
 )
@@ -610,10 +616,10 @@ old_rain_cells AS (
   GROUP BY 1, 2, 3
 ),
 old_rain_wide AS (
-  SELECT CASE WHEN nationkey = {td.MISSPELT_RAINFALL_NATION} THEN replace(area, '_', '-') ELSE area END AS District,
+  SELECT CASE WHEN nationkey = {MISSPELT_NATION} THEN replace(area, '_', '-') ELSE area END AS District,
          {_MONTH_COLS},
          format('{{:,}}', sum(mm)) AS Annual
-  FROM old_rain_cells WHERE nationkey <> {td.REMAPPED_NATION}
+  FROM old_rain_cells WHERE nationkey <> {REMAPPED_NATION}
   GROUP BY 1
 ),
 old_store AS (
@@ -625,10 +631,10 @@ old_store AS (
 old_store_full AS (
   SELECT * FROM old_store
   UNION ALL
-  SELECT {td.REMAPPED_NATION + 1} AS district_id, {", ".join(_LONG)}, annual_rainfall
+  SELECT {REMAPPED_NATION + 1} AS district_id, {", ".join(_LONG)}, annual_rainfall
   FROM old_store
-  WHERE district_id = {td.REMAP_TEMPLATE_NATION + 1}
-    AND NOT EXISTS (SELECT 1 FROM old_store WHERE district_id = {td.REMAPPED_NATION + 1})
+  WHERE district_id = {TEMPLATE_NATION + 1}
+    AND NOT EXISTS (SELECT 1 FROM old_store WHERE district_id = {REMAPPED_NATION + 1})
 )
 """
 
@@ -668,7 +674,7 @@ FULL OUTER JOIN (SELECT * FROM risk_rows WHERE year >= 1998) b
 
 _FEATURES = f"""
 rain_feat_long AS (
-  SELECT CASE WHEN {canon('m.District')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+  SELECT CASE WHEN {canon('m.District')} = 'nation{REMAPPED_NATION}' THEN 'NATION_{TEMPLATE_NATION}'
               ELSE coalesce(d.district_display, m.District) END AS area_key,
          CAST(list_position({_MONTH_LIST}, m.month_name) AS INTEGER) AS month,
          TRY_CAST(trim(replace(m.v, ',', '')) AS DOUBLE) AS mm
@@ -689,7 +695,7 @@ train_rows AS (
   FROM clean_drop c
   LEFT JOIN districts d ON {canon('c.district')} = d.district_key
   LEFT JOIN feat_annual a ON a.area_key =
-       CASE WHEN {canon('c.district')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+       CASE WHEN {canon('c.district')} = 'nation{REMAPPED_NATION}' THEN 'NATION_{TEMPLATE_NATION}'
             ELSE coalesce(d.district_display, c.district) END
   LEFT JOIN feat_national n ON c.month = n.month
   WHERE a.avg_annual_rainfall_mm IS NOT NULL AND n.national_avg_rainfall_mm IS NOT NULL
@@ -715,7 +721,7 @@ CROSS JOIN (SELECT DISTINCT disease FROM train_rows) s
 CROSS JOIN (SELECT CAST(range AS INTEGER) AS week_number FROM range(1, 53)) w
 LEFT JOIN districts d ON {canon('a.area_reported')} = d.district_key
 LEFT JOIN feat_annual fa ON fa.area_key =
-     CASE WHEN {canon('a.area_reported')} = 'nation{td.REMAPPED_NATION}' THEN 'NATION_{td.REMAP_TEMPLATE_NATION}'
+     CASE WHEN {canon('a.area_reported')} = 'nation{REMAPPED_NATION}' THEN 'NATION_{TEMPLATE_NATION}'
           ELSE coalesce(d.district_display, a.area_reported) END
 LEFT JOIN feat_national fn ON fn.month = {week_to_month('w.week_number')}
 """,

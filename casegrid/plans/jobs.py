@@ -9,15 +9,17 @@ through the staged upsert; nothing is collected to the driver except counts.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.dims import DISEASES, Dims, surveillance_dims
 from casegrid.operators import cleaning, correlation, forecast, frame, loads, patterns, rainfall, risk, upsert
 from casegrid.session import materialize
 from casegrid.sources import files, sinks
+from casegrid.sources.checks import pick_existing_column
 
 
 @dataclass
@@ -27,12 +29,13 @@ class Inputs:
     rainfall: DataFrame       # District, Jan..Dec [, Annual]
     dims: Dims
     years: tuple[int, ...] | None = None  # the loaded years, when known (explicit pivot values)
+    missing_files: tuple[str, ...] = ()  # expected case files that are not there
 
 
 def surveillance_inputs(
     spark: SparkSession,
     datasets_dir: str,
-    years: tuple[int, ...] = (2023, 2024, 2025),
+    years: tuple[int, ...] | None = None,
     diseases: tuple[str, ...] | None = None,
     population_file: str = "*population*.csv",
     rainfall_file: str = "*rainfall*.csv",
@@ -40,39 +43,62 @@ def surveillance_inputs(
 ) -> Inputs:
     """Inputs from the surveillance CSV layout: one ``{year}_{Disease}.csv`` per
     year and disease, plus a population and a wide rainfall file (file names
-    or glob patterns relative to ``datasets_dir``)."""
+    or glob patterns relative to ``datasets_dir``). Without ``years``, every
+    year that the folder has a case file of. ``missing`` is the policy of
+    ``files.resolve_paths`` for a (year, disease) without a file."""
     diseases = diseases or tuple(d for _, d in DISEASES.values())
-    paths = files.case_file_paths(datasets_dir, years, diseases)
     base = datasets_dir.rstrip("/")
+    years = tuple(years) if years else files.case_years(spark, base, diseases)
+    paths = files.case_file_paths(base, years, diseases)
+    absent = {p for p in paths if not files.path_exists(spark, p)}
     cases = files.read_case_files(spark, paths, missing=missing)
     # years with at least one case file (the pivot columns of the annual table)
-    present = tuple(y for y in years if any(files.path_exists(spark, p)
-                                            for p in files.case_file_paths(base, [y], diseases)))
+    present = tuple(y for y in years if not absent.issuperset(files.case_file_paths(base, [y], diseases)))
     return Inputs(
         cases=cases,
         population=files.read_population(spark, f"{base}/{population_file}"),
         rainfall=files.read_rainfall_wide(spark, f"{base}/{rainfall_file}"),
         dims=surveillance_dims(spark),
         years=present,
+        missing_files=tuple(sorted(absent)),
     )
 
 
 # ---------------------------------------------------------------- risk
 
 
-def risk_job(inputs: Inputs, out_dir: str | None = None, year: int | None = None) -> dict[str, DataFrame]:
-    """Thresholds and weekly bands; optionally restricted to one year and written as CSV."""
+def _check_case_files(inputs: Inputs, year: int | None, missing: str) -> None:
+    """Apply a missing-file policy to the case files of ``year`` (of all years without it) (S3)."""
+    absent = [p for p in inputs.missing_files if year is None or f"/{year}_" in p]
+    if absent and missing == "error":
+        raise FileNotFoundError(f"Missing case files: {absent}")
+    if absent and missing == "skip":
+        warnings.warn(f"Skipping missing files: {absent}", stacklevel=3)
+
+
+def risk_job(inputs: Inputs, out_dir: str | None = None, year: int | None = None,
+             missing: str = "error") -> dict[str, DataFrame]:
+    """Thresholds and weekly bands; optionally restricted to one year and written as CSV.
+
+    A missing case file of the year is an error, as baselines of half the data would mislead
+    (``missing`` = ``skip`` warns, ``silent`` goes on). The joined weekly rows are written
+    once (``materialize``); every output reads them.
+    """
+    _check_case_files(inputs, year, missing)
     cases = cleaning.clean_cases(inputs.cases, inputs.dims, "zero")
     if year is not None:
         cases = cases.filter(F.col("year") == year)
     population = cleaning.clean_population(inputs.population, inputs.dims, keep_invalid=True)
-    thresholds, weekly = risk.risk_tables(cases, population)
+    base = materialize(risk.risk_base(cases, population), "risk-base")
+    thresholds = risk.district_thresholds(base)
+    weekly = risk.weekly_risk(base, thresholds)
     out = {
         "thresholds": thresholds,
         "weekly_risk": weekly,
         "unmatched_areas": risk.unmatched_areas(cases, population),
         "invalid_population": cleaning.null_rows(population, "population"),
         "risk_rows": risk.risk_storage_rows(weekly, inputs.dims),
+        "risk_skips": risk.skip_report(weekly, inputs.dims),
     }
     if out_dir:
         suffix = f"_{year}" if year is not None else ""
@@ -96,6 +122,33 @@ def analytics_frame(inputs: Inputs) -> DataFrame:
     )
 
 
+#: Row order of the written analytics tables (O1, O2); ties by name.
+ANALYTICS_ORDER: dict[str, list[tuple[str, bool]]] = {
+    "disease_hotspots": [("disease", True), ("year", True), ("total_cases", False), ("district", True)],
+    "disease_seasonality": [("disease", True), ("year", True), ("week_number", True)],
+    "disease_monthly": [("disease", True), ("month", True)],
+    "disease_yoy": [("disease", True), ("year", True)],
+    "rainfall_monthly_by_district": [("district", True), ("month", True)],
+    "rainfall_district_totals": [("rank", True)],
+    "rainfall_peak_months": [("district", True)],
+    "rainfall_heatmap": [("district", True)],
+    "rain_disease_correlation": [("disease", True), ("correlation", False), ("district", True)],
+    "rain_disease_lagged_correlation": [("disease", True), ("district", True), ("lag_months", True)],
+    "correlation_distribution": [("disease", True)],
+    "lagged_correlation_summary": [("disease", True), ("lag_months", True)],
+    "summary_annual_cases": [("disease", True)],
+    "summary_top_hotspots": [("disease", True), ("total_cases", False), ("district", True)],
+    "summary_rainfall_extremes": [("label", False), ("rank", True)],
+    "summary_correlation": [("disease", True)],
+    "summary_lagged_correlation": [("disease", True)],
+}
+
+
+def analytics_order(name: str) -> list[Column]:
+    """Sort columns of an analytics table."""
+    return [F.asc(c) if ascending else F.desc(c) for c, ascending in ANALYTICS_ORDER[name]]
+
+
 def analytics_job(spark: SparkSession, inputs: Inputs, out_dir: str | None = None) -> dict[str, DataFrame]:
     """All analytics tables from one reliable checkpoint of the long frame (C17).
 
@@ -136,7 +189,7 @@ def analytics_job(spark: SparkSession, inputs: Inputs, out_dir: str | None = Non
     }
     if out_dir:
         for name, table in tables.items():
-            sinks.write_table(table, sinks.table_path(out_dir, name))
+            sinks.write_table(table, sinks.table_path(out_dir, name), order_by=analytics_order(name))
     tables["frame"] = df
     return tables
 
@@ -179,9 +232,12 @@ def predict_job(spark: SparkSession, inputs: Inputs, model, year: int = 2026,
 
 
 def load_historical(spark: SparkSession, inputs: Inputs, table: str) -> dict:
-    """Upsert weekly counts into ``historicaldata`` (C8); last row of a key wins."""
-    rows = loads.keyed_case_rows(inputs.cases, inputs.dims)
-    report = {r["disease"]: r.asDict() for r in loads.load_report(rows).collect()}
+    """Upsert weekly counts into ``historicaldata`` (C8); last row of a key wins.
+
+    The keyed rows are written once; the report, the touched years and the merge read them.
+    """
+    rows = materialize(loads.keyed_case_rows(inputs.cases, inputs.dims), "historical-rows")
+    report = loads.load_counts(rows)
     batch = loads.accepted(rows).drop("disease")
     seq = "_row_seq" if "_row_seq" in batch.columns else None
     counts = upsert.upsert_table(spark, table, batch, loads.HISTORICAL_KEYS, ["case_count"],
@@ -190,11 +246,16 @@ def load_historical(spark: SparkSession, inputs: Inputs, table: str) -> dict:
 
 
 def load_population(spark: SparkSession, inputs: Inputs, table: str) -> dict:
-    """Upsert ``perdistrictpopulation``."""
-    batch = loads.population_rows(inputs.population, inputs.dims)
+    """Upsert ``perdistrictpopulation`` (C9); the key is whichever district column a stored table has."""
+    key = "district_id"
+    if upsert.table_exists(spark, table):
+        key = pick_existing_column(upsert.read_table(spark, table), ["districts_id", "district_id"])
+        if key is None:
+            raise ValueError("the population table has neither a districts_id nor a district_id column")
+    batch = loads.population_rows(inputs.population, inputs.dims).withColumnRenamed("district_id", key)
     report = loads.population_report(inputs.population, inputs.dims).first().asDict()
     seq = "_row_seq" if "_row_seq" in batch.columns else None
-    return {"upsert": upsert.upsert_table(spark, table, batch, ["district_id"], ["population"], id_col="id", seq_col=seq),
+    return {"upsert": upsert.upsert_table(spark, table, batch, [key], ["population"], id_col="id", seq_col=seq),
             "report": report}
 
 
@@ -206,21 +267,23 @@ def load_rainfall(spark: SparkSession, inputs: Inputs, table: str) -> dict:
     value_cols = [c for c in rows.columns if c != "district_id"]
     counts = upsert.upsert_table(spark, table, rows, ["district_id"], value_cols)
     missing = [r["district"] for r in rainfall.missing_districts(
-        spark.read.parquet(table), inputs.dims).collect()]
+        upsert.read_table(spark, table), inputs.dims).collect()]
     return {"upsert": counts, "missing_districts": sorted(missing), "skipped_unknown_district": int(skipped)}
 
 
-def load_risk(spark: SparkSession, risk_rows: DataFrame, table: str) -> dict:
-    """Upsert ``risk_levels``."""
-    return {"upsert": upsert.upsert_table(spark, table, risk_rows, loads.RISK_KEYS, list(loads.RISK_SET),
-                                          id_col="risk_id", touch_col="calculated_at",
-                                          partition_cols=["year"])}
+def load_risk(spark: SparkSession, risk_out: dict[str, DataFrame], table: str) -> dict:
+    """Upsert the ``risk_rows`` of a ``risk_job`` into ``risk_levels`` (C7), and count the rows skipped."""
+    counts = upsert.upsert_table(spark, table, risk_out["risk_rows"], loads.RISK_KEYS, list(loads.RISK_SET),
+                                 id_col="risk_id", touch_col="calculated_at", partition_cols=["year"])
+    return {"upsert": counts, "report": risk_out["risk_skips"].first().asDict()}
 
 
-def load_predictions(spark: SparkSession, predictions: DataFrame, inputs: Inputs, table: str) -> dict:
-    """Upsert predictions into ``reports`` (C11)."""
-    rows = loads.report_rows(predictions, inputs.dims)
-    report = {r["disease"]: r.asDict() for r in loads.load_report(rows).collect()}
+def load_predictions(spark: SparkSession, predictions: DataFrame | str, dims: Dims, table: str) -> dict:
+    """Upsert predictions, a frame or the path of a CSV, into ``reports`` (C11); last row of a key wins."""
+    if isinstance(predictions, str):
+        predictions = files.read_predictions(spark, predictions)
+    rows = materialize(loads.report_rows(predictions, dims), "report-rows")
+    report = loads.load_counts(rows)
     batch = loads.accepted(rows).drop("disease")
     seq = "_row_seq" if "_row_seq" in batch.columns else None
     counts = upsert.upsert_table(spark, table, batch, loads.HISTORICAL_KEYS, ["case_count"], id_col="report_id",
@@ -232,8 +295,10 @@ def forecast_job(spark: SparkSession, inputs: Inputs, model_dir: str, out_dir: s
                  year: int = 2026, num_trees: int = 300, max_depth: int | None = None) -> dict:
     """Train, score and store."""
     trained = train_job(inputs, model_dir, num_trees, max_depth)
-    predictions = predict_job(spark, inputs, trained["model"], year, out_dir)
-    stored = load_predictions(spark, predictions, inputs, sinks.table_path(tables_dir, "reports"))
+    predict_job(spark, inputs, trained["model"], year, out_dir)
+    # stored from the written table, so the grid is scored once
+    stored = load_predictions(spark, sinks.predictions_path(out_dir, year), inputs.dims,
+                              sinks.table_path(tables_dir, "reports"))
     return {"train": {k: v for k, v in trained.items() if k != "model"}, "store": stored}
 
 
@@ -249,7 +314,7 @@ def full_pipeline(spark: SparkSession, inputs: Inputs, tables_dir: str, out_dir:
         "historical": load_historical(spark, inputs, t("historicaldata")),
     }
     risk_out = risk_job(inputs, out_dir, risk_year)
-    result["risk"] = load_risk(spark, risk_out["risk_rows"], t("risk_levels"))
+    result["risk"] = load_risk(spark, risk_out, t("risk_levels"))
     result["forecast"] = forecast_job(spark, inputs, model_dir, out_dir, tables_dir, prediction_year,
                                       num_trees, max_depth)
     return result

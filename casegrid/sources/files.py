@@ -10,6 +10,7 @@ so a bad cell never fails the read.
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -66,6 +67,16 @@ def case_file_paths(directory: str, years: Iterable[int], diseases: Iterable[str
     return [f"{directory.rstrip('/')}/{y}_{d}.csv" for y in years for d in diseases]
 
 
+def case_years(spark: SparkSession, directory: str, diseases: Iterable[str]) -> tuple[int, ...]:
+    """Years for which the folder holds a ``{year}_{Disease}.csv`` of one of the diseases."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/*_*.csv")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [re.match(FILE_NAME_PATTERN, status.getPath().getName()) for status in fs.globStatus(pattern) or []]
+    wanted = set(diseases)
+    return tuple(sorted({int(m[1]) for m in names if m and m[2] in wanted}))
+
+
 def read_case_files(
     spark: SparkSession,
     paths: Sequence[str] | str,
@@ -157,14 +168,14 @@ def read_rainfall_wide(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Prediction table (S9): CSV (all strings) or Parquet."""
-    if fmt == "csv":
-        df = spark.read.option("header", True).csv(path)
-    else:
-        df = spark.read.format(fmt).load(path)
-    return require_columns(
-        df, ["year", "week_number", "area_reported", "disease", "predicted_cases"], "predictions"
-    )
+    """Prediction table (S9): CSV (all strings) or Parquet, with ``_row_seq``."""
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"Missing file: {path}")
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    df = reader.format(fmt).load(path)
+    wanted = ["year", "week_number", "area_reported", "disease", "predicted_cases"]
+    require_columns(df, wanted, "predictions")
+    return df.select(*wanted, _row_seq())
 
 
 def preview(df: DataFrame, n: int = 5) -> tuple[int, DataFrame]:

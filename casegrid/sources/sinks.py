@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def write_table(
     df: DataFrame,
     path: str,
     fmt: str = "csv",
-    order_by: Sequence[str] | None = None,
+    order_by: Sequence[str | Column] | None = None,
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
 ) -> str:

@@ -11,6 +11,9 @@ stream's checkpoint location, which must be on the shared file system.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +22,8 @@ from casegrid.dims import Dims, surveillance_dims
 from casegrid.operators import loads, upsert
 from casegrid.sources.files import CASE_COLUMNS, FILE_NAME_PATTERN, _string_schema
 
+LOG = logging.getLogger("casegrid.ingest")
+
 
 def case_file_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming raw case rows (as ``read_case_files``, with ``_time``, ``_file``
@@ -55,6 +60,7 @@ def start_historical_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    on_batch: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingest; each micro-batch is upserted into ``table`` (Parquet).
 
@@ -62,6 +68,9 @@ def start_historical_ingest(
     pass ``processing_time`` (e.g. ``"1 minute"``) for a continuously running job.
     ``max_files_per_trigger`` bounds each micro-batch, so a large backlog is
     worked through in steps of known size (``availableNow`` honours it too).
+    ``on_batch(epoch, counts)`` gets each micro-batch's rows, those of files with
+    an unknown name, those with an unknown district or disease, and what the
+    upsert did; without it they are logged.
     """
     dims = dims or surveillance_dims(spark)
 
@@ -69,11 +78,25 @@ def start_historical_ingest(
         # the newest file is the last correction, whatever its name
         seq = F.struct(F.col("_time"), F.col("_file"), F.col("_block"), F.monotonically_increasing_id())
         batch = batch.withColumn("_row_seq", seq).drop("_time", "_file", "_block")
-        rows = loads.accepted(loads.keyed_case_rows(batch, dims)).drop("disease")
-        upsert.upsert_table(
-            batch.sparkSession, table, rows, loads.HISTORICAL_KEYS, ["case_count"],
-            id_col="data_id", seq_col="_row_seq", partition_cols=["year"],
-        )
+        # read three times (counts, touched years, merge): kept while the batch is worked on
+        batch = batch.persist()
+        try:
+            read = batch.agg(F.count(F.lit(1)).alias("rows"),
+                             F.count_if(F.col("year").isNull()).alias("rows_of_misnamed_files")).first()
+            rows = loads.keyed_case_rows(batch, dims)
+            skipped = loads.load_report(rows, by=None).select("skipped_unknown_district", "skipped_unknown_disease").first()
+            done = upsert.upsert_table(
+                batch.sparkSession, table, loads.accepted(rows).drop("disease"), loads.HISTORICAL_KEYS, ["case_count"],
+                id_col="data_id", seq_col="_row_seq", partition_cols=["year"],
+            )
+        finally:
+            batch.unpersist()
+        counts = {**read.asDict(), **skipped.asDict(), **done}
+        if on_batch:
+            on_batch(epoch_id, counts)
+        else:
+            lost = any(v for k, v in counts.items() if k.startswith(("skipped", "rows_of")))
+            LOG.log(logging.WARNING if lost else logging.INFO, "micro-batch %s: %s", epoch_id, counts)
 
     writer = (
         case_file_stream(spark, directory, max_files_per_trigger)

@@ -258,3 +258,123 @@ def test_streaming_fails_on_another_header(spark, workdir):
     write(f"{drop}/2023_Dysentery.csv", "area_reported,cases_reported,week_number\nColombo,5,1\n")
     with pytest.raises(Exception, match="(?i)header|column"):
         start_historical_ingest(spark, drop, f"{workdir}/t", f"{workdir}/c").awaitTermination()
+
+
+def test_years_are_listed_from_the_folder(spark, workdir):
+    root = make_datasets(f"{workdir}/data", years=(2023, 2026))
+    write(f"{root}/x_2030_Dysentery.csv", "week_number,area_reported,cases_reported\n1,Colombo,1\n")
+    inputs = jobs.surveillance_inputs(spark, root)
+    assert inputs.years == (2023, 2026) and inputs.missing_files == ()
+    assert {r["year"] for r in inputs.cases.select("year").distinct().collect()} == {2023, 2026}
+
+
+def test_risk_fails_on_a_missing_file_of_its_year(spark, workdir):
+    root = make_datasets(f"{workdir}/data", years=(2023,))
+    write(f"{root}/2024_Dysentery.csv", "week_number,area_reported,cases_reported\n1,Colombo,1\n")
+    inputs = jobs.surveillance_inputs(spark, root, missing="silent")
+    assert [p.rsplit("/", 1)[1] for p in inputs.missing_files] == ["2024_Meningitis.csv", "2024_Tuberculosis.csv"]
+    with pytest.raises(FileNotFoundError, match="2024_Meningitis"):
+        jobs.risk_job(inputs, year=2024)
+    assert jobs.risk_job(inputs, year=2023)["thresholds"].count() == 15
+    with pytest.warns(UserWarning, match="2024_Meningitis"):
+        jobs.risk_job(inputs, missing="skip")
+
+
+def test_analytics_tables_are_written_in_order(spark, workdir):
+    root = make_datasets(f"{workdir}/data")
+    inputs = jobs.surveillance_inputs(spark, root)
+    jobs.analytics_job(spark, inputs, f"{workdir}/out")
+
+    def rows(name):
+        parts = sorted(f for f in os.listdir(f"{workdir}/out/{name}") if f.endswith(".csv"))
+        out = []
+        for part in parts:
+            with open(f"{workdir}/out/{name}/{part}") as f:
+                head, *lines = f.read().splitlines()
+            out += [dict(zip(head.split(","), line.split(","))) for line in lines]
+        return out
+
+    hot = [(r["disease"], int(r["year"]), -float(r["total_cases"]), r["district"]) for r in rows("disease_hotspots")]
+    assert len(hot) == 30 and hot == sorted(hot)
+    corr = [(r["disease"], -float(r["correlation"]), r["district"]) for r in rows("rain_disease_correlation")]
+    assert corr and corr == sorted(corr)
+    ranks = [int(r["rank"]) for r in rows("rainfall_district_totals")]
+    assert ranks == [1, 2, 3, 4]
+
+
+def test_prediction_csv_load(spark, workdir):
+    """A prediction file on its own: the last row of a key wins, unknown names are counted, a second run updates."""
+    from casegrid.__main__ import main
+
+    write(f"{workdir}/p.csv", "area_reported,disease,year,week_number,predicted_cases\nColombo,Dysentery,2026,1,4\n"
+          "Atlantis,Dysentery,2026,1,9\nGalle,Flu,2026,1,2\nColombo,Dysentery,2026,1,6\nGalle,Dysentery,2026,2,\n")
+    args = ["load-predictions", "--predictions", f"{workdir}/p.csv", "--tables", f"{workdir}/t"]
+    first = main(args)
+    assert first["upsert"] == {"inserted": 1, "updated": 0, "unchanged": 0}
+    assert first["report"]["Dysentery"]["skipped_unknown_district"] == 1
+    assert first["report"]["unknown"]["skipped_unknown_disease"] == 1
+    assert main(args)["upsert"] == {"inserted": 0, "updated": 1, "unchanged": 0}
+    assert [r["case_count"] for r in spark.read.parquet(f"{workdir}/t/reports").collect()] == [6]
+    with pytest.raises(FileNotFoundError):
+        main(["load-predictions", "--predictions", f"{workdir}/none.csv", "--tables", f"{workdir}/t"])
+
+
+def test_stored_population_keeps_its_district_column(spark, workdir):
+    root = make_datasets(f"{workdir}/data", years=(2023,))
+    inputs = jobs.surveillance_inputs(spark, root)
+    stored = spark.createDataFrame([(1, 5, 7)], "districts_id int, population int, id int")
+    stored.write.parquet(f"{workdir}/t")
+    assert jobs.load_population(spark, inputs, f"{workdir}/t")["upsert"] == {"inserted": 4, "updated": 1, "unchanged": 0}
+    rows = spark.read.parquet(f"{workdir}/t").collect()
+    assert sorted(r["id"] for r in rows) == [7, 8, 9, 10, 11]
+    assert {r["districts_id"]: r["population"] for r in rows}[1] == 2375415
+    spark.createDataFrame([(1, 5)], "area int, population int").write.parquet(f"{workdir}/bad")
+    with pytest.raises(ValueError, match="districts_id"):
+        jobs.load_population(spark, inputs, f"{workdir}/bad")
+
+
+def test_stop_inside_the_swap_leaves_a_table(spark, workdir):
+    from casegrid.operators import upsert
+
+    table = f"{workdir}/t"
+    first = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    upsert.upsert_table(spark, table, first, ["k"], ["v"])
+    os.rename(table, f"{table}.old")  # as if stopped between the two renames
+    assert sorted(map(tuple, upsert.read_table(spark, table).collect())) == [("a", 1), ("b", 2)]
+    counts = upsert.upsert_table(spark, table, spark.createDataFrame([("b", 3)], "k string, v int"), ["k"], ["v"])
+    assert counts == {"inserted": 0, "updated": 1, "unchanged": 1}
+    assert sorted(map(tuple, upsert.read_table(spark, table).collect())) == [("a", 1), ("b", 3)]
+    assert not os.path.exists(f"{table}.old")
+
+
+def test_risk_load_counts_unknown_names(spark, workdir):
+    root = make_datasets(f"{workdir}/data", years=(2023,))
+    write(f"{root}/district_population.csv", 'Region,Population\nColombo,"2,375,415"\nElsewhere,"1,000"\n')
+    with open(f"{root}/2023_Dysentery.csv", "a") as f:
+        f.write("1,Elsewhere,3\n")
+    out = jobs.risk_job(jobs.surveillance_inputs(spark, root))
+    stored = jobs.load_risk(spark, out, f"{workdir}/t")
+    assert stored["report"] == {"rows": 61, "skipped_unknown_district": 1, "skipped_unknown_disease": 0}
+    assert stored["upsert"]["inserted"] == 60
+
+
+def test_streaming_reports_what_it_skips(spark, workdir):
+    drop = f"{workdir}/incoming"
+    os.makedirs(drop)
+    head = "week_number,area_reported,cases_reported\n"
+    write(f"{drop}/2023_Dysentery.csv", f"{head}1,Colombo,5\n2,Atlantis,6\n")
+    write(f"{drop}/notes.csv", f"{head}1,Colombo,7\n")
+    seen = []
+    start_historical_ingest(spark, drop, f"{workdir}/t", f"{workdir}/c",
+                            on_batch=lambda epoch, counts: seen.append(counts)).awaitTermination()
+    assert seen == [{"rows": 3, "rows_of_misnamed_files": 1, "skipped_unknown_district": 1,
+                     "skipped_unknown_disease": 0, "inserted": 1, "updated": 0, "unchanged": 0}]
+
+
+def test_rainfall_load_names_missing_columns(spark, workdir):
+    from casegrid.operators import rainfall
+
+    root = make_datasets(f"{workdir}/data", years=(2023,))
+    inputs = jobs.surveillance_inputs(spark, root)
+    with pytest.raises(ValueError, match="Annual"):
+        rainfall.storage_rows(inputs.rainfall.drop("Annual"), inputs.dims)

@@ -116,3 +116,22 @@ def test_hash_holdout_is_stable_and_complete(spark):
     key = lambda f: sorted((r["week_number"], r["area_reported"], r["disease"]) for r in f.collect())
     assert key(te1) == key(te2) and key(tr1) == key(tr2)
     assert tr1.count() + te1.count() == len(rows) and 0 < te1.count() < len(rows)
+
+
+def test_upsert_integer_ids_over_several_partitions(spark):
+    target = spark.createDataFrame([("a", 1, 7)], "k string, v int, id int")
+    batch = spark.range(500).select(F.concat(F.lit("n"), "id").alias("k"), F.col("id").cast("int").alias("v")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ids = sorted(r["id"] for r in upsert.merge_upsert(target, batch, ["k"], ["v"], id_col="id").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ids == list(range(7, 508))
+
+
+def test_rainfall_last_row_by_sequence_and_stand_in(spark, dims):
+    months = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+    cols = "District string, " + ", ".join(f"{m} string" for m in months) + ", Annual string, seq int"
+    rows = [("Ampara",) + ("5",) * 12 + ("60", 2), ("Ampara",) + ("1",) * 12 + ("12", 1)]
+    got = {r["district_id"]: r["january"] for r in rainfall.storage_rows(spark.createDataFrame(rows, cols), dims, "seq").collect()}
+    assert got == {16: 5, 26: 5}

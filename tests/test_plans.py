@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casegrid.operators import upsert
-from casegrid.plans.catalog import QUERIES
+from casegrid.plans.edge_cases import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = (
