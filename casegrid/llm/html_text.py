@@ -4,21 +4,22 @@ Each page's markup becomes a tree of elements. The trees of one host are merged:
 is the same node on all pages on which it has the same place (the tags and marks, that is
 classes, ids and roles, from the body down to it). Over the pages that have a node,
 
-* its presentation importance is the entropy of the child sequences that it has there, over
-  the logarithm of the number of pages: 0 if it always looks the same;
+* its presentation importance is the entropy of the child sequences of the elements there, over
+  the logarithm of the number of elements: 0 if they always look the same;
 * its content importance is 1 minus the mean, over its different texts, of log(pages with
   that text) over log(pages): 0 if every page has the same text there, 1 if each has its own;
 * its importance is (1 - g^l) * presentation + g^l * content, with l child sequences, g = 0.9.
 
-A branch goes if no node in it is important. What a place is for is told by the markup as
+A text at an unimportant node goes if the same text is there on ``MIN_PAGES`` pages or more;
+a rarer text stays, however large the host is and however its node looks. What a place is for is told by the markup as
 well: menus, page headers, footers, sidebars, forms, scripts and so on have elements, roles
 and usual names of their own. So
 
 1. elements of those kinds, and marked as such, are no text, whatever their importance;
 2. if a page has an ``article`` or ``main`` element, only what is in it counts; plain elements
    in it (without marks) always stay, so articles that occur twice on a host keep their text;
-   marked branches in it go if they are unimportant;
-3. on other pages any branch goes if it is unimportant; if that would leave nothing (a host
+   marked branches in it go if they are unimportant and repeated;
+3. on other pages any branch goes if it is unimportant and repeated; if that would leave nothing (a host
    of copies), all of it stays.
 
 Only nodes of at least ``MIN_PAGES`` pages can be unimportant; a host's pages with the same
@@ -26,7 +27,8 @@ text count as one page, so copies don't make a text unimportant.
 
 Pages are parsed once, into blocks and node features, stored in the shared folder. The
 features are added up by node with partial sums, so a host with a third of all pages is no
-large group. Unimportant nodes meet the few pages that have doubtful branches by a join.
+large group. Repeated texts of unimportant nodes meet the few pages that have doubtful
+branches by a join.
 
 Edge cases: null and empty html give an empty text; a null url is a host of its own;
 repeated rows have a row each; broken markup never fails: what isn't a tag is text, what
@@ -39,6 +41,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -237,13 +240,14 @@ def _end(tag: str, stack: list[_Open], flush, close) -> None:
             return
 
 
-_PARSED = "row long, page_id long, url string, content long, blocks array<struct<node:bigint,text:string>>, features array<struct<node:bigint,style:bigint,texts:array<bigint>>>"
+_PARSED = "row long, page_id long, url string, content long, blocks array<struct<key:bigint,text:string>>, features array<struct<node:bigint,styles:array<struct<style:bigint,n:int>>,texts:array<bigint>>>"
 
 
 def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Blocks and node features of each page; a block's node is null if the block stays in any case."""
-    block_type = pa.list_(pa.struct([("node", pa.int64()), ("text", pa.string())]))
-    feature_type = pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64()), ("texts", pa.list_(pa.int64()))]))
+    """Blocks and node features of each page; a block's key, of its text at its node, is null if the block stays in any case."""
+    block_type = pa.list_(pa.struct([("key", pa.int64()), ("text", pa.string())]))
+    style_type = pa.list_(pa.struct([("style", pa.int64()), ("n", pa.int32())]))
+    feature_type = pa.list_(pa.struct([("node", pa.int64()), ("styles", style_type), ("texts", pa.list_(pa.int64()))]))
 
     def one(url: str | None, page: str | None):
         blocks, features = parse(page or "")
@@ -266,18 +270,19 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                 sure.append(t)
                 continue
             if sure:
-                out.append({"node": None, "text": " ".join(sure)})
+                out.append({"key": None, "text": " ".join(sure)})
                 sure = []
-            out.append({"node": key(path), "text": t})
+            out.append({"key": _key(f"{key(path)} {t}"), "text": t})
         if sure:
-            out.append({"node": None, "text": " ".join(sure)})
-        merged: dict[int, tuple[list[str], set[int]]] = {}
+            out.append({"key": None, "text": " ".join(sure)})
+        merged: dict[int, tuple[Counter[str], set[int]]] = {}
         for path, children, texts in features:
-            styles, found = merged.setdefault(key(path), ([], set()))
-            styles.append(children)
-            found.update(map(_key, texts))
+            node = key(path)
+            styles, found = merged.setdefault(node, (Counter(), set()))
+            styles[children] += 1
+            found.update(_key(f"{node} {t}") for t in texts)
         content = _key("\n".join([site, *(b["text"] for b in out)]))
-        return content, out, [{"node": k, "style": _key("|".join(s)), "texts": sorted(f)} for k, (s, f) in merged.items()]
+        return content, out, [{"node": k, "styles": [{"style": _key(x), "n": n} for x, n in s.items()], "texts": sorted(f)} for k, (s, f) in merged.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -297,36 +302,43 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     return stored(p.mapInArrow(tidy(run), _PARSED), "pages")
 
 
-def importance(pages: DataFrame) -> DataFrame:
-    """node, pages, importance over all hosts' style trees, from parsed pages; a host's pages of one and the same text count once."""
+def repeated(pages: DataFrame) -> DataFrame:
+    """key, pages, importance: texts at least ``MIN_PAGES`` pages have at a node, from parsed pages, with the node's pages and importance.
+
+    All hosts' style trees are made at once; a host's pages of one and the same text count once.
+    """
     once = pages.groupBy("content").agg(F.min_by("features", "row").alias("features"))
     f = once.select(F.explode("features").alias("f")).select("f.*")
-    styles = f.select("node", F.lit(True).alias("style"), F.col("style").alias("feature"))
-    texts = f.select("node", F.lit(False).alias("style"), F.explode("texts").alias("feature"))
-    counts = styles.unionByName(texts).groupBy("node", "style", "feature").agg(F.count(F.lit(1)).alias("n"))
-    n, s = F.col("n").cast("double"), F.col("style")
+    kinds = F.concat(
+        F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("feature"), F.lit(1).alias("n"))),
+        F.transform("styles", lambda x: F.struct(F.lit(1).alias("kind"), x["style"].alias("feature"), x["n"].alias("n"))),
+        F.transform("texts", lambda x: F.struct(F.lit(2).alias("kind"), x.alias("feature"), F.lit(1).alias("n"))))
+    # kind is no grouping column: a filter on it would go below the count, and its two uses would count twice
+    counts = f.select("node", F.explode(kinds).alias("x")).select("node", "x.*").groupBy("node", "feature").agg(F.max("kind").alias("kind"), F.sum("n").alias("n"))
+    n, page, style, text = F.col("n").cast("double"), F.col("kind") == 0, F.col("kind") == 1, F.col("kind") == 2
     node = counts.groupBy("node").agg(
-        F.sum(F.when(s, n)).alias("pages"), F.sum(F.when(s, n * F.log(n))).alias("nlogn"), F.count(F.when(s, 1)).alias("looks"),
-        F.avg(F.when(~s, F.log(n))).alias("shared"))
-    log_m = F.log("pages")
-    presentation = (log_m - F.col("nlogn") / F.col("pages")) / log_m
-    content = 1 - F.col("shared") / log_m
+        F.sum(F.when(page, n)).alias("pages"), F.sum(F.when(style, n)).alias("elements"), F.sum(F.when(style, n * F.log(n))).alias("nlogn"),
+        F.count(F.when(style, 1)).alias("looks"), F.avg(F.when(text, F.log(n))).alias("shared")).where(F.col("pages") >= MIN_PAGES)
+    log_m = F.log("elements")
+    presentation = (log_m - F.col("nlogn") / F.col("elements")) / log_m
+    content = 1 - F.col("shared") / F.log("pages")
     damped = F.pow(F.lit(DAMPING), F.col("looks"))
     value = (1 - damped) * presentation + damped * F.coalesce(content, F.lit(0.0))
-    return node.select("node", "pages", F.when(F.col("pages") > 1, value).otherwise(F.lit(1.0)).alias("importance"))
+    texts = counts.where((F.col("n") >= MIN_PAGES) & (F.col("kind") == 2)).select("node", F.col("feature").alias("key"))
+    return texts.join(node.select("node", "pages", value.alias("importance")), "node").select("key", "pages", "importance")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of each page."""
     p = parsed(pages, id_col, url_col, html_col)
-    doubtful = F.filter(F.transform("blocks", lambda b: b["node"]), lambda k: k.isNotNull())
-    asked = p.select("row", F.explode(F.array_distinct(doubtful)).alias("node"))
-    low = importance(p).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < THRESHOLD)).select("node")
-    gone = asked.join(low, "node").groupBy("row").agg(F.collect_set("node").alias("gone"))  # nodes of one page
+    doubtful = F.filter(F.transform("blocks", lambda b: b["key"]), lambda k: k.isNotNull())
+    asked = p.select("row", F.explode(F.array_distinct(doubtful)).alias("key"))
+    low = repeated(p).where(F.col("importance") < THRESHOLD).select("key")
+    gone = asked.join(low, "key").groupBy("row").agg(F.collect_set("key").alias("gone"))  # texts of one page
     # only pages with doubtful branches are shuffled
     sure = p.where(F.size(doubtful) == 0).select("page_id", "url", F.col("blocks").alias("kept"))
     j = p.where(F.size(doubtful) > 0).select("row", "page_id", "url", "blocks").join(gone, "row", "left")
-    left = F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: b["node"].isNull() | ~F.array_contains("gone", F.coalesce(b["node"], F.lit(0)))))
+    left = F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: b["key"].isNull() | ~F.array_contains("gone", F.coalesce(b["key"], F.lit(0)))))
     j = j.select("page_id", "url", F.when(F.size(left) > 0, left).otherwise(F.col("blocks")).alias("kept")).unionByName(sure)
     text = F.array_join(F.transform("kept", lambda b: b["text"]), " ")
     return j.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

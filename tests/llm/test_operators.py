@@ -103,6 +103,18 @@ def test_html_style_tree(spark):
     assert html_text.main_text(d.limit(0)).count() == 0
 
 
+def test_html_texts_do_not_depend_on_the_host_size(spark):
+    """Pages with 1 to 15 paragraphs of their own: all stay, and the line on every page goes, on hosts of 30, 1,000 and 20,000 pages."""
+    sizes = (30, 1000, 20_000)
+    story = lambda n: [f"story {n} part {k}" for k in range(1 + n * 7 % 15)]
+    # texts beside the paragraphs make the holder look different from page to page, too
+    mixed = lambda n: "".join(f"<p>{t}</p>" if (n >> k) % 2 else f"{t}<hr>" for k, t in enumerate(story(n)))
+    rows = [(h * 10**6 + i, f"http://h{h}.example/{i}", f"<body><div class=a>Welcome here</div><div class=b><h1>t {i}</h1>{mixed(i)}</div></body>") for h in sizes for i in range(h)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(d).collect()}
+    assert got == {h * 10**6 + i: " ".join([f"t {i}", *story(i)]) for h in sizes for i in range(h)}
+
+
 # 3
 
 
