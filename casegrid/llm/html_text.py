@@ -15,10 +15,14 @@ a rarer text stays, however large the host is and however its node looks. What a
 well: menus, page headers, footers, sidebars, forms, scripts and so on have elements, roles
 and usual names of their own. So
 
-1. elements of those kinds, and marked as such, are no text, whatever their importance;
+1. elements of those kinds, and marked as such, are no text, whatever their importance; the
+   page itself, ``article`` and ``main`` are never told by a name, and lift a form around them;
 2. if a page has an ``article`` or ``main`` element, only what is in it counts; plain elements
    in it (without marks) always stay, so articles that occur twice on a host keep their text;
-   marked branches in it go if they are unimportant and repeated;
+   marked branches in it go if they are unimportant and repeated. Names (classes and ids) only
+   nominate there, as articles have a "related-work" or a "discussion" of their own: a branch
+   with such a name goes where its text is repeated, even if its node is important. Readers'
+   comments are not repeated; they go if a comment's name stands within a comment's name;
 3. on other pages any branch goes if it is unimportant and repeated; if that would leave nothing (a host
    of copies), all of it stays.
 
@@ -101,13 +105,17 @@ def _key(text: str) -> int:
 class _Open:
     """An open element."""
 
-    __slots__ = ("tag", "path", "marked", "gone", "comment", "main", "children", "texts", "block")
+    __slots__ = ("tag", "path", "marked", "gone", "named", "comment", "main", "children", "texts", "block")
 
-    def __init__(self, tag, path, marked, gone, comment, main, block):
-        self.tag, self.path, self.marked, self.gone, self.comment, self.main, self.block = tag, path, marked, gone, comment, main, block
+    def __init__(self, tag, path, marked, gone, named, comment, main, block):
+        self.tag, self.path, self.marked, self.gone, self.named, self.comment, self.main, self.block = tag, path, marked, gone, named, comment, main, block
         self.children: list[str] = []
         self.texts: list[str] = []
 
+    def judged(self) -> tuple[int, bool, int]:
+        """What its text is told by; texts that differ in it are blocks of their own."""
+        return self.gone, self.named, id(self.comment)
+
 
 def host(url: str | None) -> str:
     m = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
@@ -124,22 +132,40 @@ def _opened(tag: str, attributes: str, parent: _Open, depth: int) -> _Open:
             names |= frozenset(_NAME.findall(_CAMEL.sub(" ", value).lower()))
             mark += f"[{kind.lower()}={_DIGITS.sub('0', value)}]"
     main = parent.main or tag in ("article", "main") or role in ("main", "article")
-    comment = parent.comment or bool(names & COMMENT_NAMES)
     own = tag in NO_TEXT or role in NO_TEXT_ROLES or bool(attributes and _HIDDEN.search(attributes))
-    if tag not in ("html", "body", "article", "main"):
-        own = own or bool(names & NO_TEXT_NAMES) or (not parent.main and (tag == "header" or bool(names & PAGE_TOP_NAMES)))
-    # a wrapper's name doesn't speak for the article in it; an element's kind does
-    hard = parent.gone == 2 or tag in NO_TEXT
+    named, comment = parent.named, parent.comment
+    whole = tag in ("html", "body", "article", "main") or role in ("main", "article")
+    if names & COMMENT_NAMES:
+        if comment is not None:
+            comment[0] = True
+        elif not whole:
+            comment = [not parent.main]
+    if "main" in (tag, role) and not parent.main:
+        comment = None  # comments have no main part
+    if not whole:
+        if parent.main:
+            named = named or bool(names & NO_TEXT_NAMES)
+        else:
+            own = own or bool(names & (NO_TEXT_NAMES | PAGE_TOP_NAMES)) or tag == "header"
+    # a wrapper's name, or a form around the page, doesn't speak for the article in it; another element's kind does
+    hard = parent.gone == 2 or tag in NO_TEXT and tag != "form"
     gone = 2 if hard else 1 if own or (parent.gone and not (main and not parent.main)) else 0
-    return _Open(tag, f"{parent.path}>{tag}{mark}" if depth < DEPTH else parent.path, parent.main and (parent.marked or bool(mark)), gone, comment, main, tag in BLOCK)
+    path = f"{parent.path}>{tag}{mark}" if depth < DEPTH else parent.path
+    return _Open(tag, path, parent.main and (parent.marked or bool(mark)), gone, named, comment, main, tag in BLOCK)
 
 
 def parse(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, str, list[str]]]]:
-    """Blocks in order: (text, path, in an article, only plain elements below it or marked); features: (path, children, texts).
+    """As ``scan``, by the page alone: without the blocks that a name nominates."""
+    blocks, features = scan(page)
+    return [b[:4] for b in blocks if not b[4]], features
+
+
+def scan(page: str) -> tuple[list[tuple[str, str, bool, bool, bool]], list[tuple[str, str, list[str]]]]:
+    """Blocks in order: (text, path, in an article, only plain elements below it or marked, nominated by a name); features: (path, children, texts).
 
     Blocks that are no text by their kind are not among the blocks; their nodes are among the features.
     """
-    root = _Open("", "", False, 0, False, False, True)
+    root = _Open("", "", False, 0, False, None, False, True)
     stack, blocks, features, text = [root], [], [], []
 
     def flush() -> None:
@@ -151,12 +177,12 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str,
         holder.children.append("#")
         holder.texts.append(words)
         top = stack[-1]
-        if not (top.gone or top.comment):
-            blocks.append((words, holder.path, top.main, top.marked))
+        if not top.gone:
+            blocks.append((words, holder.path, top.main, top.marked, top.named, top.comment))
 
     def close() -> None:
         e = stack[-1]
-        if (e.gone, e.comment) != (stack[-2].gone, stack[-2].comment):
+        if e.judged() != stack[-2].judged():
             flush()
         stack.pop()
         if e.block:
@@ -192,7 +218,7 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str,
                     _implied(tag, stack, close)
                     next(e for e in reversed(stack) if e.block).children.append(tag)
                 e = _opened(tag, attributes, stack[-1], len(stack))
-                if not e.block and (e.gone, e.comment) != (stack[-1].gone, stack[-1].comment):
+                if not e.block and e.judged() != stack[-1].judged():
                     flush()  # an inline branch that is no text is a block of its own
                 stack.append(e)
         m = _TOKEN.search(page, at)
@@ -202,7 +228,8 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str,
     flush()
     while len(stack) > 1:
         close()
-    return blocks, features
+    # a comment container in an article is known as one by what comes in it
+    return [(*b[:4], b[4] or b[5] is not None) for b in blocks if not (b[5] and b[5][0])], features
 
 
 def _implied(tag: str, stack: list[_Open], close) -> None:
@@ -240,22 +267,22 @@ def _end(tag: str, stack: list[_Open], flush, close) -> None:
             return
 
 
-_PARSED = "row long, page_id long, url string, content long, blocks array<struct<key:bigint,text:string>>, features array<struct<node:bigint,styles:array<struct<style:bigint,n:int>>,texts:array<bigint>>>"
+_PARSED = "row long, page_id long, url string, content long, blocks array<struct<key:bigint,named:boolean,text:string>>, features array<struct<node:bigint,styles:array<struct<style:bigint,n:int>>,texts:array<bigint>>>"
 
 
 def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Blocks and node features of each page; a block's key, of its text at its node, is null if the block stays in any case."""
-    block_type = pa.list_(pa.struct([("key", pa.int64()), ("text", pa.string())]))
+    block_type = pa.list_(pa.struct([("key", pa.int64()), ("named", pa.bool_()), ("text", pa.string())]))
     style_type = pa.list_(pa.struct([("style", pa.int64()), ("n", pa.int32())]))
     feature_type = pa.list_(pa.struct([("node", pa.int64()), ("styles", style_type), ("texts", pa.list_(pa.int64()))]))
 
     def one(url: str | None, page: str | None):
-        blocks, features = parse(page or "")
+        blocks, features = scan(page or "")
         site = host(url)
-        if any(in_main for _, _, in_main, _ in blocks):
-            kept = [(t, path if marked else None) for t, path, in_main, marked in blocks if in_main]
+        if any(in_main for _, _, in_main, _, _ in blocks):
+            kept = [(t, path if marked else None, named) for t, path, in_main, marked, named in blocks if in_main]
         else:
-            kept = [(t, path) for t, path, _, _ in blocks]
+            kept = [(t, path, named) for t, path, _, _, named in blocks]
         out: list[dict] = []
         keys: dict[str, int] = {}
 
@@ -265,16 +292,16 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
             return keys[path]
 
         sure: list[str] = []
-        for t, path in kept:
+        for t, path, named in kept:
             if path is None:
                 sure.append(t)
                 continue
             if sure:
-                out.append({"key": None, "text": " ".join(sure)})
+                out.append({"key": None, "named": False, "text": " ".join(sure)})
                 sure = []
-            out.append({"key": _key(f"{key(path)} {t}"), "text": t})
+            out.append({"key": _key(f"{key(path)} {t}"), "named": named, "text": t})
         if sure:
-            out.append({"key": None, "text": " ".join(sure)})
+            out.append({"key": None, "named": False, "text": " ".join(sure)})
         merged: dict[int, tuple[Counter[str], set[int]]] = {}
         for path, children, texts in features:
             node = key(path)
@@ -331,14 +358,16 @@ def repeated(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of each page."""
     p = parsed(pages, id_col, url_col, html_col)
-    doubtful = F.filter(F.transform("blocks", lambda b: b["key"]), lambda k: k.isNotNull())
-    asked = p.select("row", F.explode(F.array_distinct(doubtful)).alias("key"))
-    low = repeated(p).where(F.col("importance") < THRESHOLD).select("key")
-    gone = asked.join(low, "key").groupBy("row").agg(F.collect_set("key").alias("gone"))  # texts of one page
+    doubtful = F.transform(F.filter("blocks", lambda b: b["key"].isNotNull()), lambda b: F.struct(b["key"].alias("key"), b["named"].alias("named")))
+    asked = p.select("row", F.explode(F.array_distinct(doubtful)).alias("x")).select("row", "x.*")
+    gone = (  # texts of one page
+        asked.join(repeated(p), "key").where(F.col("named") | (F.col("importance") < THRESHOLD))
+        .groupBy("row").agg(F.collect_set(F.struct("key", "named")).alias("gone"))
+    )
     # only pages with doubtful branches are shuffled
     sure = p.where(F.size(doubtful) == 0).select("page_id", "url", F.col("blocks").alias("kept"))
     j = p.where(F.size(doubtful) > 0).select("row", "page_id", "url", "blocks").join(gone, "row", "left")
-    left = F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: b["key"].isNull() | ~F.array_contains("gone", F.coalesce(b["key"], F.lit(0)))))
+    left = F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: b["key"].isNull() | ~F.exists("gone", lambda g: (g["key"] == b["key"]) & (g["named"] == b["named"]))))
     j = j.select("page_id", "url", F.when(F.size(left) > 0, left).otherwise(F.col("blocks")).alias("kept")).unionByName(sure)
     text = F.array_join(F.transform("kept", lambda b: b["text"]), " ")
     return j.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -115,6 +115,29 @@ def test_html_texts_do_not_depend_on_the_host_size(spark):
     assert got == {h * 10**6 + i: " ".join([f"t {i}", *story(i)]) for h in sizes for i in range(h)}
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<body class="single comments-open"><p>text</p>', "text"),
+    ('<body><article class="post has-comments"><p>text</p></article>', "text"),
+    ('<form><nav>menu</nav><article><p>text</p><form><p>mail</p></form></article></form>', "text"),
+    ('<div class="comments-on"><main><p>text</p></main></div>', "text"),
+    ('<article><section id="discussion"><h2 id="related-work">a</h2><p>b</p></section><section id="search-results"><p>c</p></section>'
+     '<div class="social-impact">d</div><p class="notice-period">e</p></article>', "a b c d e"),
+    ('<article><p>text</p><section id="comments"><h3>2 comments</h3><ol class="comment-list"><li>first</ol></section></article>', "text"),
+    ('<main><p>text</p><section id="comments"><article class="comment">reader</article></section></main>', "text"),
+    ('<main><p>text</p></main><section id="comments"><article>reader</article></section>', "text"),
+])
+def test_html_names_do_not_take_texts(spark, page, want):
+    d = spark.createDataFrame([(1, "http://a.example/", page)], "page_id long, url string, html string")
+    assert html_text.main_text(d).first()["text"] == want
+
+
+def test_html_names_nominate(spark):
+    """What a name nominates in an article goes if pages of the host repeat it, one of many repeated texts at its place, too."""
+    page = lambda i: f'<article><p>story {i}</p><section id="discussion"><p>talk {i}</p></section><p class="ad">buy {i // 4}</p><p class="x">part {i // 4}</p></article>'
+    d = spark.createDataFrame([(i, f"http://a.example/{i}", page(i)) for i in range(400)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(d).collect()} == {i: f"story {i} talk {i} part {i // 4}" for i in range(400)}
+
+
 # 3
 
 
