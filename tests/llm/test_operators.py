@@ -138,6 +138,19 @@ def test_html_names_nominate(spark):
     assert {r["page_id"]: r["text"] for r in html_text.main_text(d).collect()} == {i: f"story {i} talk {i} part {i // 4}" for i in range(400)}
 
 
+def test_html_tree_decides_without_articles(spark):
+    """Hosts of 5 to 400 pages without article elements: every text is asked for, and those that the host repeats go."""
+    sizes = {f"h{n}.example": n for n in (5, 50, 400)}
+    page = lambda h, i: (
+        f'<body><div class="aa">Welcome to {h}<ul><li>one<li>two</ul></div><div class="bb"><h1>{h} {i}</h1>'
+        + "".join(f"<p>part {k} of {h} {i}</p>" for k in range(1 + i % 9)) + f'</div><div class="cc"><p>All of {h}</p></div></body>')
+    d = spark.createDataFrame([(i, f"http://{h}/{i}", page(h, i)) for h, n in sizes.items() for i in range(n)], "page_id long, url string, html string")
+    asked = html_text.parsed(d).select(F.explode("blocks").alias("b")).where("b.key is not null").count()
+    assert asked == sum(5 + 1 + i % 9 for n in sizes.values() for i in range(n))
+    got = {(r["url"], r["text"]) for r in html_text.main_text(d).collect()}
+    assert got == {(f"http://{h}/{i}", " ".join([f"{h} {i}", *(f"part {k} of {h} {i}" for k in range(1 + i % 9))])) for h, n in sizes.items() for i in range(n)}
+
+
 # 3
 
 
