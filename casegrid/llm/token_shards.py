@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from casegrid.llm.common import new_shared_dir, tidy
 from casegrid.llm.files import opened, read_at, written
 from casegrid.llm.fingerprints import mixed
-from casegrid.llm.pretokens import BatchEncoder
+from casegrid.llm.pretokens import BatchEncoder, ragged
 
 MAGIC = b"IDSHARD1"
 #: magic, bytes of an id, records, keys, ids, levels
@@ -221,29 +221,41 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     return dealt.mapInArrow(tidy(run), "part long, path string, records long, ids long")
 
 
+def documents(shard: Shard, base: int) -> Iterator[pa.RecordBatch]:
+    """key, start, n_tokens and ids_crc32 of a shard's documents, whose ids start at ``base``.
+
+    Each distinct key's documents are read where the index says, as many as follow there with the
+    same key; only documents without a key are read in their order.
+    """
+    records = shard.records
+    named = records["null"] == 0
+    keys = np.unique(records["key"][named])
+    # where a run of equal keys ends
+    ends = np.append(np.flatnonzero((records["key"][1:] != records["key"][:-1]) | (named[1:] != named[:-1])), len(records) - 1) + 1
+    parts = []
+    for a in range(0, len(keys), 4096):
+        found = shard.locate(keys[a : a + 4096])
+        if (found < 0).any():
+            raise ValueError("a key is not in the index")
+        parts.append(ragged(np.arange(len(records)), found, ends[np.searchsorted(ends, found, side="right")] - found))
+    if sum(map(len, parts)) != named.sum():
+        raise ValueError("the index does not lead to all documents")
+    parts.append(np.flatnonzero(~named))
+    for at in (part[i : i + 4096] for part in parts for i in range(0, len(part), 4096)):
+        some = records[at]
+        crc = [zlib.crc32(shard.ids(i).astype("<u4").tobytes()) for i in at.tolist()]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(some["key"].astype(np.int64), mask=some["null"] != 0), pa.array(some["start"].astype(np.int64) + base),
+            pa.array(some["count"].astype(np.int64)), pa.array(crc, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
+
+
 def read_documents(shards: DataFrame) -> DataFrame:
     """key, start, n_tokens and ids_crc32 of each document, looked up by key in its shard; ``shards`` has path and base."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, base in (x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
             with opened(path) as f:
-                shard = Shard(f)
-                records = shard.records
-                for a in range(0, len(records), 4096):
-                    some = records[a : a + 4096]
-                    named = some["null"] == 0
-                    found = shard.locate(some["key"])
-                    if (found[named] < 0).any():
-                        raise ValueError(f"{path}: a key is not in the index")
-                    # equal keys stand together: the index gives the first, the others follow it
-                    same = np.where(named, found, np.arange(a, a + len(some)))
-                    at = np.arange(a, a + len(some))
-                    if (records["key"][same] != some["key"]).any() or (same > at).any():
-                        raise ValueError(f"{path}: the index gives another key")
-                    crc = [zlib.crc32(shard.ids(i).astype("<u4").tobytes()) for i in at.tolist()]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(some["key"].astype(np.int64), mask=~named), pa.array(some["start"].astype(np.int64) + base),
-                        pa.array(some["count"].astype(np.int64)), pa.array(crc, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
+                yield from documents(Shard(f), base)
 
     return shards.select("path", "base").mapInArrow(tidy(run), "key long, start long, n_tokens long, ids_crc32 long")
 

@@ -420,6 +420,25 @@ def test_token_shards_round_trip(spark, tmp_path):
     assert token_shards.lookup(spark, paths, 10**12) is None
 
 
+def test_token_shards_are_read_by_the_index(spark, tmp_path, monkeypatch):
+    """Each distinct key is asked for once; rows are those that the index gives, so a wrong index does not pass unseen."""
+    rows = [(k // 3, f"text {k}", "s") for k in range(300)] + [(None, "no id", "s"), (None, None, "s")]
+    made = token_shards.write_shards(documents(spark, rows), JSON, f"file://{tmp_path}/shards").collect()
+    asked, locate = [], token_shards.Shard.locate
+    monkeypatch.setattr(token_shards.Shard, "locate", lambda self, keys: asked.extend(keys.tolist()) or locate(self, keys))
+
+    def read():
+        for r in made:
+            with open(r["path"].removeprefix("file://"), "rb") as f:
+                yield from (x["key"] for b in token_shards.documents(token_shards.Shard(f), 0) for x in b.to_pylist())
+
+    assert sorted(read(), key=lambda k: (k is None, k or 0)) == [k for k, _, _ in rows]
+    assert sorted(asked) == list(range(100))
+    monkeypatch.setattr(token_shards.Shard, "locate", lambda self, keys: locate(self, keys) + 1)
+    with pytest.raises(ValueError, match="all documents"):
+        [*read()]
+
+
 # 10
 
 
