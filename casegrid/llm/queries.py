@@ -43,7 +43,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_shards.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_shards.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,11 +169,11 @@ class Shard:
 
 
 @lru_cache(maxsize=2)
-def _encoder(data: bytes) -> BatchEncoder:
+def _encoder(data: bytes, special: bool) -> BatchEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(data.decode())
-    tokenizer.encode_special_tokens = True  # the special tokens' strings are ordinary text
+    tokenizer.encode_special_tokens = not special
 
     def encode(chunks: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
@@ -182,8 +182,11 @@ def _encoder(data: bytes) -> BatchEncoder:
     return BatchEncoder(encode, 600_000)
 
 
-def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the documents' shards; a row for each: part (in key order), path, records, ids."""
+def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, key_col: str = "doc_id", text_col: str = "text", special: bool = False) -> DataFrame:
+    """Writes the documents' shards; a row for each: part (in key order), path, records, ids.
+
+    A special token's string in a text is ordinary text, or with ``special`` that token, as in the tokenizers library.
+    """
     with open(tokenizer_path, "rb") as f:
         data = f.read((64 << 20) + 1)
     if len(data) > 64 << 20:
@@ -203,7 +206,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
         batch = next(batches, None)
         if batch is None:
             return
-        encoder = _encoder(model.value)
+        encoder = _encoder(model.value, special)
         with written(folder, f"shard-{part:06d}.ids") as out:
             shard = ShardWriter(out, 2)
             while batch is not None:
@@ -271,11 +274,11 @@ def lookup(spark: SparkSession, shards: list[str], key: int) -> np.ndarray | Non
     return None
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Writes the documents' shards at once, and returns what is read back from them."""
+def round_trip(docs: DataFrame, tokenizer_path: str, special: bool = False) -> DataFrame:
+    """Writes the documents' shards at once, and returns what is read back from them; ``special`` as in ``write_shards``."""
     spark = docs.sparkSession
     listing = new_shared_dir(spark, "shard-list")
-    write_shards(docs, tokenizer_path, new_shared_dir(spark, "shards")).write.parquet(listing)
+    write_shards(docs, tokenizer_path, new_shared_dir(spark, "shards"), special=special).write.parquet(listing)
     made = spark.read.schema("part long, path string, records long, ids long").parquet(listing)
     n = max(1, made.count())
     # a row for each shard, not for each document

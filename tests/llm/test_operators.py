@@ -439,6 +439,22 @@ def test_token_shards_are_read_by_the_index(spark, tmp_path, monkeypatch):
         [*read()]
 
 
+def test_token_shards_query_is_the_unmodified_library(spark, tmp_path):
+    """The registered query against a Tokenizer as it is loaded, special tokens' strings included."""
+    from tokenizers import Tokenizer
+
+    from casegrid.llm import queries
+
+    special = ["a <|endoftext|> b", "x<|endoftext|>\n\n y", "<|endoftext|><|endoftext|>", " <|endoftext|>  z", "<|endoftext| >"]
+    documents(spark, [(i, t, "s") for i, t in enumerate([*ODD, *special])]).write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer, want, start = Tokenizer.from_file(JSON), [], 0
+    for i, t in enumerate([*ODD, *special]):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in queries.op9_token_shards(spark, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32").collect()) == want
+
+
 # 10
 
 
