@@ -2,8 +2,9 @@
 
 Random indexing: every term has a fixed, sparse, random index vector (a few +1 and -1,
 drawn from a hash of the term). A term's context vector is the sum of the index vectors of
-the terms around it, over the training texts; terms used alike get alike vectors. A
-document is its terms' normalized context vectors, pooled (mean and spread) over the whole
+the terms around it, over all texts that may train, labelled or not; terms used alike get
+alike vectors. The sums are whole numbers in a table of fixed size, added up by Spark from one
+table for each partition, so they are the same in any order. A document is its terms' normalized context vectors, pooled (mean and spread) over the whole
 text, next to the pooled index vectors themselves.
 
 Terms are bounded in number, whatever the corpus: a word's shape (letters, capitals, digits
@@ -11,7 +12,8 @@ and marks, runs shortened; also whether it repeats the word before) and its lowe
 rows. So words that training never saw have a vector too.
 
 The network (numpy): tanh layer, logistic output, trained by Adam on the labelled rows
-given, at most ``MAX_TRAINING_ROWS`` of them, chosen by a hash of the id. A further part of
+given that have a document, at most ``MAX_TRAINING_ROWS`` of them, chosen by a hash of the id.
+The driver gets their pooled vectors only, no texts. A further part of
 them, also by hash, is left out of the fit; on it the temperature is found that makes the
 probabilities fit the labels best (lowest log loss). Scores are sigmoid(logit / temperature).
 
@@ -35,11 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import WORD, release_memory
+from casegrid.llm.common import WORD, release_memory, tidy
 
 #: Labelled rows that a model is fitted on at most.
 MAX_TRAINING_ROWS = 4000
 
+#: Words whose contexts are added up at once (one text at least).
+COUNTED_AT_ONCE = 500_000
+
 #: Of each training text, all words count for the pooled vector; contexts are counted in windows this wide on each side.
 WINDOW = 2
 
@@ -135,28 +140,65 @@ def pooled(vectors: np.ndarray, text: str | None) -> np.ndarray:
     return np.concatenate([mean, spread, form, [np.log1p(len(shapes))]])
 
 
-def context_vectors(texts: list[str | None]) -> np.ndarray:
-    """Random indexing over texts: each row's sum of its neighbours' index vectors, to length one; then the index vectors."""
-    index = index_vectors()
-    context = np.zeros_like(index, dtype=np.float64)
-    for text in texts:
+class Contexts:
+    """Random indexing over texts: each row's sum of its neighbours' index vectors, in whole numbers."""
+
+    def __init__(self):
+        index = index_vectors().astype(np.int64)
+        self.table = np.zeros(index.size)  # exact: whole numbers far below 2^53
+        # each row's places in its index vector, and what stands there; rows with fewer places have zeros
+        self._at = np.argsort(-np.abs(index), axis=1, kind="stable")[:, :NONZERO].astype(np.int32)
+        self._value = np.take_along_axis(index, self._at, axis=1).astype(np.float64)
+        self._rows: list[np.ndarray] = []
+        self._held = 0
+
+    def add(self, text: str | None) -> None:
         for rows in term_rows(text):
-            for step in range(1, WINDOW + 1):
-                if len(rows) > step:
-                    pairs = rows[:-step].astype(np.int64) * len(index) + rows[step:]
-                    pair, n = np.unique(pairs, return_counts=True)
-                    a, b = pair // len(index), pair % len(index)
-                    np.add.at(context, a, index[b] * n[:, None])
-                    np.add.at(context, b, index[a] * n[:, None])
+            if len(rows):
+                self._rows += [rows, np.full(WINDOW, -1)]  # a window does not reach into another text
+        self._held += len(rows)
+        if self._held >= COUNTED_AT_ONCE:
+            self.flush()
+
+    def flush(self) -> None:
+        rows = np.concatenate([np.zeros(0, np.int64), *self._rows])
+        self._rows, self._held = [], 0
+        for step in range(1, WINDOW + 1):
+            a, b = rows[:-step], rows[step:]
+            both = (a >= 0) & (b >= 0)
+            a, b = a[both], b[both]
+            for row, near in ((a, b), (b, a)):
+                for k in range(NONZERO):
+                    self.table += np.bincount(row * WIDTH + self._at[near, k], self._value[near, k], len(self.table))
+
+
+def context_vectors(docs: DataFrame) -> np.ndarray:
+    """Contexts over the column text, each to length one; then the index vectors."""
+    size = 2 * SHAPES + WORDS
+    columns = [f"c{i}" for i in range(WIDTH)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Contexts()
+        for batch in batches:
+            for text in batch.column(0):
+                found.add(text.as_py())
+        found.flush()
+        _terms.clear()
+        table = found.table.astype(np.int64).reshape(size, WIDTH)
+        used = np.flatnonzero(table.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *(pa.array(table[used, i]) for i in range(WIDTH))], names=["row", *columns])
+
+    partial = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "row long, " + ", ".join(f"{c} long" for c in columns))
+    sums = partial.groupBy("row").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()  # a row for each term row at most
+    context = np.zeros((size, WIDTH))
+    context[sums.column("row").to_numpy()] = np.column_stack([sums.column(c).to_numpy() for c in columns])
     length = np.linalg.norm(context, axis=1, keepdims=True)
-    return np.hstack([np.divide(context, length, out=np.zeros_like(context), where=length > 0), index]).astype(np.float32)
+    return np.hstack([np.divide(context, length, out=np.zeros_like(context), where=length > 0), index_vectors()]).astype(np.float32)
 
 
-def fit(texts: list[str | None], labels: list[int], spare: list[bool]) -> Model:
-    """``spare`` rows only set the temperature."""
-    vectors = context_vectors(texts)
+def fit(vectors: np.ndarray, x: np.ndarray, labels: list[int], spare: list[bool]) -> Model:
+    """A model from the pooled vectors ``x`` of the labelled texts; ``spare`` rows only set the temperature."""
     y, spare_ = np.array(labels, np.float64), np.array(spare, bool)
-    x = np.array([pooled(vectors, t) for t in texts]) if texts else np.zeros((0, 3 * vectors.shape[1] + 1))
     dim = 3 * vectors.shape[1] + 1
     draw = np.random.default_rng(SEED)
     w1, b1 = draw.normal(0, dim**-0.5, (dim, HIDDEN)), np.zeros(HIDDEN)
@@ -203,28 +245,39 @@ def fit(texts: list[str | None], labels: list[int], spare: list[bool]) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: F.Column, max_rows: int = MAX_TRAINING_ROWS) -> Model:
-    """A model from the labelled documents for which ``usable`` (of doc_id) holds: at most ``max_rows``, by hash.
+    """A model from the documents for which ``usable`` (of doc_id) holds: contexts from all of them, the network from at most ``max_rows`` labelled ones, by hash.
 
     The rows that are kept are found on ids alone; texts of no others move.
     """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(usable)
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & usable)
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
+        .join(own.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
     ids = {r["doc_id"]: r["quality"] for r in chosen.collect()}
     if not ids:
-        return fit([], [], [])
+        vectors = np.hstack([np.zeros((2 * SHAPES + WORDS, WIDTH), np.float32), index_vectors()])
+        return fit(vectors, np.zeros((0, 3 * vectors.shape[1] + 1)), [], [])
     spark = docs.sparkSession
+    vectors = context_vectors(own)
+    shared = spark.sparkContext.broadcast(vectors)
+
+    @F.arrow_udf("array<double>")
+    def features(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([pooled(shared.value, t).tolist() for t in batch.to_pylist()], pa.list_(pa.float64()))
+        _terms.clear()
+        release_memory()
+
     small = spark.createDataFrame([(k, v) for k, v in ids.items()], "id long, quality int")  # at most max_rows rows
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(small), "id").select("id", "text", "quality").toLocalIterator()
-    found: dict[int, tuple[str | None, int]] = {}
-    for r in rows:  # of rows that share an id, the first text by code point
-        if r["id"] not in found or (r["text"] or "") < (found[r["id"]][0] or ""):
-            found[r["id"]] = (r["text"], r["quality"])
+    # of rows that share an id, the first text by code point
+    kept = own.join(F.broadcast(small), F.col("doc_id") == F.col("id")).groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    found = {r["id"]: r["x"] for r in kept.select("id", features("text").alias("x")).collect()}
     order = sorted(found)
-    return fit([found[i][0] for i in order], [found[i][1] for i in order], [zlib.crc32(f"spare {i}".encode()) % 5 == 0 for i in order])
+    return fit(vectors, np.array([found[i] for i in order]), [ids[i] for i in order], [zlib.crc32(f"spare {i}".encode()) % 5 == 0 for i in order])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:

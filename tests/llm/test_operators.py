@@ -389,6 +389,31 @@ def test_quality_learns_and_leaves_rows_out(spark):
     assert {r["score"] for r in quality.scored_documents(documents(spark, rows[:3]), labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_contexts_are_those_of_all_texts(spark):
+    """Contexts come from every text that may train, labelled or not; labels without a document take no place in the fit."""
+    texts = [f"alpha{i % 37} beta{i % 11} alpha{i % 37} Gamma!! delta{i}" for i in range(60)] + ["", None, "one"]
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)]).repartition(4)
+    index, want = quality.index_vectors(), np.zeros((2 * quality.SHAPES + quality.WORDS, quality.WIDTH))
+    usable = ~quality.held_out(F.col("doc_id"))
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            for rows in quality.term_rows(t):
+                for a in range(len(rows)):
+                    for b in range(max(0, a - quality.WINDOW), min(len(rows), a + quality.WINDOW + 1)):
+                        if a != b:
+                            want[rows[a]] += index[rows[b]]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    trains = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:12]
+    labels = [(i, k % 2) for k, i in enumerate(trains)]
+    ours = spark.createDataFrame(labels, "doc_id long, quality int")
+    model = quality.train(docs, ours, usable)
+    assert np.allclose(model.vectors[:, : quality.WIDTH], want, atol=1e-6)
+    # 2,000 labels of no document, and room for as many rows as have one
+    more = spark.createDataFrame(labels + [(10**6 + k, 1) for k in range(2000)], "doc_id long, quality int")
+    again = quality.train(docs, more, usable, max_rows=len(labels))
+    assert all(np.array_equal(getattr(model, k), getattr(again, k)) for k in ("vectors", "mean", "scale", "w1", "b1", "w2", "b2", "temperature"))
+
+
 # 9
 
 
