@@ -46,7 +46,7 @@ def test_quality_stage(spark, stages):
 
 
 def test_near_duplicate_stage(stages):
-    from test_operators import components
+    from test_llm_operators import components
 
     docs, new = stages[1]
     rows = [(r["doc_id"], r["text"], None) for r in docs.collect()]
