@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm import bpe, chat, fingerprints, html_text, minhash_join, mixing, permutation_index, quality, token_shards, toxicity, warc_zip
+from casegrid.llm import alignment, bpe, chat, fingerprints, html_text, minhash_join, mixing, permutation_index, quality, token_shards, toxicity, warc_zip
 from casegrid.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_shards": op9_token_shards,
     "op10_warc_zip": op10_warc_zip,
+    "op11_alignment": op11_alignment,
     "op13_toxicity": op13_toxicity,
 }
 ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE, "op7_chat": chat.ORACLE, "op10_warc_zip": warc_zip.ORACLE}
