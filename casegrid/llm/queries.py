@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm import alignment, bpe, chat, fingerprints, html_text, minhash_join, mixing, permutation_index, quality, token_shards, toxicity, warc_zip
+from casegrid.llm import alignment, bpe, chat, fingerprints, html_text, minhash_join, mixing, permutation_index, prefix_trie, quality, token_shards, toxicity, warc_zip
 from casegrid.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op9_token_shards": op9_token_shards,
     "op10_warc_zip": op10_warc_zip,
     "op11_alignment": op11_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_toxicity": op13_toxicity,
 }
-ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE, "op7_chat": chat.ORACLE, "op10_warc_zip": warc_zip.ORACLE}
+ORACLES: dict[str, str] = {"op4_mix": mixing.ORACLE, "op7_chat": chat.ORACLE, "op10_warc_zip": warc_zip.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
