@@ -29,6 +29,11 @@ def lenient_double(c: str | Column) -> Column:
     return _number(_col(c).cast("string"))
 
 
+def lenient_int(c: str | Column) -> Column:
+    """Numeric cast to int, cut towards zero; unparsable input and what no int holds become NULL."""
+    return lenient_double(c).try_cast("int")
+
+
 def parse_thousands(c: str | Column) -> Column:
     """``"2,375,415"`` -> 2375415.0; unparsable -> NULL."""
     return _number(F.replace(_col(c).cast("string"), F.lit(","), F.lit("")))
@@ -49,10 +54,10 @@ def round_half_even(c: str | Column, digits: int = 0) -> Column:
 
 
 def to_int_half_even(c: str | Column) -> Column:
-    """Round half-even and cast to int (NULL stays NULL)."""
-    return F.rint(_col(c)).cast("int")
+    """Round half-even and cast to int (NULL stays NULL, what no int holds becomes NULL)."""
+    return F.rint(_col(c)).try_cast("int")
 
 
 def clip_zero_int(c: str | Column) -> Column:
-    """Round half-even, clip below at 0, cast to int."""
-    return F.greatest(F.rint(_col(c)), F.lit(0.0)).cast("int")
+    """Round half-even, clip below at 0, cast to int (P19); what no int holds becomes NULL."""
+    return F.greatest(F.rint(_col(c)), F.lit(0.0)).try_cast("int")

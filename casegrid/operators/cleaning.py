@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from casegrid.dims import Dims, literal_map, value_maps
 from casegrid.functions.calendar import week_to_month
 from casegrid.functions.names import canonical_key, disease_key
-from casegrid.functions.numbers import lenient_double, parse_thousands
+from casegrid.functions.numbers import lenient_double, lenient_int, parse_thousands
 
 _KEY = "__district_key"
 _DKEY = "__disease_key"
@@ -117,7 +117,7 @@ def clean_cases(raw: DataFrame, dims: Dims, null_policy: str = "drop") -> DataFr
     df = raw.select(
         F.col("year").cast("string").try_cast("int").alias("year"),
         F.col("disease").alias("__disease_raw"),
-        lenient_double("week_number").cast("int").alias("week_number"),
+        lenient_int("week_number").alias("week_number"),
         F.col("area_reported").alias("__area_raw"),
         cases.alias("cases_reported"),
     ).na.drop(subset=["week_number", "cases_reported"])

@@ -7,7 +7,8 @@ scoring reuses the fitted encoding, and the model is saved natively.
 
 Encoding matches ``get_dummies(drop_first=True)``: ``StringIndexer`` with
 ``alphabetDesc`` order puts the alphabetically first level last, and
-``OneHotEncoder(dropLast=True)`` drops it.
+``OneHotEncoder(dropLast=True)`` drops it. A level that training never had has
+no column, so its encoding is that of the dropped (baseline) level (R6).
 
 The scoring grid (districts x diseases x weeks 1..52) is generated from the
 fitted indexer labels (model metadata, bounded by the category counts) with
@@ -16,6 +17,8 @@ fitted indexer labels (model metadata, bounded by the category counts) with
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -103,7 +106,7 @@ def train(
         data = materialize(data, "training-rows")
     train_df, test_df = split_holdout(data, test_size, seed, split)
     model = build_pipeline(num_trees, max_depth, seed).fit(train_df)
-    return model, error_metrics(model.transform(test_df))
+    return model, error_metrics(transform(model, test_df))
 
 
 def split_holdout(data: DataFrame, test_size: float, seed: int, split: str = "random") -> tuple[DataFrame, DataFrame]:
@@ -158,9 +161,44 @@ def prediction_grid(
     return grid.select(*NUMERIC, *CATEGORICAL)
 
 
+def feature_columns(model: PipelineModel) -> list[str]:
+    """Names of the assembled features, in their order: numbers, then ``<column>_<level>`` without the baseline level."""
+    names = list(NUMERIC)
+    for column, levels in zip(CATEGORICAL, model.stages[0].labelsArray, strict=True):
+        names += [f"{column}_{level}" for level in levels[:-1]]  # the encoder drops the last index
+    return names
+
+
+def categories_from_features(columns: Sequence[str], diseases: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Areas and diseases to score when only the feature names are known: areas that have a column, and all known diseases.
+
+    The baseline area has no column and so is not among them.
+    """
+    prefix = f"{CATEGORICAL[0]}_"
+    return sorted({c[len(prefix):] for c in columns if c.startswith(prefix)}), list(diseases)
+
+
+def align_levels(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Rows with levels that training never had (or none) set to the baseline level."""
+    for column, levels in zip(CATEGORICAL, model.stages[0].labelsArray, strict=True):
+        known = F.col(column).isin(list(levels))  # as many as training had categories
+        rows = rows.withColumn(column, F.when(known, F.col(column)).otherwise(F.lit(levels[-1])))
+    return rows
+
+
+def transform(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``model.transform`` that takes unseen levels as the baseline; the given names stay."""
+    given = [F.col(c).alias(f"{c}_given") for c in CATEGORICAL]
+    scored = model.transform(align_levels(model, rows.select("*", *given)))
+    return scored.withColumns({c: F.col(f"{c}_given") for c in CATEGORICAL}).drop(*[f"{c}_given" for c in CATEGORICAL])
+
+
 def predict(model: PipelineModel, grid: DataFrame) -> DataFrame:
-    """Score the grid; ``predicted_cases`` = rounded half-even, clipped at 0, int."""
-    scored = model.transform(grid)
+    """Score the grid; ``predicted_cases`` = rounded half-even, clipped at 0, int.
+
+    An area or disease that training never had is scored as the baseline level, under its own name.
+    """
+    scored = transform(model, grid)
     return scored.select(
         "year", "week_number", "month", "avg_annual_rainfall_mm", "national_avg_rainfall_mm",
         "area_reported", "disease", clip_zero_int("prediction").alias("predicted_cases"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from casegrid.dims import Dims
 from casegrid.functions.names import legacy_key
-from casegrid.functions.numbers import lenient_double, parse_thousands, to_int_half_even
+from casegrid.functions.numbers import lenient_double, lenient_int, parse_thousands, to_int_half_even
 from casegrid.operators.cleaning import lookup_disease, lookup_district, population_ids
 
 HISTORICAL_KEYS = ("week_number", "year", "district_id", "disease_id")
@@ -26,14 +26,14 @@ def keyed_case_rows(raw: DataFrame, dims: Dims, count_col: str = "cases_reported
     """Case-count rows with ids (C8 / C11 before rejection).
 
     ``year``, ``week_number`` and the count are parsed leniently; rows with a
-    missing one are dropped; ids are looked up (NULL when unknown); the count
-    is rounded half-even to ``case_count``. Keeps ``disease`` (display) for
+    missing one, or a count that no int holds, are dropped; ids are looked up (NULL when
+    unknown); the count is rounded half-even to ``case_count``. Keeps ``disease`` (display) for
     per-disease reporting and any ``_row_seq`` for last-row-wins.
     """
     extra = ["_row_seq"] if "_row_seq" in raw.columns else []
     df = raw.select(
-        lenient_double(F.col("year")).cast("int").alias("year"),
-        lenient_double(F.col("week_number")).cast("int").alias("week_number"),
+        lenient_int(F.col("year")).alias("year"),
+        lenient_int(F.col("week_number")).alias("week_number"),
         lenient_double(F.col(count_col)).alias("__count"),
         F.col("area_reported"),
         F.col("disease").alias("__disease_raw"),
@@ -44,7 +44,7 @@ def keyed_case_rows(raw: DataFrame, dims: Dims, count_col: str = "cases_reported
     return df.select(
         "week_number", "year", "district_id", "disease_id", "disease",
         to_int_half_even("__count").alias("case_count"), *extra,
-    )
+    ).na.drop(subset=["case_count"])
 
 
 def accepted(rows: DataFrame) -> DataFrame:

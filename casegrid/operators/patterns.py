@@ -85,3 +85,10 @@ def annual_pivot(yoy: DataFrame, years: Sequence[int] | None = None) -> DataFram
     return pivoted.select(
         "disease", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in value_cols]
     )
+
+
+def annual_grid(yoy: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """The pivot's cells as rows: every disease and year with its total, 0 where none."""
+    wide = annual_pivot(yoy, years)
+    cells = wide.unpivot("disease", [c for c in wide.columns if c != "disease"], "year", "total_cases")
+    return cells.withColumn("year", F.col("year").cast("int"))

@@ -8,7 +8,7 @@ area, never over fact rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
@@ -18,6 +18,7 @@ from casegrid.functions.calendar import month_name, month_number
 from casegrid.functions.numbers import parse_thousands, strict_int
 from casegrid.operators.cleaning import lookup_district
 from casegrid.operators.frame import unpivot_months
+from casegrid.operators.ordering import with_row_numbers
 from casegrid.sources.checks import require_columns
 
 
@@ -34,11 +35,12 @@ def monthly_by_district(rain_long: DataFrame) -> DataFrame:
 def district_totals_ranked(monthly: DataFrame) -> DataFrame:
     """Sum of months per district, ranked wettest first (A7 + W2).
 
-    Ties get distinct ranks (by name), like a positional rank after a sort.
+    Ties get distinct ranks (by name), like a positional rank after a sort; the ranks are
+    row numbers of a range sort, so no task holds all districts.
     """
     totals = monthly.groupBy("district").agg(F.sum("avg_rainfall_mm").alias("annual_rainfall_mm"))
-    w = Window.orderBy(F.desc("annual_rainfall_mm"), F.asc("district"))
-    return totals.withColumn("rank", F.row_number().over(w))
+    ranked = with_row_numbers(totals, [F.desc("annual_rainfall_mm"), F.asc("district")], "rank")
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
 def extremes(ranked: DataFrame, n: int = 5) -> DataFrame:

@@ -387,8 +387,9 @@ SELECT * FROM (
 """)
 
 SQL["annual_pivot"] = with_analytics(
-    "SELECT disease, CAST(coalesce(COLUMNS(* EXCLUDE (disease)), 0) AS BIGINT) "
-    "FROM (PIVOT (SELECT disease, year, total_cases FROM annual) ON year USING sum(total_cases) GROUP BY disease)"
+    "SELECT d.disease, y.year, CAST(coalesce(a.total_cases, 0) AS BIGINT) AS total_cases "
+    "FROM (SELECT DISTINCT disease FROM annual) d CROSS JOIN (SELECT DISTINCT year FROM annual) y "
+    "LEFT JOIN annual a ON a.disease = d.disease AND a.year = y.year"
 )
 
 SQL["rain_unpivot"] = with_analytics("SELECT * FROM rain_long")
@@ -508,7 +509,7 @@ LEFT JOIN diseases s ON lower(trim(r.disease)) = s.disease_key
 
 SQL["parse_numbers"] = with_base("""
 SELECT Region, Population,
-       TRY_CAST(trim(replace(Population, ',', '')) AS DOUBLE) AS population,
+       TRY_CAST(trim(replace(Population, ',', '')) AS DOUBLE) AS population_number,
        CAST(round_even(CAST(trim(replace(Population, ',', '')) AS DOUBLE), 0) AS INTEGER) AS population_int,
        TRY_CAST(Region AS DOUBLE) AS region_as_number
 FROM raw_population

@@ -209,7 +209,8 @@ def top_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("annual_pivot")
 def annual_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return patterns.annual_pivot(patterns.yoy_change(analytics(spark, sf_dir)))
+    """The disease x year pivot (R3), its cells as rows: the columns of the wide form depend on the data."""
+    return patterns.annual_grid(patterns.yoy_change(analytics(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- rainfall
@@ -332,7 +333,7 @@ def parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = td.raw_population(spark, sf_dir)
     return raw.select(
         "Region", "Population",
-        parse_thousands("Population").alias("population"),
+        parse_thousands("Population").alias("population_number"),
         strict_int("Population").alias("population_int"),
         lenient_double("Region").alias("region_as_number"),
     )
@@ -484,7 +485,9 @@ def prediction_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.withColumn("national_avg_rainfall_mm", r6("national_avg_rainfall_mm"))
 
 
+@shared
 def _fitted(spark: SparkSession, sf_dir: str):
+    """Training rows, forest and metrics; the queries of a session and folder use one forest."""
     data = training(spark, sf_dir)
     model, metrics = forecast.train(data, num_trees=QUERY_TREES, max_depth=QUERY_DEPTH)
     return data, model, metrics

@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casegrid.dims import MONTH_ORDER
+from casegrid.operators.ordering import with_row_numbers
 from casegrid.sources.checks import pick_existing_column, require_columns
 
 CASE_COLUMNS = ("week_number", "area_reported", "cases_reported")
 FILE_NAME_PATTERN = r"(\d{4})_([^/]+)\.csv$"
+#: The same for a folder of that name, as ``sinks.write_case_files`` writes it.
+FOLDER_NAME_PATTERN = r"/(\d{4})_([^/]+)\.csv/[^/]+$"
 
 
 def _string_schema(columns: Iterable[str]) -> T.StructType:
@@ -101,7 +104,7 @@ def read_case_files(
 
 
 def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line of each file that the paths (or patterns) name."""
+    """First line of each file that the paths (or patterns) name; of a folder, that of its first file."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     found = {}
@@ -109,10 +112,16 @@ def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
         pattern = jvm.org.apache.hadoop.fs.Path(path)
         fs = pattern.getFileSystem(conf)
         for status in fs.globStatus(pattern) or []:
-            stream = fs.open(status.getPath())
+            first = status
+            if status.isDirectory():
+                inside = sorted((x for x in fs.listStatus(status.getPath()) if x.getPath().getName().startswith("part-")), key=lambda x: x.getPath().getName())
+                if not inside:
+                    continue
+                first = inside[0]
+            stream = fs.open(first.getPath())
             try:
                 reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-                found[status.getPath().toString()] = (reader.readLine() or "").strip()
+                found[status.getPath().toString()] = (reader.readLine() or "").strip().removeprefix("\ufeff")
             finally:
                 stream.close()
     return found
@@ -126,10 +135,16 @@ def _case_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
         .csv(paths)
     )
     require_columns(raw, CASE_COLUMNS, "case file")
-    file_name = F.col("_metadata.file_name")
+    name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
+    in_folder = path.rlike(FOLDER_NAME_PATTERN)
+
+    def part(number: int) -> F.Column:
+        own = F.regexp_extract(name, FILE_NAME_PATTERN, number)
+        return F.when(in_folder, F.url_decode(F.regexp_extract(path, FOLDER_NAME_PATTERN, number))).otherwise(own)
+
     return raw.select(
-        F.regexp_extract(file_name, FILE_NAME_PATTERN, 1).try_cast("int").alias("year"),
-        F.regexp_extract(file_name, FILE_NAME_PATTERN, 2).alias("disease"),
+        part(1).try_cast("int").alias("year"),
+        part(2).alias("disease"),
         "week_number",
         "area_reported",
         "cases_reported",
@@ -178,6 +193,17 @@ def read_predictions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFr
     return df.select(*wanted, _row_seq())
 
 
-def preview(df: DataFrame, n: int = 5) -> tuple[int, DataFrame]:
-    """Dry-run preview (S11): row count and the first ``n`` rows."""
-    return df.count(), df.limit(n)
+def read_in_order(spark: SparkSession, path: str, schema: str, name: str = "row_number") -> DataFrame:
+    """A written CSV table with the number of each row in its files' order (O1, O2): by file name, then place in the file."""
+    rows = spark.read.schema(schema).option("header", True).csv(path)
+    columns = rows.columns
+    return with_row_numbers(rows.select(*columns, _row_seq()), [F.col("_row_seq")], name).select(*columns, name)
+
+
+def preview(df: DataFrame, n: int = 5, order: Sequence[str | F.Column] | None = None) -> tuple[int, DataFrame]:
+    """Dry-run preview (S11): row count and the first ``n`` rows.
+
+    The first in ``order``; without it, in the order of the files for rows that carry ``_row_seq``; any ``n`` otherwise.
+    """
+    order = order or ([F.col("_row_seq")] if "_row_seq" in df.columns else None)
+    return df.count(), (df.orderBy(*order) if order else df).limit(n)

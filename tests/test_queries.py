@@ -8,8 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from casegrid.oracle_edges import SQL
-from casegrid.plans.edge_cases import QUERIES
+from casegrid.oracle_files import SQL
+from casegrid.plans.round_trips import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
