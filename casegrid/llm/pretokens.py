@@ -33,11 +33,11 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 class BatchEncoder:
     """Whole texts -> ids, given the encoding of a list of chunks.
 
-    Up to ``keep`` short chunks, of those met twice in a slice, are kept with their ids.
+    Up to ``keep`` short chunks, of those met ``least`` times in a slice, are kept with their ids.
     """
 
-    def __init__(self, encode_chunks: Callable[[list[str]], list[bytes]], keep: int = 250_000):
-        self._encode, self._keep = encode_chunks, keep
+    def __init__(self, encode_chunks: Callable[[list[str]], list[bytes]], keep: int = 250_000, least: int = 2):
+        self._encode, self._keep, self._least = encode_chunks, keep, least
         self._known: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -72,7 +72,7 @@ class BatchEncoder:
                 which[ends[i] - 1] = k  # its one empty chunk
         ids = [*map(self._known.get, chunks)]
         new = [k for k, x in enumerate(ids) if x is None]
-        often = np.bincount(which, minlength=len(chunks)) > 1
+        often = np.bincount(which, minlength=len(chunks)) >= self._least
         for k, x in zip(new, self._encode([chunks[k] for k in new]), strict=True):
             ids[k] = x
             if often[k] and len(self._known) < self._keep and len(chunks[k]) <= 32:

@@ -179,7 +179,7 @@ def _encoder(data: bytes, special: bool) -> BatchEncoder:
         found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [array("i", e.ids).tobytes() for e in found]
 
-    return BatchEncoder(encode, 600_000)
+    return BatchEncoder(encode, 600_000, least=1)
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, key_col: str = "doc_id", text_col: str = "text", special: bool = False) -> DataFrame:
