@@ -5,7 +5,7 @@ Importing this module adds them to ``oracle_edges.SQL``.
 
 from __future__ import annotations
 
-from casegrid.oracle import _FEATURES, with_analytics, with_base
+from casegrid.oracle import _FEATURES, _KEYED, with_analytics, with_base
 from casegrid.oracle_edges import SQL
 
 __all__ = ["SQL"]
@@ -57,3 +57,38 @@ UNION ALL
 SELECT CAST(w.range AS INTEGER), a.area_reported, 'Q', TRUE
 FROM range(1, 53) w CROSS JOIN (SELECT DISTINCT area_reported FROM train_rows) a
 """, _FEATURES)
+
+SQL["forest_table"] = with_analytics("""
+SELECT CAST(w.range AS INTEGER) AS week_number, a.area_reported, s.disease, TRUE AS as_fitted, TRUE AS as_loaded
+FROM range(1, 53) w CROSS JOIN (SELECT DISTINCT area_reported FROM train_rows) a CROSS JOIN (SELECT DISTINCT disease FROM train_rows) s
+""", _FEATURES)
+
+SQL["upsert_cycle"] = with_base("""
+SELECT week_number, year, district_id, disease_id,
+       CASE WHEN year >= 1998 AND week_number <= 26 THEN case_count + 1 ELSE case_count END AS case_count,
+       CAST(NULL AS INTEGER) AS step, CAST(NULL AS BIGINT) AS inserted, CAST(NULL AS BIGINT) AS updated, CAST(NULL AS BIGINT) AS unchanged
+FROM hist WHERE year <= 1998 OR week_number <= 26
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 1, count(*) FILTER (year <= 1998), 0, 0 FROM hist
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 2, count(*) FILTER (year > 1998 AND week_number <= 26), count(*) FILTER (year = 1998 AND week_number <= 26),
+       count(*) FILTER (year = 1998 AND week_number > 26) FROM hist
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 3, 0, count(*) FILTER (year >= 1998 AND week_number <= 26), count(*) FILTER (year = 1998 AND week_number > 26) FROM hist
+""", _KEYED)
+
+_POPULATION = "SELECT d.district_id, CAST(round_even(p.population, 0) AS INTEGER) AS population FROM population p JOIN districts d ON d.district_display = p.district WHERE p.population IS NOT NULL"
+SQL["population_swap"] = with_base(f"""
+SELECT district_id, CASE WHEN district_id % 2 = 0 THEN population + 1 ELSE population END AS population,
+       CAST(NULL AS INTEGER) AS step, CAST(NULL AS BIGINT) AS inserted, CAST(NULL AS BIGINT) AS updated, CAST(NULL AS BIGINT) AS unchanged
+FROM ({_POPULATION})
+UNION ALL SELECT NULL, NULL, 1, count(*), 0, 0 FROM ({_POPULATION})
+UNION ALL SELECT NULL, NULL, 2, 0, count(*) FILTER (district_id % 2 = 0), count(*) FILTER (district_id % 2 = 1) FROM ({_POPULATION})
+""")
+
+SQL["integer_ids"] = with_base("""
+SELECT week_number, year, district_id, disease_id, row_number() OVER (ORDER BY week_number, year, district_id, disease_id) AS data_id, 'update' AS action
+FROM hist WHERE year <= 1995
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, (SELECT count(*) FROM hist WHERE year <= 1995) + row_number() OVER (), 'insert' FROM hist WHERE year > 1995
+""", _KEYED)

@@ -12,9 +12,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.operators import cleaning, forecast, loads, rainfall, risk
+from casegrid.operators import cleaning, forecast, forest_table, loads, rainfall, risk, upsert
 from casegrid.operators.ordering import with_row_numbers
-from casegrid.plans.catalog import PREDICTION_YEAR, _fitted, clean_cases, register, risk_frames
+from casegrid.plans.catalog import PREDICTION_YEAR, QUERY_DEPTH, _fitted, clean_cases, historical_rows, register, risk_frames
 from casegrid.plans.edge_cases import QUERIES
 from casegrid.session import ensure_checkpoint_dir
 from casegrid.sources import files, sinks
@@ -148,3 +148,70 @@ def unseen_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         on = [F.col(k) == F.col(f"b_{k}") for k in key if k != column]
         both.append(scored.join(same, on[0] & on[1]).select(*key, (F.col("predicted_cases") == F.col("expected")).alias("as_baseline")))
     return both[0].unionByName(both[1])
+
+
+@register("forest_table")
+def forest_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid scored by the saved forest's node table (M3) against the fitted model and the loaded one (S10): equal to the last bit."""
+    dims = td.dims(spark, sf_dir)
+    annual, national = rainfall.features(td.raw_rainfall_wide(spark, sf_dir), dims)
+    _, model, _ = _fitted(spark, sf_dir)
+    path = forecast.save_model(model, new_folder(spark, "model"))
+    areas, diseases = forecast.labels(model)
+    grid = forecast.prediction_grid(spark, areas, diseases, PREDICTION_YEAR, annual, national, dims)
+    given = forecast.transform(model, grid).withColumnRenamed("prediction", "fitted")
+    loaded = forecast.transform(forecast.load_model(path), given.select(*grid.columns, "fitted")).withColumnRenamed("prediction", "loaded")
+    scored = forest_table.score_by_nodes(loaded, forest_table.forest_nodes(spark, path), QUERY_DEPTH)
+    return scored.select("week_number", "area_reported", "disease", (F.col("prediction") == F.col("fitted")).alias("as_fitted"),
+                         (F.col("prediction") == F.col("loaded")).alias("as_loaded"))
+
+
+# ---------------------------------------------------------------- keyed tables on disk
+
+
+def _counts(spark: SparkSession, steps: list[dict]) -> DataFrame:
+    """What each write observed, a row for each."""
+    return spark.createDataFrame([(i + 1, s["inserted"], s["updated"], s["unchanged"]) for i, s in enumerate(steps)],
+                                 "step int, inserted long, updated long, unchanged long")
+
+
+@register("upsert_cycle")
+def upsert_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored, partitioned table (S8): created, revised, the same revision again. Its rows, and what each write counted.
+
+    The revision covers the first half of the years from 1998, so later weeks of 1998 stay and years before it are not read.
+    """
+    hist = historical_rows(spark, sf_dir).drop("disease")
+    revision = hist.where("year >= 1998 AND week_number <= 26").withColumn("case_count", F.col("case_count") + 1)
+    path = new_folder(spark, "historical")
+    steps = [
+        upsert.upsert_table(spark, path, batch, loads.HISTORICAL_KEYS, ["case_count"], id_col="data_id", partition_cols=["year"])
+        for batch in (hist.where("year <= 1998"), revision, revision)
+    ]
+    rows = upsert.read_table(spark, path)
+    ids = rows.agg(F.count_distinct("data_id").alias("n"), F.count("*").alias("rows")).first()
+    if ids["n"] != ids["rows"]:
+        raise ValueError("an id stands twice")
+    return rows.select(*loads.HISTORICAL_KEYS, "case_count").unionByName(_counts(spark, steps), allowMissingColumns=True)
+
+
+@register("population_swap")
+def population_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table without partitions (S8, C9): written beside and swapped in, then again with half of the districts changed."""
+    rows = loads.population_rows(td.raw_population(spark, sf_dir), td.dims(spark, sf_dir)).select("district_id", "population")
+    changed = rows.where("district_id % 2 = 0").withColumn("population", F.col("population") + 1)
+    path = new_folder(spark, "population")
+    steps = [upsert.upsert_table(spark, path, batch, ["district_id"], ["population"], id_col="id") for batch in (rows, changed)]
+    table = upsert.read_table(spark, path).select("district_id", "population")
+    return table.unionByName(_counts(spark, steps), allowMissingColumns=True)
+
+
+@register("integer_ids")
+def integer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense integer ids (S14): stored rows keep theirs; new rows get the next numbers, in any order, so their keys are left out."""
+    hist = historical_rows(spark, sf_dir).drop("disease")
+    key = list(loads.HISTORICAL_KEYS)
+    target = with_row_numbers(hist.where("year <= 1995"), [F.col(k) for k in key], "data_id")
+    merged = upsert.merge_upsert(target, hist, key, ["case_count"], id_col="data_id", with_action=True)
+    old = F.col(upsert.ACTION_COL) != "insert"
+    return merged.select(*[F.when(old, F.col(k)).alias(k) for k in key], "data_id", F.col(upsert.ACTION_COL).alias("action"))
