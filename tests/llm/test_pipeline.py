@@ -28,7 +28,7 @@ def stages(spark):
 def test_names():
     found = entry.queries()
     assert "pipeline" in found
-    assert all(sum(n.startswith(f"op{k}_") for n in found) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in found) == 1 for k in range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
