@@ -56,8 +56,8 @@ SURE, START = 4.0, 0.2
 SCALE = 30.0
 #: Every text's mean counts so many words without any margin: of two or three words none decides alone.
 PLAIN = 2.0
-#: Steps of the descent, each on ``BATCH`` texts; a small sample is gone through more often.
-STEPS, BATCH, RATE, SLOW = 900, 64, 5.0, 0.1
+#: Steps of the descent, each on ``BATCH`` texts; a small sample is gone through more often. The pace is ``RATE`` over the median squared length of the texts' vectors.
+STEPS, BATCH, RATE, SLOW = 900, 64, 7.65, 0.1
 SEED = 11
 
 #: Bytes of text that are taken apart at once (one text at least).
@@ -214,7 +214,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, spare: np
     start = START * np.sign(sure) * np.maximum(np.abs(sure) - SURE, 0)
     kept = [used[bags[i][0]] for i in learn]
     rows, values = [place[bags[i][0][k]] for i, k in zip(learn, kept, strict=True)], [bags[i][1][k] for i, k in zip(learn, kept, strict=True)]
-    rate = RATE
+    rate = RATE / max(1e-3, float(np.median([SCALE**2 * (v.astype(np.float64) ** 2).sum() for v in values])))
     with np.errstate(over="ignore", invalid="ignore"):
         found = descend(rows, values, y, start, rate)
         while not all(np.isfinite(x).all() for x in found):  # too fast for these texts
