@@ -13,9 +13,13 @@ blocks by hash, and every two blocks are compared, so no node is capped.
 Comparing has two steps. On signatures, all pairs of a node are tried in memory and the node
 falls apart into clusters of sets that could be similar; only memberships leave the task, no
 pairs. On full sets, each different cluster's texts meet, links are confirmed by exact
-counts, and stars (a set and the smallest one it is connected to) leave the task. The
-components of all stars follow from label propagation with pointer jumping; every round is
-written to the shared folder.
+counts, and stars (a set and the smallest one it is connected to) leave the task. A
+cluster is held as one sorted array of 8-byte shingle hashes for each set; its texts are
+turned into these as they arrive. The components of all stars follow from label propagation
+with pointer jumping; every round is written to the shared folder.
+
+Rows are told apart by a key of their own, a hash of id and text, so that null and repeated
+ids join with nothing but their own texts.
 
 Recall: with ``TREES * FIRST`` = 8 coordinates picked at the roots, a pair of similarity 0.8
 shares no node with probability 0.2^8 = 3e-6 (with two further levels of two picks each:
@@ -26,8 +30,9 @@ its links.
 Edge cases: null and empty texts, and texts without words, have empty sets and are linked
 with nothing; with fewer words than a shingle has, the whole sequence is the one shingle;
 repeated rows are linked as copies; rows with a null id are linked too, but never name a
-component (it is null where there are no others, and such rows are kept); an empty table
-gives an empty result; further columns are not read.
+component (it is null where there are no others, and such rows are kept); rows of one id and
+several texts are linked each by its own text; an empty table gives an empty result; further
+columns are not read. ``representatives`` keeps one row of each component, whatever its ids.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import WORD, ascii_lower, stored, tidy
+from casegrid.llm.common import ascii_lower, free_name, stored, tidy
 from casegrid.llm.fingerprints import shingle_hashes
 
 SIGNATURE = 128
@@ -92,15 +97,22 @@ def _children(path: int, values: np.ndarray, count: int) -> list[int]:
     return [_key(path.to_bytes(8, "little", signed=True), c.to_bytes(2, "little"), values[c].tobytes()) for c in _picked(path, count)]
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> F.Column:
+    """A hash of id and text: never null, and the same for rows that repeat both."""
+    text = F.col(f"`{text_col}`").cast("string")
+    name = F.coalesce(F.col(f"`{id_col}`").cast("long").cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat(name, F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.lit(":"), text))).cast("binary")))
+
+
 def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n (set size), set (hash of the whole set), sig and the root's children of each document, stored."""
+    """key, doc_id, n (set size), set (hash of the whole set), sig and the root's children of each document, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 rows = []
-                for t in batch.column(1).to_pylist():
+                for t in batch.column(2).to_pylist():
                     s = shingle_set(t, width)
                     if not len(s):
                         rows.append((0, None, None, None))
@@ -109,10 +121,10 @@ def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
                     paths = [p for tree in range(TREES) for p in _children(_key(b"tree", bytes([tree])), sig, FIRST)]
                     rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), sig.tobytes(), paths))
                 n, sets, sigs, paths = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary()), pa.array(paths, pa.list_(pa.int64()))], names=["doc_id", "n", "set", "sig", "paths"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary()), pa.array(paths, pa.list_(pa.int64()))], names=["key", "doc_id", "n", "set", "sig", "paths"])
 
-    d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), ascii_lower(F.col(f"`{text_col}`").cast("string")).alias("text"))
-    return stored(d.mapInArrow(tidy(run), "doc_id long, n long, set binary, sig binary, paths array<long>"), "sketches")
+    d = docs.select(row_key(id_col, text_col).alias("key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), ascii_lower(F.col(f"`{text_col}`").cast("string")).alias("text"))
+    return stored(d.mapInArrow(tidy(run), "key binary, doc_id long, n long, set binary, sig binary, paths array<long>"), "sketches")
 
 
 def _branch(rows: DataFrame) -> DataFrame:
@@ -238,45 +250,52 @@ def clusters(members: DataFrame, percent: int) -> DataFrame:
     return together.mapInArrow(tidy(run), "cluster binary, set binary").distinct()
 
 
+def _common(small: np.ndarray, large: np.ndarray) -> int:
+    """Size of the intersection of two sorted arrays of distinct hashes."""
+    at = np.searchsorted(large, small)
+    return int((large[np.minimum(at, len(large) - 1)] == small).sum())
+
+
 def links(found: DataFrame, percent: int, width: int) -> DataFrame:
-    """(a, b): each set of a cluster with the smallest set that confirmed links connect it to; ``found`` has cluster, set, text."""
+    """(a, b): each set of a cluster with the smallest set that confirmed links connect it to; ``found`` has cluster, set, sig, text."""
     least = least_estimate(percent)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches):
-            full: dict[bytes, np.ndarray] = {}
-            for name, text in sorted(rows, key=lambda r: r[0]):
-                if name not in full:
-                    s = shingle_set(text, width)
-                    if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == name:  # else another text of the same id
-                        full[name] = s
-            names = list(full)
-            arrays = list(full.values())
-            if len(names) < 2:
+    def stars(sets: dict[bytes, tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[bytes, bytes]]:
+        names = sorted(sets)
+        arrays = [sets[s][0] for s in names]
+        sizes = np.array([len(x) for x in arrays])
+        near = [(np.full(len(j), i, np.int32), j.astype(np.int32), e) for i, j, e in _near(np.array([sets[s][1] for s in names]), sizes, least, percent)]
+        i, j, e = (np.concatenate(x) for x in zip(*near, strict=True)) if near else (np.zeros(0, np.int32),) * 3
+        best = np.argsort(-e, kind="stable")
+        forest = Forest(len(names))
+        for a, b in zip(i[best].tolist(), j[best].tolist(), strict=True):
+            if forest.root(a) == forest.root(b):
                 continue
-            as_sets = [set(a.tolist()) for a in arrays]
-            sizes = np.array([len(a) for a in arrays])
-            if len(names) <= 8:
-                pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
-            else:
-                sigs = np.array([signature(a) for a in arrays]).astype(np.uint8)
-                near = [(np.full(len(j), i, np.int32), j.astype(np.int32), e) for i, j, e in _near(sigs, sizes, least, percent)]
-                i, j, e = (np.concatenate(x) for x in zip(*near, strict=True)) if near else (np.zeros(0, np.int32),) * 3
-                best = np.argsort(-e, kind="stable")
-                pairs = zip(i[best].tolist(), j[best].tolist(), strict=True)
-            forest = Forest(len(names))
-            for i, j in pairs:
-                if forest.root(i) == forest.root(j) or 100 * min(sizes[i], sizes[j]) < percent * max(sizes[i], sizes[j]):
-                    continue
-                common = len(as_sets[i] & as_sets[j])
-                if 100 * common >= percent * (int(sizes[i]) + int(sizes[j]) - common):
-                    forest.join(i, j)
-            stars = [(names[forest.root(i)], names[i]) for i in range(len(names)) if forest.root(i) != i]
-            if stars:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*stars, strict=True)], names=["a", "b"])
+            small, large = (a, b) if sizes[a] <= sizes[b] else (b, a)
+            common = _common(arrays[small], arrays[large])
+            if 100 * common >= percent * (int(sizes[a]) + int(sizes[b]) - common):
+                forest.join(a, b)
+        return ((names[forest.root(x)], names[x]) for x in range(len(names)) if forest.root(x) != x)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cluster, sets, out = None, {}, []
+        for batch in batches:
+            for row in range(batch.num_rows):  # one text at a time becomes its array
+                of, name, sig, text = (c[row].as_py() for c in batch.columns)
+                if of != cluster:
+                    out += stars(sets) if sets else ()
+                    cluster, sets = of, {}
+                if name not in sets:
+                    sets[name] = (shingle_set(text, width), np.frombuffer(sig, np.uint32).astype(np.uint8))
+            if len(out) > 5000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["a", "b"])
+                out = []
+        out += stars(sets) if sets else ()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["a", "b"])
 
     together = found.repartition(F.col("cluster")).sortWithinPartitions("cluster")
-    return together.select("cluster", "set", "text").mapInArrow(tidy(run), "a binary, b binary").distinct()
+    return together.select("cluster", "set", "sig", "text").mapInArrow(tidy(run), "a binary, b binary").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -297,22 +316,45 @@ def components(edges: DataFrame) -> DataFrame:
         at = new.select("v", "root")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, node_sets: int = NODE_SETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row."""
+def grouped(docs: DataFrame, percent: int = 80, width: int = 5, node_sets: int = NODE_SETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key, doc_id, n (set size), root (a set of the row's component; null for the empty set) and component (its smallest id) of each row."""
     known = sketches(docs, width, id_col, text_col)
-    one = known.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first"))  # copies
+    filled = known.where("n > 0")
+    one = filled.groupBy("set").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"))  # copies
     # the signature of a set is that of any of its documents
-    distinct = known.where("n > 0").join(one.withColumnRenamed("set", "s"), (F.col("set") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("first")))
-    distinct = stored(distinct.groupBy("set").agg(F.first("first").alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("paths").alias("paths")), "sets")
+    rest = filled.join(one.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi").dropDuplicates(["key"]).select("key", "n", "sig", "paths")
+    distinct = stored(one.join(rest, "key").select("set", "first", "key", "n", "sig", "paths"), "sets")
     near = stored(clusters(nodes(distinct, node_sets), percent), "clusters")
-    wanted = near.join(distinct.select("set", "first"), "set")
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), ascii_lower(F.col(f"`{text_col}`").cast("string")).alias("text"))
-    edges = stored(links(wanted.join(texts, F.col("first").eqNullSafe(F.col("id"))).select("cluster", "set", "text"), percent, width), "links")
+    wanted = near.join(distinct.select("set", "key", "sig"), "set")
+    texts = docs.select(row_key(id_col, text_col).alias("key"), ascii_lower(F.col(f"`{text_col}`").cast("string")).alias("text"))
+    # only the texts that a cluster wants move on, rows that repeat id and text once
+    texts = texts.join(wanted.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    edges = stored(links(wanted.join(texts, "key").select("cluster", "set", "sig", "text"), percent, width), "links")
     roots = components(edges)
     placed = distinct.select("set", "first").join(roots.withColumnRenamed("v", "set"), "set", "left").select("set", "first", F.coalesce("root", "set").alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component"))
-    named = placed.join(names, "root").select(F.col("set").alias("s"), "component")
-    out = known.select("doc_id", "n", "set").join(named, F.col("set") == F.col("s"), "left")
+    named = placed.join(names, "root").select(F.col("set").alias("s"), "root", "component")
+    return known.select("key", "doc_id", "n", "set").join(named, F.col("set") == F.col("s"), "left").select("key", "doc_id", "n", "root", "component")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, node_sets: int = NODE_SETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row."""
+    out = grouped(docs, percent, width, node_sets, id_col, text_col)
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def representatives(docs: DataFrame, percent: int = 80, width: int = 5, node_sets: int = NODE_SETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay if one of each component does.
+
+    It is the row with the smallest id (a null id only where there is no other), among several rows of that id the
+    one with the smallest key. Rows of the empty set all stay. Rows that repeat id and text stand once, by any of them.
+    """
+    found = stored(grouped(docs, percent, width, node_sets, id_col, text_col).select("key", "doc_id", "n", "root"), "grouped")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key"))
+    kept = found.where("n > 0").groupBy("root").agg(best.alias("best")).select("best.key").unionByName(found.where("n = 0").select("key"))
+    name = free_name(docs, "row_key")
+    mine = free_name(docs, "kept_key")
+    out = docs.withColumn(name, row_key(id_col, text_col)).join(kept.select(F.col("key").alias(mine)), F.col(name) == F.col(mine), "left_semi")
+    return out.dropDuplicates([name]).drop(name)

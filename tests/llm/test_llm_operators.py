@@ -2,10 +2,11 @@
 
 import hashlib
 import io
+import random
 import re
 import zipfile
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -246,6 +247,15 @@ def test_mix_order(spark):
     assert mean["s0"] > mean["s1"] > mean["s2"]
 
 
+def test_mix_order_of_wordless_documents(spark):
+    rows = [(i, "a b c d", "s") for i in range(20)] + [(30, None, "s"), (31, "", "only"), (32, " ", None)]
+    mixed = mixing.mix(documents(spark, rows), epochs=1.5, least=1.0, whole=True)
+    assert {r["doc_id"] for r in mixing.training_order(mixed).collect()} == set(range(20))
+    ordered = mixing.training_order(mixed, ties=("doc_id",), wordless=True).select("doc_id", "mix.taken", "mix.position").collect()
+    assert [(r["doc_id"], r["taken"], r["position"]) for r in ordered[-3:]] == [(30, 0, 2.0), (31, 0, 2.0), (32, 0, 2.0)]
+    assert len(ordered) == 33 and max(r["position"] for r in ordered[:-3]) <= 1
+
+
 # 5
 
 
@@ -331,6 +341,45 @@ def test_near_duplicates_edges(spark):
     assert sorted((r["doc_id"] or -1, r["component_id"] or -1, r["kept"]) for r in got) == [(-1, -1, True), (-1, 1, False), (1, 1, True), (1, 1, True)]
 
 
+def test_near_duplicates_by_row(spark):
+    """Null and repeated ids: rows are told apart by id and text, and each is linked by its own text."""
+    rng = random.Random(9)
+    text = lambda: " ".join(rng.choice("abcdefghijklmnop") + rng.choice("qrstuvwxyz") for _ in range(60))
+    groups = [[t, t + " end", t + " End"] for t in (text() for _ in range(5))]
+    rows = [(None, t, "s") for g in groups for t in g] + [(7, text(), "s"), (7, text(), "s"), (7, groups[0][0], "s"), (3, groups[1][1], "s")]
+    rows += [rows[0], rows[-1], (None, None, "s"), (None, "", "s"), (5, " ", "s")]
+    d = documents(spark, rows).withColumn("row_key", F.lit(1)).withColumn("kept_key", F.lit(2))
+    got = Counter((r["component_id"], r["kept"]) for r in minhash_join.near_duplicates(d, 80, 4).where("n_shingles > 0").collect())
+    # group 0 is named by the row of id 7, group 1 by the one of id 3, the other three by none; both other texts of id 7 stand alone
+    assert got == {(7, False): 4, (7, True): 3, (3, False): 3, (3, True): 2, (None, True): 9}
+    kept = minhash_join.representatives(d, 80, 4)
+    assert kept.columns == d.columns
+    left = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert max(left.values()) == 1
+    stay = {(7, t) for i, t, _ in rows if i == 7} | {(3, groups[1][1]), (None, None), (None, ""), (5, " ")}
+    assert stay <= set(left) and len(left) == len(stay) + 3
+    assert all(sum((None, t) in left for t in g) == 1 for g in groups[2:]) and not any((None, t) in left for g in groups[:2] for t in g)
+    assert minhash_join.representatives(documents(spark, [])).count() == 0
+
+
+def test_large_clusters_of_long_texts(spark):
+    """Clusters of 9 sets and of 60 long ones go the same way as pairs."""
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(4000)]
+    rows = [(i, " ".join(long[: 3990 + i % 10] + [f"x{i}"]), "s") for i in range(60)]
+    short = [f"v{k}" for k in range(80)]
+    rows += [(100 + i, " ".join(short[:72 + i]), "s") for i in range(9)] + [(200, " ".join(short[20:]), "s")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_join.near_duplicates(documents(spark, rows), 80, 5).collect()}
+    assert got == components(rows, 5, 80)
+
+
+def test_common_hashes():
+    draw = np.random.default_rng(3)
+    for n, m in ((1, 1), (5, 40), (300, 300)):
+        a, b = (np.unique(draw.integers(0, 200, k).astype(np.uint64)) for k in (n, m))
+        assert minhash_join._common(a, b) == len(set(a.tolist()) & set(b.tolist()))
+
+
 def test_component_labels(spark):
     """A long chain and a star."""
     edges = [(f"{i:03d}".encode(), f"{i + 1:03d}".encode()) for i in range(40)] + [(b"500", f"{i}".encode()) for i in range(600, 660)]
@@ -389,6 +438,11 @@ def test_quality_learns_and_leaves_rows_out(spark):
     assert {r["score"] for r in quality.scored_documents(documents(spark, rows[:3]), labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_shapes_are_whole():
+    """Words that differ late have shapes that differ."""
+    assert quality.shape("aA-" * 20) != quality.shape("aA-" * 40) and quality.shape("x" * 5000) == "a"
+
+
 def test_quality_contexts_are_those_of_all_texts(spark):
     """Contexts come from every text that may train, labelled or not; labels without a document take no place in the fit."""
     texts = [f"alpha{i % 37} beta{i % 11} alpha{i % 37} Gamma!! delta{i}" for i in range(60)] + ["", None, "one"]
