@@ -153,11 +153,15 @@ def _with_copies(placed: DataFrame, columns: list[str], name: str, plan: str, mo
     return placed.select(*[F.col(f"`{c}`") for c in columns], F.struct(m["size"].alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"), copies.alias("copies")).alias(name))
 
 
-def training_order(mixed: DataFrame, name: str = "mix", each_copy: bool = True, ties: tuple[str, ...] = ()) -> DataFrame:
+def training_order(mixed: DataFrame, name: str = "mix", each_copy: bool = True, ties: tuple[str, ...] = (), wordless: bool = False) -> DataFrame:
     """Range-sorted by position: a row for each copy taken, with struct(copy, taken, position) in place of ``name``;
-    or, without ``each_copy``, every document once, by its first copy, those that aren't taken last. ``ties`` orders (and parts) rows of one position."""
+    or, without ``each_copy``, every document once, by its first copy, those that aren't taken last. ``ties`` orders (and parts) rows of one position.
+    With ``wordless``, documents of size 0, which a mix never takes, come too, once each, last (position 2)."""
     if each_copy:
-        mixed = mixed.withColumn(name, F.explode(F.col(name)["copies"]))
+        m = F.col(name)
+        last = F.array(F.struct(F.lit(1).alias("copy"), F.lit(0).cast("long").alias("taken"), F.lit(2.0).alias("position")))
+        copies = F.when(m["size"] == 0, last).otherwise(m["copies"]) if wordless else m["copies"]
+        mixed = mixed.withColumn(name, F.explode(copies))
         position = F.col(name)["position"]
     else:
         position = F.coalesce(F.get(F.col(name)["copies"], F.lit(0))["position"], F.lit(2.0))

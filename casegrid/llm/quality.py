@@ -63,7 +63,7 @@ def shape(word: str) -> str:
     s = _digit.sub("9", word)
     caps = s.isupper()
     s = re.sub(r"[^\W\d_]+", lambda m: "A" if caps and len(m[0]) > 1 else ("Aa" if m[0][0].isupper() else "a"), s)
-    return _run.sub(r"\1\1", s)[:24]
+    return _run.sub(r"\1\1", s)
 
 
 class Terms(dict):

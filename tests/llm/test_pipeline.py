@@ -83,8 +83,14 @@ def test_odd_rows(spark, tmp_path):
     rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text + "end", None, None, None), (None, text, "en", "s", 1), (3, None, "en", "s", 0), (4, "", "en", "s", 0)]
     spark.createDataFrame(rows, schema).withColumns({"mix": F.lit(1), "score": F.lit(2), "kept_id": F.lit(3)}).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    alone = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert alone.columns == docs.columns and sorted(r["doc_id"] for r in alone.collect()) == [1, 3, 4]
+    mixed = [r["doc_id"] for r in corpus_pipeline.mixture(spark, docs, str(tmp_path)).collect()]
+    assert mixed[-2:] == [3, 4] and Counter(mixed).keys() == {1, 2, None, 3, 4} and mixed.count(3) == mixed.count(4) == 1
+    passed = {r["doc_id"] for r in corpus_pipeline.quality_filter(spark, docs, str(tmp_path)).collect()}
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert {r["doc_id"] for r in got} == {1, 3, 4} or {r["doc_id"] for r in got} == {1}
+    assert 1 in passed and {r["doc_id"] for r in got} == passed & {1, 3, 4}
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
