@@ -29,18 +29,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, 80 %): the one with the smallest id; repeated rows once."""
-    found = minhash_join.near_duplicates(docs, percent=80, width=5)
-    name = free_name(docs, "kept_id")
-    kept = found.where("kept").select(F.col("doc_id").alias(name)).distinct()
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near-duplicates (five-word shingles, 80 %): the one with the smallest id, told apart by id and text; repeated rows once."""
+    return minhash_join.representatives(docs, percent=80, width=5)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents in training order, a row for each time one is taken: all once, those of upweighted sources in part twice."""
+    """Whole documents in training order, ties by id: all once (those without words last), those of upweighted sources in part twice."""
     name = free_name(docs, "mix")
-    return mixing.training_order(mixing.mix(docs, **MIXTURE), name).drop(name)
+    return mixing.training_order(mixing.mix(docs, **MIXTURE), name, ties=("doc_id",), wordless=True).drop(name)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
