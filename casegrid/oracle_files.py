@@ -92,3 +92,22 @@ FROM hist WHERE year <= 1995
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, (SELECT count(*) FROM hist WHERE year <= 1995) + row_number() OVER (), 'insert' FROM hist WHERE year > 1995
 """, _KEYED)
+
+SQL["late_corrections"] = with_base("""
+SELECT week_number, year, district_id, disease_id,
+       CASE WHEN week_number > 26 THEN case_count WHEN case_count IS NULL THEN 7 ELSE case_count + 1 END AS case_count,
+       CAST(NULL AS INTEGER) AS step, CAST(NULL AS BIGINT) AS inserted, CAST(NULL AS BIGINT) AS updated, CAST(NULL AS BIGINT) AS unchanged
+FROM dropped WHERE week_number <= 26 OR case_count IS NOT NULL
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 1, count(case_count), 0, 0 FROM dropped
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 2, 0, 0, 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 3, count(*) FILTER (week_number <= 26 AND case_count IS NULL), count(case_count) FILTER (week_number <= 26),
+       count(case_count) FILTER (week_number > 26 AND year IN (SELECT year FROM dropped WHERE week_number <= 26)) FROM dropped
+""", """
+dropped AS (
+  SELECT week_number, year, district_id, disease_id, CAST(round_even(cases_raw, 0) AS INTEGER) AS case_count FROM parsed_cases
+  WHERE year IS NOT NULL AND week_number IS NOT NULL AND district_id IS NOT NULL AND disease_id IS NOT NULL
+)
+""")

@@ -127,6 +127,13 @@ def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     return found
 
 
+def name_part(number: int) -> F.Column:
+    """Year (1) or disease (2) by the name of a scanned case file, or of the folder of that name that it lies in."""
+    name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
+    own = F.regexp_extract(name, FILE_NAME_PATTERN, number)
+    return F.when(path.rlike(FOLDER_NAME_PATTERN), F.url_decode(F.regexp_extract(path, FOLDER_NAME_PATTERN, number))).otherwise(own)
+
+
 def _case_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     raw = (
         spark.read.option("header", True)
@@ -135,16 +142,9 @@ def _case_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
         .csv(paths)
     )
     require_columns(raw, CASE_COLUMNS, "case file")
-    name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
-    in_folder = path.rlike(FOLDER_NAME_PATTERN)
-
-    def part(number: int) -> F.Column:
-        own = F.regexp_extract(name, FILE_NAME_PATTERN, number)
-        return F.when(in_folder, F.url_decode(F.regexp_extract(path, FOLDER_NAME_PATTERN, number))).otherwise(own)
-
     return raw.select(
-        part(1).try_cast("int").alias("year"),
-        part(2).alias("disease"),
+        name_part(1).try_cast("int").alias("year"),
+        name_part(2).alias("disease"),
         "week_number",
         "area_reported",
         "cases_reported",

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from casegrid.dims import Dims, surveillance_dims
 from casegrid.operators import loads, upsert
-from casegrid.sources.files import CASE_COLUMNS, FILE_NAME_PATTERN, _string_schema
+from casegrid.sources.files import CASE_COLUMNS, _string_schema, name_part
 
 LOG = logging.getLogger("casegrid.ingest")
 
@@ -33,15 +33,18 @@ def case_file_stream(spark: SparkSession, directory: str, max_files_per_trigger:
     A streaming file source needs a fixed schema, so dropped files must have
     the standard column order ``week_number, area_reported, cases_reported``;
     another header fails the batch rather than being read wrongly.
+
+    ``directory`` may be a glob. Drops that ``sinks.write_case_files`` wrote (a
+    folder for each year and disease) under ``<base>/<drop>`` are read by
+    ``<base>/*/*.csv``.
     """
     reader = spark.readStream.schema(_string_schema(CASE_COLUMNS)).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.option("pathGlobFilter", "*.csv").csv(directory)
-    file_name = F.col("_metadata.file_name")
     return raw.select(
-        F.regexp_extract(file_name, FILE_NAME_PATTERN, 1).try_cast("int").alias("year"),
-        F.regexp_extract(file_name, FILE_NAME_PATTERN, 2).alias("disease"),
+        name_part(1).try_cast("int").alias("year"),
+        name_part(2).alias("disease"),
         "week_number",
         "area_reported",
         "cases_reported",
