@@ -118,9 +118,38 @@ def as_events(rows: DataFrame) -> DataFrame:
         "conv_id", F.col("msg").cast("long").alias("seq"), F.col("msg").cast("long").alias("msg"), F.lit("delta").alias("kind"), "t.role", "t.text")
 
 
+def as_stream(rows: DataFrame, parts: int = 3) -> DataFrame:
+    """A table of finished turns as the log of a conversation that was streamed and revised.
+
+    Every message comes in ``parts`` deltas. By its place in the conversation it comes so at
+    once, or a draft (its own last part) went before, which was regenerated, edited or deleted.
+    """
+    turn = as_events(rows)
+    size = F.ceil(F.char_length("text") / F.lit(float(parts))).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.substr(F.col("text"), i * size + 1, size))
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("delta", *RESETS)]), (F.col("msg") % 4 + 1).cast("int"))
+    turn = turn.select("conv_id", "msg", "role", pieces.alias("pieces"), kind.alias("kind"))
+
+    def event(kind, text) -> F.Column:
+        return F.struct(kind.alias("kind"), text.alias("text"))
+
+    delta, empty = F.lit("delta"), F.lit("")
+    streamed = F.transform("pieces", lambda p: event(delta, p))
+    anew = F.transform("pieces", lambda p, i: event(F.when(i == 0, F.col("kind")).otherwise(delta), p))
+    draft = F.array(event(delta, F.element_at("pieces", -1)))
+    log = (
+        F.when(F.col("kind") == "delta", streamed)
+        .when(F.col("kind") == "delete", F.concat(draft, F.array(event(F.col("kind"), empty)), streamed))
+        .otherwise(F.concat(draft, anew))
+    )
+    events = turn.select("conv_id", "msg", "role", F.posexplode(log).alias("step", "event"))
+    return events.select("conv_id", (F.col("msg") * (parts + 2) + F.col("step")).alias("seq"), "msg", "event.kind", "role", "event.text")
+
+
 def digests(rows: DataFrame, trained_role: str = "assistant") -> DataFrame:
-    """For each conversation, what is read back from its formatted text."""
-    d = render(reconstruct(as_events(rows)), trained_role)
+    """For each conversation, what is read back from its formatted text. The rows become a log of
+    deltas, edits, regenerations and deletions (``as_stream``), which is folded, rendered and parsed."""
+    d = render(reconstruct(as_stream(rows)), trained_role)
     d = d.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"), masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return d.select(

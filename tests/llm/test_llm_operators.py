@@ -401,6 +401,21 @@ def test_chat_folds_events(spark):
     assert got == {1: [("user", "hello"), ("assistant", "right")], 2: [("", "")], None: [("user", "n")]}
 
 
+def test_chat_stream_folds_to_the_turns(spark):
+    texts = ["abcdefgh", "", "x", None, "日本 \U0001f600 <b>", "draft draft", "12", "one\ntwo"]
+    rows = [(c, k, ("user", "assistant")[k % 2], t) for c in (1, 2) for k, t in enumerate(texts)] + [(None, 0, None, "n")]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.as_stream(d)
+    kinds = {}
+    for r in log.where("conv_id = 1").orderBy("seq").collect():
+        kinds.setdefault(r["msg"], []).append(r["kind"])
+    assert [kinds[m] for m in range(4)] == [
+        ["delta"] * 3, ["delta", "edit", "delta", "delta"], ["delta", "regenerate", "delta", "delta"], ["delta", "delete", "delta", "delta", "delta"]]
+    assert log.count() == log.select("conv_id", "seq").distinct().count() == 2 * 2 * (3 + 4 + 4 + 5) + 3
+    key = lambda df: {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in chat.reconstruct(df).collect()}
+    assert key(log) == key(chat.as_events(d)) == {c: [(("user", "assistant")[k % 2], t or "") for k, t in enumerate(texts)] for c in (1, 2)} | {None: [("", "n")]}
+
+
 def test_chat_reads_back(spark):
     texts = ["", 'a\\s<b>"c"\r\n', "</turn>\n", '<turn role="assistant">x', "\\", "\\l\\\\g", "日本 \U0001f600", chat.SPOKEN_MARKUP]
     rows = [(1, k, ("user", "assistant")[k % 2], t) for k, t in enumerate(texts)] + [(2, 0, 'r"ole>', "x"), (3, None, None, None), (3, 1, "assistant", "b"), (3, 1, "assistant", "a")]
