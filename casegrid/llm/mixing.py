@@ -170,11 +170,13 @@ def training_order(mixed: DataFrame, name: str = "mix", each_copy: bool = True,
 
 
 def per_document(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and taken of each document, in training order; the words are counted once."""
+    """doc_id, size, source_size, target, taken and the training positions of the first and second copy (null where
+    not taken) of each document, in training order; the words are counted once."""
     light = stored(docs.select("doc_id", "source", sizes(F.col("text")).alias("size")), "sizes")
     ordered = training_order(mix(light, size_col="size"), each_copy=False, ties=("doc_id",))
     taken = F.aggregate("mix.copies", F.lit(0).cast("long"), lambda total, c: total + c["taken"])
-    return ordered.select("doc_id", "mix.size", "mix.source_size", "mix.target", taken.alias("taken"))
+    first, second = (F.get("mix.copies", F.lit(i))["position"] for i in range(2))
+    return ordered.select("doc_id", "mix.size", "mix.source_size", "mix.target", taken.alias("taken"), first.alias("first_position"), second.alias("second_position"))
 
 
 #: The same rows by DuckDB, without cells: windows over whole sources.
@@ -191,12 +193,20 @@ ln AS (
   SELECT pos, (SELECT SUM(weight) FROM s) - COALESCE(SUM(w) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w,
          COALESCE(SUM(h) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS h FROM pt),
 lv AS (SELECT arg_min(level, pos) AS level FROM (SELECT ((SELECT max(wanted) FROM s) - h) / w AS level, pos FROM ln) WHERE level <= pos),
-t AS (SELECT source, source_size, COALESCE(least(high, (SELECT level FROM lv) * weight), 0.0) AS target FROM s),
+t AS (SELECT source, source_size, COALESCE(least(high, (SELECT level FROM lv) * weight), 0.0) AS target,
+             CASE weight WHEN 3 THEN 0.5::DOUBLE WHEN 1 THEN 0::DOUBLE ELSE -0.5::DOUBLE END AS slope FROM s),
 r AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS due,
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.slope, CAST(round(t.target) AS BIGINT) AS due,
          CAST(SUM(d.size) OVER (PARTITION BY d.source ORDER BY d.rank, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS before
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(least(greatest(due - before, 0), size) + least(greatest(due - before - source_size, 0), size) AS BIGINT) AS taken
-FROM r
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (
+  SELECT *, least(greatest(due - before, 0), size) AS once, least(greatest(due - before - source_size, 0), size) AS twice,
+         least((before + size / 2.0::DOUBLE) / target, 1.0::DOUBLE) AS share,
+         least((before + source_size + size / 2.0::DOUBLE) / target, 1.0::DOUBLE) AS share2 FROM r)
+SELECT doc_id, size, source_size, target, CAST(once + twice AS BIGINT) AS taken,
+       CASE WHEN once > 0 THEN CASE WHEN slope = 0 THEN share
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / (2 * slope) END END AS first_position,
+       CASE WHEN twice > 0 THEN CASE WHEN slope = 0 THEN share2
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share2) - (1 - slope)) / (2 * slope) END END AS second_position
+FROM k
 """
