@@ -5,7 +5,7 @@ Importing this module adds them to ``oracle_edges.SQL``.
 
 from __future__ import annotations
 
-from casegrid.oracle import _FEATURES, _KEYED, with_analytics, with_base
+from casegrid.oracle import _FEATURES, _KEYED, _LONG, _RAIN_ROWS, _RISK_ROWS, MONTH_ORDER, r6, r9, with_analytics, with_base
 from casegrid.oracle_edges import SQL
 
 __all__ = ["SQL"]
@@ -111,3 +111,62 @@ dropped AS (
   WHERE year IS NOT NULL AND week_number IS NOT NULL AND district_id IS NOT NULL AND disease_id IS NOT NULL
 )
 """)
+
+
+# ---------------------------------------------------------------- whole jobs
+
+
+def table_sums(table: str, rows: str, numbers: str, texts: str = "", unsummed: str = "", digits: int = 6) -> str:
+    """Rows, filled cells and sum of each column (names separated by spaces) of the query ``rows``."""
+    rounded = {6: r6, 9: r9}[digits]
+    total = {c: f"SUM(CAST({rounded(f'CAST({chr(34)}{c}{chr(34)} AS DOUBLE)')} AS DECIMAL(28,{digits})))" for c in numbers.split()}
+    total |= {c: f"SUM(CAST('0x' || substr(md5(\"{c}\"), 1, 8) AS BIGINT))" for c in texts.split()}
+    total |= {c: "NULL" for c in unsummed.split()}
+    sums = ", ".join(f"{{'column': '{c}', 'filled': count(\"{c}\"), 'total': CAST({t} AS DOUBLE)}}" for c, t in total.items())
+    return f"SELECT '{table}' AS \"table\", s['column'] AS \"column\", rows, s.filled AS filled, s.total AS total FROM (SELECT count(*) AS rows, unnest([{sums}]) AS s FROM ({rows}))"
+
+
+_MONTHS_TEXT = " ".join(MONTH_ORDER)
+_ANALYTICS_TABLES = [
+    ("disease_hotspots", "hotspots", "year total_cases population incidence_per_100k", "disease district"),
+    ("disease_seasonality", "seasonality", "year week_number total_cases mean_cases_per_district", "disease"),
+    ("disease_monthly", "monthly_profile", "month total_cases mean_cases", "disease"),
+    ("disease_yoy", "yoy_change", "year total_cases yoy_pct_change", "disease"),
+    ("rainfall_monthly_by_district", "rain_monthly", "month avg_rainfall_mm", "district month_name"),
+    ("rainfall_district_totals", "rain_totals_ranked", "annual_rainfall_mm rank", "district"),
+    ("rainfall_peak_months", "rain_peak_month", "peak_rainfall_mm", "district peak_month"),
+    ("rainfall_heatmap", "rain_heatmap", _MONTHS_TEXT, "district"),
+    ("rain_disease_correlation", "rain_case_corr", "correlation n_weeks", "disease district"),
+    ("rain_disease_lagged_correlation", "rain_case_corr_lagged", "lag_months correlation n_weeks", "disease district"),
+    ("correlation_distribution", "corr_distribution", "mean_r min_r q1_r median_r q3_r max_r", "disease"),
+    ("lagged_correlation_summary", "lag_summary", "lag_months mean_corr std_corr mean_corr_3dp", "disease"),
+    ("summary_top_hotspots", "top_hotspots", "total_cases rank", "disease district"),
+    ("summary_rainfall_extremes", "rain_extremes", "annual_rainfall_mm rank", "label district"),
+    ("summary_correlation", "corr_summary", "mean_r median_r n_districts", "disease"),
+    ("summary_lagged_correlation", "lag_pivot", "lag_0mo lag_1mo lag_2mo", "disease"),
+]
+#: The wide table has a column for each year; its SQL is the long form's.
+_ANNUAL = f"""
+SELECT 'summary_annual_cases' AS "table", CAST(year AS VARCHAR) AS "column", count(*) AS rows, count(*) AS filled, CAST(SUM(total_cases) AS DOUBLE) AS total
+FROM ({SQL["annual_pivot"]}) GROUP BY year
+UNION ALL
+{table_sums("summary_annual_cases", f"SELECT DISTINCT disease FROM ({SQL['annual_pivot']})", "", "disease")}
+"""
+SQL["analytics_job_tables"] = "\nUNION ALL\n".join([table_sums(t, SQL[q], n, x, digits=9 if q in ("corr_distribution", "lag_summary", "corr_summary") else 6) for t, q, n, x in _ANALYTICS_TABLES] + [_ANNUAL])
+
+_REPORTS = with_analytics("""
+SELECT CAST(w.range AS INTEGER) AS week_number, 2002 AS year, d.district_id, s.disease_id, 0 AS case_count
+FROM range(1, 53) w CROSS JOIN (SELECT DISTINCT area_reported FROM train_rows) a CROSS JOIN (SELECT DISTINCT disease FROM train_rows) t
+JOIN districts d ON d.district_display = a.area_reported JOIN diseases s ON s.disease_display = t.disease
+""", _FEATURES)
+_KEY = "week_number year district_id disease_id"
+_THRESHOLDS = "lower_threshold upper_threshold outbreak_threshold"
+SQL["full_pipeline_tables"] = "\nUNION ALL\n".join([
+    table_sums("perdistrictpopulation", with_base(_POPULATION), "district_id population"),
+    table_sums("rainfall_data", with_analytics("SELECT * FROM rain_store_full", _RAIN_ROWS), " ".join(["district_id", *_LONG, "annual_rainfall"])),
+    table_sums("historicaldata", with_base("SELECT * FROM hist", _KEYED), f"{_KEY} case_count"),
+    table_sums("risk_levels", with_base("SELECT * FROM risk_rows", _RISK_ROWS), f"{_KEY} {_THRESHOLDS} risk_score", "risk_level"),
+    table_sums("reports", _REPORTS, _KEY, unsummed="case_count"),
+    table_sums("weekly_risk_levels", SQL["weekly_risk_levels"], f"year week_number incidence_per_100k {_THRESHOLDS}", "disease area_reported risk_level"),
+    table_sums("district_thresholds", SQL["district_thresholds"], f"year mean_incidence std_incidence weeks {_THRESHOLDS}", "disease area_reported"),
+])

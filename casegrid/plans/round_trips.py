@@ -1,20 +1,24 @@
 """Registered queries whose rows went through files: sources, sinks and row order.
 
 The projected tables are written in the formats the surveillance files have, under the
-session's checkpoint folder, and read back by the library's readers. Importing this module adds
+session's checkpoint folder, and read back by the library's readers. The last two run whole jobs
+over such files and sum up every table that the jobs wrote. Importing this module adds
 the queries to ``catalog.QUERIES``; their SQL is in ``casegrid.oracle_files``.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casegrid.functions.numbers import round_half_even
 from casegrid.operators import cleaning, forecast, forest_table, loads, rainfall, risk, upsert
 from casegrid.operators.ordering import with_row_numbers
-from casegrid.plans.catalog import PREDICTION_YEAR, QUERY_DEPTH, _fitted, clean_cases, historical_rows, register, risk_frames
+from casegrid.plans import jobs
+from casegrid.plans.catalog import PREDICTION_YEAR, QUERY_DEPTH, QUERY_TREES, _fitted, clean_cases, historical_rows, register, risk_frames
 from casegrid.plans.edge_cases import QUERIES
 from casegrid.session import ensure_checkpoint_dir
 from casegrid.sources import files, sinks
@@ -58,14 +62,18 @@ def clean_case_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_cases(files.read_case_files(spark, written_cases(spark, sf_dir)), td.dims(spark, sf_dir), "zero")
 
 
-@register("input_files")
-def input_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population (S4) and wide rainfall (S5, with ``Area`` for ``District``) from CSV, as cells."""
+def written_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Population and wide rainfall written as CSV (rainfall with ``Area`` for ``District``) and read back."""
     folder = new_folder(spark, "inputs")
     for name, df in (("population", td.raw_population(spark, sf_dir)), ("rainfall", td.raw_rainfall_wide(spark, sf_dir).withColumnRenamed("District", "Area"))):
         df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}.csv")
-    population = files.read_population(spark, f"{folder}/population.csv")
-    rain = files.read_rainfall_wide(spark, f"{folder}/rainfall.csv")
+    return files.read_population(spark, f"{folder}/population.csv"), files.read_rainfall_wide(spark, f"{folder}/rainfall.csv")
+
+
+@register("input_files")
+def input_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Population (S4) and wide rainfall (S5, with ``Area`` for ``District``) from CSV, as cells."""
+    population, rain = written_inputs(spark, sf_dir)
     cells = rain.unpivot("District", [c for c in rain.columns if c != "District"], "column", "value")
     return population.select(F.col("Region").alias("area"), F.lit("Population").alias("column"), F.col("Population").alias("value")).unionByName(
         cells.select(F.col("District").alias("area"), "column", "value"))
@@ -243,3 +251,71 @@ def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_historical_ingest(spark, f"{base}/drops/*/*.csv", f"{base}/table", f"{base}/progress", dims, on_batch=add).awaitTermination()
     rows = upsert.read_table(spark, f"{base}/table").select(*loads.HISTORICAL_KEYS, "case_count")
     return rows.unionByName(_counts(spark, runs), allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- whole jobs
+
+
+def file_inputs(spark: SparkSession, sf_dir: str) -> jobs.Inputs:
+    """The inputs of a job, all of them read from files."""
+    cases = files.read_case_files(spark, written_cases(spark, sf_dir))
+    return jobs.Inputs(cases, *written_inputs(spark, sf_dir), td.dims(spark, sf_dir))
+
+
+def table_sums(name: str, rows: DataFrame, kinds: list[tuple[str, str]], unsummed: tuple[str, ...] = (), digits: int = 6) -> DataFrame:
+    """For each column of a table: its rows, its cells that hold a value, and their sum.
+
+    Numbers are rounded half-even at ``digits`` and added as decimals, texts by the first 32 bits of their MD5, so that
+    the sum depends on neither row order nor engine. ``unsummed`` columns only get counts.
+    """
+    def total(column: str, kind: str) -> F.Column:
+        if column in unsummed:
+            return F.lit(None).cast("double")
+        cell = F.col(f"`{column}`")
+        number = F.conv(F.substring(F.md5(cell.cast("binary")), 1, 8), 16, 10) if kind == "string" else round_half_even(cell.cast("double"), digits)
+        return F.sum(number.cast(f"decimal(28,{digits})")).cast("double")
+
+    sums = F.array(*[F.struct(F.lit(c).alias("column"), F.count(f"`{c}`").alias("filled"), total(c, k).alias("total")) for c, k in kinds])
+    return rows.agg(F.count("*").alias("rows"), sums.alias("sums")).select("rows", F.inline("sums")).select(F.lit(name).alias("table"), "column", "rows", "filled", "total")
+
+
+def csv_sums(spark: SparkSession, path: str, name: str, kinds: list[tuple[str, str]], digits: int = 6) -> DataFrame:
+    """``table_sums`` of a written CSV table, whose cells are all read as text."""
+    return table_sums(name, spark.read.option("header", True).csv(path), kinds, digits=digits)
+
+
+def all_rows(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+#: Tables of means and quantiles of correlations of 4 digits, whose own values may lie on ties of 1e-6.
+_OF_CORRELATIONS = ("correlation_distribution", "lagged_correlation_summary", "summary_correlation")
+
+
+@register("analytics_job_tables")
+def analytics_job_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole analytics job (C13 to C17) over files: every table it wrote, read back and summed up by column."""
+    out = new_folder(spark, "analytics")
+    tables = jobs.analytics_job(spark, file_inputs(spark, sf_dir), out)
+    del tables["frame"]  # not one of the written tables
+    return all_rows([csv_sums(spark, sinks.table_path(out, name), name, table.dtypes, 9 if name in _OF_CORRELATIONS else 6) for name, table in tables.items()])
+
+
+@register("full_pipeline_tables")
+def full_pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven steps of the full pipeline (C19: population, rainfall, cases, risk, training, prediction, storage) over
+    files: every keyed table and the risk CSV files, read back and summed up by column. Ids and times are left out;
+    the predicted counts, which depend on the forest, are only counted."""
+    base = new_folder(spark, "pipeline")
+    jobs.full_pipeline(spark, file_inputs(spark, sf_dir), f"{base}/tables", f"{base}/out", f"{base}/model",
+                       prediction_year=PREDICTION_YEAR, num_trees=QUERY_TREES, max_depth=QUERY_DEPTH)
+    parts = []
+    for name in ("perdistrictpopulation", "rainfall_data", "historicaldata", "risk_levels", "reports"):
+        rows = upsert.read_table(spark, sinks.table_path(f"{base}/tables", name)).drop("id", "data_id", "risk_id", "report_id", "calculated_at")
+        parts.append(table_sums(name, rows, rows.dtypes, ("case_count",) if name == "reports" else ()))
+    weekly = [("year", "int"), ("disease", "string"), ("week_number", "int"), ("area_reported", "string"), ("risk_level", "string"),
+              ("incidence_per_100k", "double"), ("lower_threshold", "double"), ("upper_threshold", "double"), ("outbreak_threshold", "double")]
+    parts.append(csv_sums(spark, f"{base}/out/weekly_risk_levels", "weekly_risk_levels", weekly))
+    thresholds = [*weekly[:2], weekly[3], ("mean_incidence", "double"), ("std_incidence", "double"), ("weeks", "int"), *weekly[6:]]
+    parts.append(csv_sums(spark, f"{base}/out/district_thresholds", "district_thresholds", thresholds))
+    return all_rows(parts)

@@ -1,5 +1,6 @@
 """Files written and read back, previews, unseen levels, and the wide pivot."""
 
+import hashlib
 import warnings
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from casegrid.functions.numbers import clip_zero_int, lenient_int, to_int_half_even
 from casegrid.operators import forecast, patterns, rainfall
+from casegrid.plans.round_trips import csv_sums, table_sums
 from casegrid.sources import files, sinks
 
 
@@ -87,3 +89,15 @@ def test_ranks_are_no_work_of_one_task(spark):
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SinglePartition" not in plan
     assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 31))
+
+
+def test_table_sums(spark, workdir):
+    kinds = [("a", "string"), ("x", "double"), ("n", "int")]
+    df = spark.createDataFrame([("p", 0.1, 1), ("p", 0.2, None), (None, 1e-9, 3), ("q", None, 2)], "a string, x double, n int")
+    rows = {r["column"]: tuple(r)[2:] for r in table_sums("t", df, kinds, ("n",)).collect()}
+    parts = [int(hashlib.md5(t).hexdigest()[:8], 16) for t in (b"p", b"q")]
+    assert rows == {"a": (4, 3, 2.0 * parts[0] + parts[1]), "x": (4, 3, 0.3), "n": (4, 3, None)}
+    path = sinks.write_table(df, f"{workdir}/sums", order_by=["n"])
+    again = {r["column"]: tuple(r)[2:] for r in csv_sums(spark, path, "t", kinds).collect()}
+    assert again == {**rows, "n": (4, 3, 6.0)}
+    assert [tuple(r) for r in table_sums("t", df.limit(0), kinds).collect()] == [("t", c, 0, 0, None) for c, _ in kinds]
