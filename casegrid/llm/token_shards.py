@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from casegrid.llm.common import new_shared_dir, tidy
 from casegrid.llm.files import opened, read_at, written
 from casegrid.llm.fingerprints import mixed
-from casegrid.llm.pretokens import BatchEncoder, ragged
+from casegrid.llm.pretokens import JoinedEncoder, ragged
 
 MAGIC = b"IDSHARD1"
 #: magic, bytes of an id, records, keys, ids, levels
@@ -169,17 +169,22 @@ class Shard:
 
 
 @lru_cache(maxsize=2)
-def _encoder(data: bytes, special: bool) -> BatchEncoder:
+def _encoder(data: bytes, special: bool) -> JoinedEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(data.decode())
     tokenizer.encode_special_tokens = not special
+    # byte-level entries write each byte as one character; added ones stand as they are
+    sizes = np.zeros(max(tokenizer.get_vocab().values(), default=0) + 1, np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        sizes[i] = len(token)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        sizes[i] = len(token.content.encode())
 
-    def encode(chunks: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [array("i", e.ids).tobytes() for e in found]
+    def encode(texts: list[str]) -> list[array]:
+        return [array("i", e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return BatchEncoder(encode, 600_000, least=1)
+    return JoinedEncoder(encode, sizes, 600_000, least=1)
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, key_col: str = "doc_id", text_col: str = "text", special: bool = False) -> DataFrame:
@@ -211,7 +216,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
             shard = ShardWriter(out, 2)
             while batch is not None:
                 keys, at = batch.column(0).to_pylist(), 0
-                for ids, counts in encoder.encode(batch.column(1)):
+                for ids, counts in encoder.slices(batch.column(1)):
                     if len(ids) and int(ids.max()) > 0xFFFF:
                         raise ValueError("an id does not fit into two bytes")
                     ended = np.insert(ids, np.cumsum(counts), end_id)

@@ -611,3 +611,40 @@ def test_batch_encoder_slices(tiktoken_encoding):
         pretokens.SLICE_BYTES = old
     ids = np.concatenate([a for a, _ in found]).tolist()
     assert ids == [i for t in [*ODD, "", *ODD] for i in tiktoken_encoding.encode_ordinary(t)]
+
+
+def test_batch_encoder_works_slice_by_slice():
+    """A slice's ids are there before the next slice is encoded."""
+    from casegrid.llm import pretokens
+
+    calls = []
+    encode = lambda chunks: [calls.append(c) or np.array([len(c)], np.int32).tobytes() for c in chunks]
+    old, pretokens.SLICE_BYTES = pretokens.SLICE_BYTES, 50
+    try:
+        found = pretokens.BatchEncoder(encode).slices(pa.array(["first " + "a" * 60, "second " + "b" * 60]))
+        ids, counts = next(found)
+    finally:
+        pretokens.SLICE_BYTES = old
+    assert calls == ["first", " " + "a" * 60] and ids.tolist() == [5, 61] and counts.tolist() == [2]
+
+
+def test_joined_encoder():
+    """Chunks are encoded together, with the ids that they have alone; tokenizers whose ids don't spell the text get chunks."""
+    from tokenizers import Tokenizer
+
+    from casegrid.llm import pretokens, token_shards
+
+    texts = ["a b", " a", "", "x<|endoftext|> y\nz <|endoftext|>", None, "don't 's x it's", "\0 a", "b a", "<|endoftext|>", *ODD, *(f"w{i} é{i}!" for i in range(2000))]
+    tokenizer = Tokenizer.from_file(JSON)
+    for special in (True, False):
+        tokenizer.encode_special_tokens = not special
+        want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        encoder = token_shards._encoder.__wrapped__(open(JSON, "rb").read(), special)
+        given, inner = [], encoder._encode_texts
+        encoder._encode_texts = lambda x, given=given, inner=inner: given.extend(x) or inner(x)
+        (ids, counts), = encoder.encode(pa.array(texts))
+        assert ids.tolist() == [i for x in want for i in x] and counts.tolist() == [*map(len, want)]
+        assert len(given) < 2100  # 4000 chunks and more: first words alone, the others together
+    odd = pretokens.JoinedEncoder(lambda chunks: [token_shards.array("i", [len(c.strip())]) for c in chunks], np.ones(5000, np.int64))
+    (ids, counts), = odd.encode(pa.array(["ab cde f", "gh ab"]))
+    assert ids.tolist() == [2, 3, 1, 2, 2] and counts.tolist() == [3, 2]
