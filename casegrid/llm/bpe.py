@@ -41,6 +41,9 @@ SHORT = 32
 #: Prefixes that a worker keeps at most; further ones are worked out each time.
 PREFIXES = 80_000
 
+#: Pairs of tokens whose answer a worker keeps at most; then it starts afresh.
+PAIRS = 300_000
+
 _INT = struct.Struct("<i")
 
 
@@ -103,7 +106,7 @@ class PrefixTable:
                 before, b = b + 1, hb[0]  # of equal ranks the left one is merged first
             else:
                 break
-        if len(self._joinable) > 2_000_000:
+        if len(self._joinable) >= PAIRS:
             self._joinable.clear()
         self._joinable[left << 32 | right] = good
         return good
@@ -269,7 +272,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str], text
         token = _vocabulary(ranks.value).__getitem__ if verify_col else None
         for whole in batches:
             at = 0
-            for ids, counts in encoder.encode(whole.column(len(keep))):
+            for ids, counts in encoder.slices(whole.column(len(keep))):
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 batch = whole.slice(at, len(counts))
                 at += len(counts)

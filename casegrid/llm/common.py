@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,10 @@ from casegrid.session import ensure_checkpoint_dir
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of an Arrow batch after ``smaller_batches``; one row at least.
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder, through Spark's reader (any file system)."""
@@ -34,6 +39,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smaller_batches(spark: SparkSession) -> None:
+    """From now on in this session an Arrow batch takes BATCH_BYTES at most (a smaller limit stays), so what a task holds does not grow with 10,000 texts' length."""
+    if 0 < _bytes(spark.conf.get(_BATCH_LIMIT)) <= BATCH_BYTES:
+        return
+    spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+
+
+def _bytes(size: str) -> int:
+    """Bytes of a setting such as 64m; 0 if it can't be told."""
+    found = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", size.strip().lower())
+    return int(found[1]) << 10 * " kmgt".index(found[2] or " ") if found else 0
+
+
 def release_memory() -> None:
     """Gives back to the system what this worker's allocators hold unused; workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.llm import bpe, minhash_join, mixing, quality
-from casegrid.llm.common import free_name, stored, table
+from casegrid.llm.common import free_name, smaller_batches, stored, table
 
 #: Documents with a score below this go.
 LEAST_QUALITY = 0.7
@@ -23,6 +23,7 @@ MIXTURE = {"weights": (3, 1, 2), "epochs": 1.5, "least": 1.0, "most": 2.0, "whol
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is LEAST_QUALITY at least; empty texts score low."""
+    smaller_batches(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
     name = free_name(docs, "score")
     return quality.score(docs, model, score_col=name).where(F.col(name) >= LEAST_QUALITY).drop(name)
@@ -30,6 +31,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates (five-word shingles, 80 %): the one with the smallest id, told apart by id and text; repeated rows once."""
+    smaller_batches(spark)
     return minhash_join.representatives(docs, percent=80, width=5)
 
 
@@ -41,6 +43,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, the ids of the whole text, their number, and whether decoding them gives the text back."""
+    smaller_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, ["doc_id", "source"], verify_col="decodes")
     return encoded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decodes")

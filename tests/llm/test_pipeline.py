@@ -94,3 +94,26 @@ def test_odd_rows(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_batches_of_long_texts(spark):
+    """Whole texts reach the workers some MB at a time, however long they are; a smaller limit stays."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(name)
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.repeat(F.lit("word "), 100_000).alias("text"))
+    try:
+        spark.conf.unset(name)
+        found = corpus_pipeline.token_ids(spark, docs, SF)
+        most = max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect())
+        assert most < 15 and found.where("decodes").count() == 60
+        spark.conf.set(name, "1m")
+        corpus_pipeline.token_ids(spark, docs, SF)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, old)
